@@ -9,20 +9,25 @@ of the data.
 
 Here a sequence is cut into *chunks* instead:
 
-1. ``repartitionByRange(n, keys + order)`` splits the global (key, order)
-   sort into ``n`` contiguous ranges of about equal size (sample based, so a
-   hot key is spread over many ranges); the range id is the chunk id.
-2. Each (key, chunk) is scanned locally with a window function; its size is
-   bounded by one range partition.
-3. What a chunk needs from the chunks before / after it (a running total,
+1. A bounded sample of (key, order) tuples (``per_chunk`` rows per chunk,
+   bottom-k by random priority in each input partition, weighted by the
+   partition's row count — the RangePartitioner recipe) is collected once
+   at plan time, and ``n - 1`` weighted quantiles become range boundaries.
+   A hot key is spread over many ranges.
+2. ``_chunk`` = index of the range a row falls in: a binary search written
+   as nested ``CASE WHEN`` struct comparisons against the literal bounds.
+   It is a pure function of the row, so every branch of a plan and every
+   retried task sees the same chunks, and no range shuffle is needed: the
+   window's own ``hashpartitioning(keys, _chunk)`` exchange places them.
+3. Each (key, chunk) is scanned locally with a window function.
+4. What a chunk needs from the chunks before / after it (a running total,
    a few boundary rows, the first match) is a small table with one row per
    (key, chunk): at most ``#keys + n`` rows.  It is combined with a window
    over that table and joined back; AQE broadcasts it when its measured size
    is small and shuffle-joins it otherwise.
 
 Order columns are ascending, and callers pass a total order (ending in a
-unique id) so results do not depend on partitioning.  Chunk ids come from
-fixed range bounds, so a recomputed task sees the same chunks.
+unique id) so results do not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -31,6 +36,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import chunk_count
 
@@ -44,12 +50,75 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sample_bounds(df: DataFrame, cols: Sequence[str], n: int, per_chunk: int = 24,
+                   seed: int = 7) -> list[tuple]:
+    """``n - 1`` boundary tuples splitting ``df`` sorted by ``cols`` into ``n``
+    ranges of about equal row count (from a bounded weighted sample)."""
+    if n <= 1:
+        return []
+    parts = max(df.rdd.getNumPartitions(), 1)
+    m = max(8, (3 * per_chunk * n + parts - 1) // parts)
+    sub = df.select(*cols)
+    out_schema = T.StructType(list(sub.schema.fields) + [T.StructField("_w", T.DoubleType())])
+
+    def sample(batches):
+        import numpy as np
+        import pandas as pd
+        rng = np.random.default_rng(seed)
+        keep, total = None, 0
+        for b in batches:
+            total += len(b)
+            b = b.assign(_pri=rng.random(len(b)))
+            keep = b if keep is None else pd.concat([keep, b], ignore_index=True)
+            if len(keep) > m:
+                keep = keep.nsmallest(m, "_pri")
+        if keep is None or total == 0:
+            return
+        yield keep.drop(columns="_pri").assign(_w=float(total) / len(keep))
+
+    rows = sub.mapInPandas(sample, out_schema).collect()
+    if not rows:
+        return []
+    key = lambda r: tuple((v is not None, v) for v in r[:-1])  # nulls first
+    rows.sort(key=key)
+    total = sum(r[-1] for r in rows)
+    bounds, acc, nxt = [], 0.0, 1
+    for r in rows:
+        acc += r[-1]
+        while nxt < n and acc >= total * nxt / n:
+            t = tuple(r[:-1])
+            if not bounds or key(bounds[-1] + (0,)) < key(t + (0,)):
+                bounds.append(t)
+            nxt += 1
+    return bounds
+
+
+def chunk_expr(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+               n: int | None = None) -> Column:
+    """Range index of each row's (keys, order) tuple (see module doc)."""
+    n = n or chunk_count(df.sparkSession)
+    cols = list(keys) + list(order)
+    bounds = _sample_bounds(df, cols, n)
+    if not bounds:
+        return F.lit(0)
+    types = [df.schema[c].dataType for c in cols]
+    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    lits = [F.struct(*[F.lit(v).cast(t).alias(f"c{i}") for i, (v, t) in enumerate(zip(b, types))])
+            for b in bounds]
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2     # chunk >= mid  <=>  row >= bounds[mid - 1]
+        return F.when(row >= lits[mid - 1], search(mid, hi)).otherwise(search(lo, mid - 1))
+
+    return search(0, len(bounds))
+
+
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             n: int | None = None) -> DataFrame:
     """Add ``_chunk``: the id of the (key, order) range a row falls in."""
-    n = n or chunk_count(df.sparkSession)
-    cols = [F.col(k) for k in keys] + [F.col(o) for o in order]
-    return df.repartitionByRange(n, *cols).withColumn(CHUNK, F.spark_partition_id())
+    return df.withColumn(CHUNK, chunk_expr(df, keys, order, n))
 
 
 def _attach(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:

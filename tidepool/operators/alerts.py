@@ -53,36 +53,74 @@ def timer_each(df: DataFrame, keys: Sequence[str], time_col: str, delay) -> Data
     return df.select(*keys, (F.col(time_col) + _iv(duration(delay))).alias("fire_time")).distinct()
 
 
-_ALERT_STATE = T.StructType([T.StructField("fire_time", T.TimestampNTZType()),
-                             T.StructField("last_value", T.DoubleType())])
+def _segment_chain(t, v, rising, delay_us: int, end_us):
+    """Timer chain of one segment (rows sorted by time): [(due, last value)]."""
+    out = []
+    n, i = len(t), 0
+    while i < n and rising[i]:
+        due = t[i] + delay_us
+        j = int(np.searchsorted(t, due, side="right"))  # first record after the timer
+        if not rising[i:j].all():          # a drop at or before the due time cancels
+            break
+        if j == n and end_us is not None and due > end_us:
+            break                          # unbounded input: not due yet
+        out.append((due, v[j - 1]))
+        i = j
+    return out
+
 
+def _alerts_in_partition(n_keys: int, delay_us: int, end_us):
+    """mapInPandas body: rows clustered by (keys, segment) and sorted; a
+    segment cut by a batch border is carried into the next batch."""
+    seg_cols = [f"_k{i}" for i in range(n_keys)] + ["_sa", "_sb"]
 
-def _segment_alerts(delay_us: int, bounded_end):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_t", "_seq"])
+    def emit(pdf, res):
+        if pdf.empty:
+            return
+        ids = pdf.groupby(seg_cols, sort=False, dropna=False).ngroup().to_numpy()
+        cuts = np.flatnonzero(np.diff(ids)) + 1
+        starts = np.concatenate([[0], cuts])
+        stops = np.concatenate([cuts, [len(pdf)]])
         t = pdf["_t"].to_numpy(dtype="int64")
         v = pdf["_v"].to_numpy(dtype="float64")
-        rising = pdf["_rise"].to_numpy(dtype=bool)
-        n = len(t)
-        fires, lasts = [], []
-        i = 0
-        while i < n and rising[i]:
-            due = t[i] + delay_us
-            j = int(np.searchsorted(t, due, side="right"))  # first record after the timer
-            if not rising[i:j].all():          # a drop at or before the due time cancels
-                break
-            if j == n and bounded_end is not None and due > bounded_end:
-                break                          # unbounded input: not yet due
-            fires.append(due)
-            lasts.append(v[j - 1])
-            i = j
-        key_cols = [c for c in pdf.columns if c.startswith("_k")]
-        base = {c: [pdf[c].iloc[0]] * len(fires) for c in key_cols}
-        return pd.DataFrame({**base, "_fire": np.array(fires, dtype="int64"),
-                             "last_value": np.array(lasts, dtype="float64")})
+        r = pdf["_rise"].to_numpy(dtype=bool)
+        for a, b in zip(starts, stops):
+            for due, last in _segment_chain(t[a:b], v[a:b], r[a:b], delay_us, end_us):
+                res.append((*[pdf[c].iat[a] for c in seg_cols[:n_keys]], due, last))
+
+    def run(batches):
+        carry = None
+        for b in batches:
+            pdf = b if carry is None else pd.concat([carry, b], ignore_index=True)
+            if pdf.empty:
+                continue
+            last = pdf[seg_cols].iloc[-1]
+            same = np.ones(len(pdf), dtype=bool)
+            for c in seg_cols:
+                col = pdf[c]
+                same &= (col == last[c]).to_numpy() | (col.isna() & pd.isna(last[c])).to_numpy()
+            tail_start = len(pdf) - int(np.argmin(same[::-1])) if not same.all() else 0
+            done, carry = pdf.iloc[:tail_start], pdf.iloc[tail_start:]
+            res: list = []
+            emit(done, res)
+            if res:
+                yield _frame(res, n_keys)
+        if carry is not None:
+            res = []
+            emit(carry, res)
+            if res:
+                yield _frame(res, n_keys)
     return run
 
 
+def _frame(res, n_keys):
+    cols = [f"_k{i}" for i in range(n_keys)] + ["_fire", "last_value"]
+    df = pd.DataFrame(res, columns=cols)
+    df["_fire"] = df["_fire"].astype("int64")
+    df["last_value"] = df["last_value"].astype("float64")
+    return df
+
+
 def rising_alert(df: DataFrame, keys: Sequence[str], time_col: str, seq: str, value: str,
                  delay, bounded: bool = True) -> DataFrame:
     """Alert when a key's value keeps rising for ``delay``.
@@ -96,21 +134,24 @@ def rising_alert(df: DataFrame, keys: Sequence[str], time_col: str, seq: str, va
 
     The rule restarts at every non-rising record and at every gap longer than
     ``delay``, so the input is cut there into independent segments (chunked
-    scans), and each segment's timer chain runs in ``applyInPandas``.
+    scans).  Segments are hash-partitioned and sorted by Spark; one
+    ``mapInPandas`` pass per partition walks each segment's timer chain
+    with ``searchsorted`` (no per-group Python call).
     """
     d_us = int(round(duration(delay) * 1e6))
     order = [time_col, seq]
-    prev = previous_value(df, keys, order, value, out="_prev")
-    gap = ordered.neighbours(prev, keys, order, {"t": time_col}, [-1], prefix="_g")
-    rise = F.col(value) > F.coalesce(F.col("_prev").cast("double"), F.lit(0.0))
-    far = F.col("_g-1").isNull() | (F.col(time_col) > F.col("_g-1.t") + _iv(d_us / 1e6))
-    marked = (gap.withColumn("_rise", rise)
+    b = ordered.boundaries(df, keys, order)
+    nb = ordered.neighbours(df, keys, order, {"v": value, "t": time_col}, [-1], prefix="_p", bounds=b)
+    rise = F.col(value) > F.coalesce(F.col("_p-1.v").cast("double"), F.lit(0.0))
+    far = F.col("_p-1").isNull() | (F.col(time_col) > F.col("_p-1.t") + _iv(d_us / 1e6))
+    marked = (nb.withColumn("_rise", rise)
               # a new segment starts after a non-rising record or at a long gap
               .withColumn("_cut", F.when(far & rise, 1).otherwise(0))
               .withColumn("_drop", F.when(rise, 0).otherwise(1))
-              .drop("_g-1", "_g_pos"))
-    seg = ordered.running(marked, keys, order, {"_ndrop": ("sum", "_drop")}, inclusive=False)
-    seg = ordered.running(seg, keys, order, {"_ncut": ("sum", "_cut")})
+              .drop("_p-1", "_p_pos"))
+    seg = ordered.running(marked, keys, order, {"_ndrop": ("sum", "_drop"), "_ncut": ("sum", "_cut")},
+                          inclusive=False, bounds=b)
+    seg = seg.withColumn("_ncut", F.coalesce("_ncut", F.lit(0)) + F.col("_cut"))
     us = F.unix_micros(F.col(time_col).cast("timestamp"))
     g = seg.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
                    F.coalesce("_ndrop", F.lit(0)).alias("_sa"), F.col("_ncut").alias("_sb"),
@@ -122,8 +163,9 @@ def rising_alert(df: DataFrame, keys: Sequence[str], time_col: str, seq: str, va
     key_fields = [T.StructField(f"_k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
     schema = T.StructType(key_fields + [T.StructField("_fire", T.LongType()),
                                         T.StructField("last_value", T.DoubleType())])
-    res = g.groupBy(*[f"_k{i}" for i in range(len(keys))], "_sa", "_sb").applyInPandas(
-        _segment_alerts(d_us, end), schema)
+    seg_cols = [f"_k{i}" for i in range(len(keys))] + ["_sa", "_sb"]
+    clustered = g.repartition(*seg_cols).sortWithinPartitions(*seg_cols, "_t", "_seq")
+    res = clustered.mapInPandas(_alerts_in_partition(len(keys), d_us, end), schema)
     fire = F.timestamp_micros("_fire")
     if isinstance(df.schema[time_col].dataType, T.TimestampNTZType):
         fire = fire.cast("timestamp_ntz")

@@ -35,7 +35,8 @@ def assign_event_time(df: DataFrame, col: str, unit: str = "s", out: str = "even
     return df.withColumn(out, event_time(col, unit))
 
 
-def watermark_trace(df: DataFrame, time_col: str, arrival: Sequence[str], delay) -> DataFrame:
+def watermark_trace(df: DataFrame, time_col: str, arrival: Sequence[str], delay,
+                    bounds: ordered.Bounds | None = None) -> DataFrame:
     """Per record: ``wm_before`` (watermark in force when it arrives, null
     for the first record) and ``wm_after`` (after it), plus ``arrival_pos``.
 
@@ -43,8 +44,9 @@ def watermark_trace(df: DataFrame, time_col: str, arrival: Sequence[str], delay)
     arrival-order chunks — no single-partition window.
     """
     d = duration(delay)
-    r = ordered.running(df, [], arrival, {"_mx": ("max", time_col), "arrival_pos": ("count", F.lit(1))})
-    r = ordered.running(r, [], arrival, {"_mxb": ("max", time_col)}, inclusive=False)
+    r = ordered.running(df, [], arrival, {"_mx": ("max", time_col), "_mxb": ("max", time_col),
+                                          "arrival_pos": ("count", F.lit(1))},
+                        exclusive=["_mxb"], bounds=bounds)
     return (r.withColumn("wm_after", F.col("_mx") - _iv(d))
              .withColumn("wm_before", F.col("_mxb") - _iv(d))
              .drop("_mx", "_mxb"))
@@ -89,11 +91,12 @@ def window_firings(df: DataFrame, time_col: str, arrival: Sequence[str], size, d
            .select("window_start", "window_end",
                    (F.col("window_end") - _iv(LAST_TICK_SECONDS) + _iv(d)).alias("_v"),
                    F.lit(0).alias("_kind"), F.lit(None).cast("bigint").alias("_pos")))
-    prog = ordered.running(t.select(time_col, *arrival, "arrival_pos"), [], arrival,
-                           {"_v": ("max", time_col)})
-    prog = prog.select(F.lit(None).cast(due.schema["window_start"].dataType).alias("window_start"),
-                       F.lit(None).cast(due.schema["window_end"].dataType).alias("window_end"),
-                       "_v", F.lit(1).alias("_kind"), F.col("arrival_pos").alias("_pos"))
+    # the running max event time is the watermark after a record plus the delay
+    wtype = due.schema["window_start"].dataType
+    prog = t.select(F.lit(None).cast(wtype).alias("window_start"),
+                    F.lit(None).cast(wtype).alias("window_end"),
+                    (F.col("wm_after") + _iv(d)).alias("_v"), F.lit(1).alias("_kind"),
+                    F.col("arrival_pos").alias("_pos"))
     u = due.unionByName(prog)
     m = ordered.next_match(u, [], ["_v", "_kind", "_pos"], F.col("_kind") == 1, {"p": "_pos"}, "_fire")
     fire = m.where(F.col("_kind") == 0).select(

@@ -9,11 +9,10 @@ of the data.
 
 Here a sequence is cut into *chunks* instead:
 
-1. A bounded sample of (key, order) tuples (``per_chunk`` rows per chunk,
-   bottom-k by random priority in each input partition, weighted by the
-   partition's row count — the RangePartitioner recipe) is collected once
-   at plan time, and ``n - 1`` weighted quantiles become range boundaries.
-   A hot key is spread over many ranges.
+1. A bounded uniform sample of (key, order) tuples (about ``per_chunk``
+   rows per chunk) is collected once at plan time and ``n - 1`` of its
+   quantiles become range boundaries (``boundaries``); a hot key is spread
+   over many ranges.  Scans over the same key and order columns share them.
 2. ``_chunk`` = index of the range a row falls in: a binary search written
    as nested ``CASE WHEN`` struct comparisons against the literal bounds.
    It is a pure function of the row, so every branch of a plan and every
@@ -50,75 +49,74 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _sample_bounds(df: DataFrame, cols: Sequence[str], n: int, per_chunk: int = 24,
-                   seed: int = 7) -> list[tuple]:
-    """``n - 1`` boundary tuples splitting ``df`` sorted by ``cols`` into ``n``
-    ranges of about equal row count (from a bounded weighted sample)."""
-    if n <= 1:
-        return []
-    parts = max(df.rdd.getNumPartitions(), 1)
-    m = max(8, (3 * per_chunk * n + parts - 1) // parts)
-    sub = df.select(*cols)
-    out_schema = T.StructType(list(sub.schema.fields) + [T.StructField("_w", T.DoubleType())])
-
-    def sample(batches):
-        import numpy as np
-        import pandas as pd
-        rng = np.random.default_rng(seed)
-        keep, total = None, 0
-        for b in batches:
-            total += len(b)
-            b = b.assign(_pri=rng.random(len(b)))
-            keep = b if keep is None else pd.concat([keep, b], ignore_index=True)
-            if len(keep) > m:
-                keep = keep.nsmallest(m, "_pri")
-        if keep is None or total == 0:
-            return
-        yield keep.drop(columns="_pri").assign(_w=float(total) / len(keep))
-
-    rows = sub.mapInPandas(sample, out_schema).collect()
-    if not rows:
-        return []
-    key = lambda r: tuple((v is not None, v) for v in r[:-1])  # nulls first
-    rows.sort(key=key)
-    total = sum(r[-1] for r in rows)
-    bounds, acc, nxt = [], 0.0, 1
-    for r in rows:
-        acc += r[-1]
-        while nxt < n and acc >= total * nxt / n:
-            t = tuple(r[:-1])
-            if not bounds or key(bounds[-1] + (0,)) < key(t + (0,)):
-                bounds.append(t)
-            nxt += 1
-    return bounds
-
-
-def chunk_expr(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-               n: int | None = None) -> Column:
-    """Range index of each row's (keys, order) tuple (see module doc)."""
+class Bounds:
+    """Range boundaries for one (keys, order) layout, sampled once and
+    reusable by every scan over data with the same key and order columns."""
+
+    def __init__(self, keys: Sequence[str], order: Sequence[str], n: int, rows: list[tuple],
+                 types: list):
+        self.keys, self.order, self.n = list(keys), list(order), n
+        self.rows, self.types = rows, types
+
+    def expr(self) -> Column:
+        cols = self.keys + self.order
+        if not self.rows:
+            return F.lit(0)
+        row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+        lits = [F.struct(*[F.lit(v).cast(t).alias(f"c{i}")
+                           for i, (v, t) in enumerate(zip(b, self.types))]) for b in self.rows]
+
+        def search(lo: int, hi: int) -> Column:
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi + 1) // 2     # chunk >= mid  <=>  row >= rows[mid - 1]
+            return F.when(row >= lits[mid - 1], search(mid, hi)).otherwise(search(lo, mid - 1))
+
+        return search(0, len(self.rows))
+
+
+def _null_first(t: tuple) -> tuple:
+    return tuple((v is not None, v) for v in t)
+
+
+def boundaries(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int | None = None,
+               per_chunk: int = 32, seed: int = 7) -> Bounds:
+    """Sample ``n - 1`` boundaries splitting ``df`` sorted by (keys, order)
+    into ``n`` ranges of about equal row count.
+
+    Two JVM-side jobs over the key and order columns only: a count, then a
+    uniform ``sample`` of about ``per_chunk * n`` rows collected to the
+    driver (bounded by ``n``, not by the data).
+    """
     n = n or chunk_count(df.sparkSession)
     cols = list(keys) + list(order)
-    bounds = _sample_bounds(df, cols, n)
-    if not bounds:
-        return F.lit(0)
     types = [df.schema[c].dataType for c in cols]
-    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
-    lits = [F.struct(*[F.lit(v).cast(t).alias(f"c{i}") for i, (v, t) in enumerate(zip(b, types))])
-            for b in bounds]
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2     # chunk >= mid  <=>  row >= bounds[mid - 1]
-        return F.when(row >= lits[mid - 1], search(mid, hi)).otherwise(search(lo, mid - 1))
-
-    return search(0, len(bounds))
+    if n <= 1:
+        return Bounds(keys, order, n, [], types)
+    sub = df.select(*cols)
+    total = sub.count()
+    want = per_chunk * n
+    if total == 0:
+        return Bounds(keys, order, n, [], types)
+    if total > want:
+        sub = sub.sample(withReplacement=False, fraction=min(1.0, 1.5 * want / total), seed=seed)
+    rows = sorted((tuple(r) for r in sub.collect()), key=_null_first)
+    bounds: list[tuple] = []
+    for i in range(1, n):
+        if not rows:
+            break
+        b = rows[min(len(rows) - 1, (i * len(rows)) // n)]
+        if not bounds or _null_first(bounds[-1]) < _null_first(b):
+            bounds.append(b)
+    return Bounds(keys, order, n, bounds, types)
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-            n: int | None = None) -> DataFrame:
+            n: int | None = None, bounds: Bounds | None = None) -> DataFrame:
     """Add ``_chunk``: the id of the (key, order) range a row falls in."""
-    return df.withColumn(CHUNK, chunk_expr(df, keys, order, n))
+    if bounds is None or bounds.keys != list(keys) or bounds.order != list(order):
+        bounds = boundaries(df, keys, order, n)
+    return df.withColumn(CHUNK, bounds.expr())
 
 
 def _attach(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -156,19 +154,26 @@ _RUNNING = {
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             aggs: Mapping[str, tuple[str, str | Column]], n: int | None = None,
-            inclusive: bool = True) -> DataFrame:
+            inclusive: bool = True, exclusive: Sequence[str] = (),
+            bounds: Bounds | None = None) -> DataFrame:
     """Add one running-aggregate column per ``aggs`` entry.
 
     ``aggs = {"out": ("sum" | "count" | "max" | "min", column)}``.  The value
     on a row covers every earlier row of its key in ``order`` and, when
-    ``inclusive``, the row itself.  Equal to
+    ``inclusive``, the row itself (names in ``exclusive`` never include it).
+    Equal to
     ``agg(col).over(partitionBy(keys).orderBy(order).rowsBetween(-inf, 0))``.
     """
-    c = chunked(df, keys, order, n)
-    hi = Window.currentRow if inclusive else -1
-    wl = _local_window(keys, order).rowsBetween(_UNB_PREC, hi)
+    c = chunked(df, keys, order, n, bounds)
+    w_in = _local_window(keys, order).rowsBetween(_UNB_PREC, Window.currentRow)
+    w_ex = _local_window(keys, order).rowsBetween(_UNB_PREC, -1)
+
+    def frame(name):
+        return w_ex if (not inclusive or name in exclusive) else w_in
+
     local = c.select("*", *[
-        _RUNNING[f][0](_col(e)).over(wl).alias(f"_l_{name}") for name, (f, e) in aggs.items()])
+        _RUNNING[f][0](_col(e)).over(frame(name)).alias(f"_l_{name}")
+        for name, (f, e) in aggs.items()])
     totals = c.groupBy(*keys, CHUNK).agg(*[
         _RUNNING[f][0](_col(e)).alias(f"_t_{name}") for name, (f, e) in aggs.items()])
     wp = _chunk_window(keys).rowsBetween(_UNB_PREC, -1)
@@ -188,7 +193,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                fields: Mapping[str, str | Column], offsets: Sequence[int],
                prefix: str = "nb", n: int | None = None,
-               extra: Mapping[str, tuple[str, Sequence[int]]] | None = None) -> DataFrame:
+               bounds: Bounds | None = None) -> DataFrame:
     """Add ``{prefix}{off}`` struct columns: ``fields`` of the row ``off``
     places away in the key's sequence (negative = earlier), null past the ends.
 
@@ -198,7 +203,7 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     k_lead = max([o for o in offsets if o > 0], default=0)
     k_lag = max([-o for o in offsets if o < 0], default=0)
-    c = chunked(df, keys, order, n)
+    c = chunked(df, keys, order, n, bounds)
     wl = _local_window(keys, order)
     payload = F.struct(*[_col(e).alias(name) for name, e in fields.items()])
     c = (c.withColumn("_pl", payload)
@@ -244,7 +249,8 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def next_match(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                cond: Column, fields: Mapping[str, str | Column], name: str,
-               n: int | None = None, previous: bool = False) -> DataFrame:
+               n: int | None = None, previous: bool = False,
+               bounds: Bounds | None = None) -> DataFrame:
     """Add ``name``: struct of ``fields`` of the first *later* row of the
     same key with ``cond`` true (``previous=True``: the last *earlier* one).
 
@@ -253,7 +259,7 @@ def next_match(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     forward ``first .. unboundedFollowing`` frame.  Across chunks the first
     (last) match of each chunk is carried in the per-chunk table.
     """
-    c = chunked(df, keys, order, n)
+    c = chunked(df, keys, order, n, bounds)
     ord_fields = [F.col(o).alias(f"_o{i}") for i, o in enumerate(order)]
     payload = F.struct(*ord_fields, *[_col(e).alias(k) for k, e in fields.items()])
     cand = F.when(cond, payload)

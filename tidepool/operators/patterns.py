@@ -136,13 +136,15 @@ def times(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Colum
     time_col, id_col = order[0], id_col or order[-1]
     payload = {**{f: f for f in fields}, "_t": time_col}
     # the record after each start (full sequence)
+    b = ordered.boundaries(df, keys, order)
     nxt = ordered.neighbours(df.withColumn("_b", repeated), keys, order,
-                             {"_id": id_col, "_b": "_b"}, [1], prefix="_n")
+                             {"_id": id_col, "_b": "_b"}, [1], prefix="_n", bounds=b)
     starts = nxt.where(first & F.col("_n1").isNotNull() & F.col("_n1._b"))
     # runs of the next hi-1 repeated records, on the repeated records only
     reps = df.where(repeated)
     offs = list(range(1, hi))
-    chain = ordered.neighbours(reps, keys, order, payload, offs, prefix="_r") if offs else reps
+    chain = (ordered.neighbours(reps, keys, order, payload, offs, prefix="_r", bounds=b)
+             if offs else reps)
     chain = chain.select(
         F.col(id_col).alias("_rid"),
         F.array(F.struct(*[F.col(v).alias(k) for k, v in payload.items()]),

@@ -105,11 +105,12 @@ def session(df: DataFrame, time_col: str, gap, keys: Sequence[str], seq: str,
     aggs = aggs or {"count": ("count", F.lit(1))}
     gap_s = duration(gap)
     order = [time_col, seq]
-    nb = ordered.neighbours(df, keys, order, {"t": time_col}, [-1], prefix="_p")
+    b = ordered.boundaries(df, keys, order)
+    nb = ordered.neighbours(df, keys, order, {"t": time_col}, [-1], prefix="_p", bounds=b)
     start = (F.col("_p-1").isNull()
              | (F.col(time_col) > F.col("_p-1.t") + F.make_dt_interval(secs=F.lit(gap_s))))
     flagged = nb.withColumn("_start", start.cast("int")).drop("_p-1", "_p_pos")
-    sid = ordered.running(flagged, keys, order, {"_sid": ("sum", "_start")})
+    sid = ordered.running(flagged, keys, order, {"_sid": ("sum", "_start")}, bounds=b)
     out = sid.groupBy(*keys, "_sid").agg(
         F.min(time_col).alias("window_start"),
         (F.max(time_col) + F.make_dt_interval(secs=F.lit(gap_s))).alias("window_end"),

@@ -363,4 +363,30 @@ WITH s AS (SELECT user_id, event_id, ts, event_type,
            FROM events)
 SELECT user_id, event_id AS view_event_id FROM s
 WHERE event_type = 'view' AND (nt IS NULL OR nt >= ts + INTERVAL 6 HOUR)""",
+
+    # the timer rule stepped row by row per user (state: due time, last value)
+    "rising_alert": """
+WITH RECURSIVE s AS (
+  SELECT user_id, ts, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
+         coalesce(lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0) AS pv
+  FROM events),
+r(user_id, rn, timer, fired_t, fired_v, lastv) AS (
+  SELECT user_id, rn, CASE WHEN value > pv THEN ts + INTERVAL 6 HOUR END,
+         CAST(NULL AS TIMESTAMP), CAST(NULL AS DOUBLE), value
+  FROM s WHERE rn = 1
+  UNION ALL
+  SELECT s.user_id, s.rn,
+         CASE WHEN r.timer IS NOT NULL AND r.timer >= s.ts
+              THEN CASE WHEN s.value > s.pv THEN r.timer END
+              ELSE CASE WHEN s.value > s.pv THEN s.ts + INTERVAL 6 HOUR END END,
+         CASE WHEN r.timer IS NOT NULL AND r.timer < s.ts THEN r.timer END,
+         CASE WHEN r.timer IS NOT NULL AND r.timer < s.ts THEN r.lastv END,
+         s.value
+  FROM r JOIN s ON s.user_id = r.user_id AND s.rn = r.rn + 1)
+SELECT user_id, fired_t AS fire_time, fired_v AS last_value FROM r WHERE fired_t IS NOT NULL
+UNION ALL
+SELECT r.user_id, r.timer, r.lastv FROM r
+JOIN (SELECT user_id, max(rn) AS mr FROM s GROUP BY 1) m ON r.user_id = m.user_id AND r.rn = m.mr
+WHERE r.timer IS NOT NULL""",
 }

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecols import duration, event_time
+from ..session import materialize
 from . import ordered
 
 # fixed value: the window's last timestamp is its end minus one millisecond
@@ -83,7 +84,8 @@ def window_firings(df: DataFrame, time_col: str, arrival: Sequence[str], size, d
     of the window so far).  Late records are in ``late_side_output``.
     """
     d = duration(delay)
-    t = _traced_windows(df, time_col, arrival, size, delay, lateness)
+    # the trace feeds three more ordered scans and joins: write it once
+    t = materialize(_traced_windows(df, time_col, arrival, size, delay, lateness))
     acc = t.where(~F.col("is_late"))
     # first arrival position whose watermark reaches the window's last tick:
     # an as-of lookup done as "next record row" in one ordered union

@@ -117,7 +117,9 @@ def rolling_distinct(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
     flagged = (df.join(firsts, on=cond, how="left")
                .withColumn("_new", (ost == F.col("_fo")).cast("int"))
                .drop("_dv", "_fo", *[f"_dk{i}" for i in range(len(keys))]))
-    r = ordered.running(flagged, keys, order, {out: ("sum", "_new")})
+    # same rows, keys and order as the input: sample the bounds there
+    b = ordered.boundaries(df, keys, order)
+    r = ordered.running(flagged, keys, order, {out: ("sum", "_new")}, bounds=b)
     return r.drop("_new").withColumn(out, F.col(out).cast("bigint"))
 
 

@@ -28,6 +28,8 @@ def split_tokens(line: Column, sep: str = " ") -> Column:
     empty token); an empty line gives one empty token.
     """
     sep_re = _regex_quote(sep)
+    if sep == " ":
+        return F.split(F.rtrim(line), " ")      # rtrim drops trailing spaces only
     return F.split(F.regexp_replace(line, f"({sep_re})+$", ""), sep_re)
 
 
@@ -41,7 +43,11 @@ def tokenize(lines: DataFrame, col: str = "value", sep: str = " ",
 
     A non-empty line made only of separators has no tokens.
     """
-    only_sep = (F.length(F.col(col)) > 0) & (F.length(F.regexp_replace(F.col(col), _regex_quote(sep), "")) == 0)
+    if sep == " ":
+        only_sep = (F.length(F.col(col)) > 0) & (F.length(F.rtrim(F.col(col))) == 0)
+    else:
+        only_sep = ((F.length(F.col(col)) > 0)
+                    & (F.length(F.regexp_replace(F.col(col), _regex_quote(sep), "")) == 0))
     return (lines.where(~only_sep)
             .select(F.explode(split_tokens(F.col(col), sep)).alias(out))
             .withColumn("one", F.lit(1).cast("bigint")))

@@ -79,18 +79,20 @@ def sliding(df: DataFrame, time_col: str, size, slide, keys: Sequence[str] = (),
                 .select(*keys, F.col("w.start").alias("window_start"),
                         F.col("w.end").alias("window_end"), *aggs.keys()))
     k = int(ratio)
-    pane = F.window(time_col, _spec(slide_s)).start
-    partial = df.groupBy(*keys, pane.alias("_pane")).agg(*[
+    slide_us, size_us = int(round(slide_s * 1e6)), int(round(size_s * 1e6))
+    ttype = df.schema[time_col].dataType
+    us = F.unix_micros(F.col(time_col).cast("timestamp"))
+    partial = df.groupBy(*keys, (us - F.pmod(us, F.lit(slide_us))).alias("_pane")).agg(*[
         _DECOMPOSABLE[fn][0](F.col(c) if isinstance(c, str) else c).alias(n)
         for n, (fn, c) in aggs.items()])
-    step = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_j")
-    expanded = partial.select("*", step).withColumn(
-        "window_start", F.col("_pane") - F.make_dt_interval(secs=F.col("_j") * F.lit(slide_s)))
-    out = expanded.groupBy(*keys, "window_start").agg(*[
+    # each pane belongs to the k windows starting at pane - j * slide
+    starts = F.explode(F.array(*[F.col("_pane") - F.lit(j * slide_us) for j in range(k)])).alias("_ws")
+    expanded = partial.select(*keys, *aggs.keys(), starts)
+    out = expanded.groupBy(*keys, "_ws").agg(*[
         _DECOMPOSABLE[fn][1](F.col(n)).alias(n) for n, (fn, _) in aggs.items()])
-    return out.select(*keys, "window_start",
-                      (F.col("window_start") + F.make_dt_interval(secs=F.lit(size_s))).alias("window_end"),
-                      *aggs.keys())
+    start = F.timestamp_micros("_ws").cast(ttype)
+    end = F.timestamp_micros(F.col("_ws") + size_us).cast(ttype)
+    return out.select(*keys, start.alias("window_start"), end.alias("window_end"), *aggs.keys())
 
 
 def session(df: DataFrame, time_col: str, gap, keys: Sequence[str], seq: str,

@@ -73,3 +73,14 @@ def chunk_count(spark: SparkSession) -> int:
     partition of data, whatever the cluster size.
     """
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and return a DataFrame
+    reading it back (lineage cut; survives executor loss).
+
+    Used where several later jobs (boundary sampling, the final action)
+    would otherwise recompute an expensive intermediate result.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

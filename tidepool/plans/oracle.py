@@ -390,3 +390,11 @@ SELECT r.user_id, r.timer, r.lastv FROM r
 JOIN (SELECT user_id, max(rn) AS mr FROM s GROUP BY 1) m ON r.user_id = m.user_id AND r.rn = m.mr
 WHERE r.timer IS NOT NULL""",
 }
+
+
+# streaming twins compute the batch twin's result
+for _s, _b in {"stream_tumbling": "tumbling", "stream_session": "session",
+               "stream_unique_visitors_hourly": "unique_visitors_hourly",
+               "stream_hot_items": "hot_items", "stream_word_count": "word_count",
+               "stream_rising_alert": "rising_alert"}.items():
+    ORACLE[_s] = ORACLE[_b]

@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 from ..operators import (alerts, eventtime, joins, patterns, rolling, transforms, windows)
 from ..sources.tables import table
+from ..streaming import harness
+from ..streaming import ops as stream_ops
+from ..streaming import rules as stream_rules
 from . import analyses
 
 EV_ORDER = ["ts", "event_id"]
@@ -401,4 +404,83 @@ def q_order_timeout(spark, sf):
     return _order_pay(spark, sf, True).select("user_id", "view_event_id")
 
 
+# --------------------------------------------------------------------------- streaming twins
+# The table is replayed as a stream (tidepool.streaming.harness): files in
+# event order, one micro-batch each, then a far-future sentinel record that
+# closes every window.  Results equal the batch twin's, so the same oracle.
+
+FAR = "2100-01-01 00:00:00"
+
+
+def _ev_stream_input(spark, sf):
+    e = events(spark, sf)
+    return e.withColumn("ts_e", F.col("ts").cast("timestamp"))
+
+
+def _sentinel_row():
+    import datetime
+    far = datetime.datetime(2100, 1, 1)
+    # a page view far in the future: it passes every filter (so it moves the
+    # watermark) and its own window / session never closes
+    return {"event_id": -1, "ts": far, "ts_e": far, "user_id": -1, "event_type": "view",
+            "value": 0.0, "props": '{"k": 0}', "k": 0, "cents": 0}
+
+
+def _ntz(c):
+    return F.col(c).cast("timestamp_ntz").alias(c)
+
+
+def q_stream_tumbling(spark, sf):
+    def t(s):
+        s = harness.drop_sentinel(s.withWatermark("ts_e", "1 minute"))
+        return stream_ops.windowed_counts(s, "ts_e", "1 hour", None, ["event_type"],
+                                          {"count": F.count(F.lit(1)), "cents": F.sum("cents")})
+    r = harness.run(_ev_stream_input(spark, sf), EV_ORDER, t, sentinel=_sentinel_row(), tag="tumbling")
+    return r.select("event_type", _ntz("window_start"), _ntz("window_end"), "count", "cents")
+
+
+def q_stream_session(spark, sf):
+    def t(s):
+        s = harness.drop_sentinel(s.withWatermark("ts_e", "1 minute"))
+        return stream_ops.session_counts(s, "ts_e", "6 hours", ["user_id"],
+                                         {"count": F.count(F.lit(1)), "cents": F.sum("cents")})
+    r = harness.run(_ev_stream_input(spark, sf), EV_ORDER, t, sentinel=_sentinel_row(), tag="session")
+    return r.select("user_id", _ntz("window_start"), _ntz("window_end"), "count", "cents")
+
+
+def q_stream_unique_visitors_hourly(spark, sf):
+    def t(s):
+        s = harness.drop_sentinel(s.withWatermark("ts_e", "1 minute"))
+        v = s.where(F.col("event_type") == "view")
+        return stream_ops.distinct_per_window(v, "ts_e", "1 hour", "user_id")
+    r = harness.run(_ev_stream_input(spark, sf), EV_ORDER, t, sentinel=_sentinel_row(), tag="uv")
+    return r.select(_ntz("window_start"), _ntz("window_end"), "uv")
+
+
+def q_stream_hot_items(spark, sf):
+    def t(s):
+        s = harness.drop_sentinel(s.withWatermark("ts_e", "1 minute"))
+        v = s.where(F.col("event_type") == "view").select(F.col("k").alias("item_id"), "ts_e")
+        return stream_ops.top_n_windows(v, "ts_e", "item_id", "1 hour", "5 minutes", 3)
+    r = harness.run(_ev_stream_input(spark, sf), EV_ORDER, t, sentinel=_sentinel_row(), tag="hot")
+    return r.select(_ntz("window_end"), "item_id", "item_count", "rank")
+
+
+def q_stream_word_count(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+
+    def t(s):
+        toks = transforms.tokenize(transforms.lines_of(s, "text"), "value")
+        return stream_ops.rolling_latest(toks, ["word"], {"count": F.sum("one")})
+    return harness.run(docs, ["doc_id"], t, mode="update", keys=["word"], tag="wc")
+
+
+def q_stream_rising_alert(spark, sf):
+    def t(s):
+        s = harness.drop_sentinel(s.withWatermark("ts_e", "0 seconds"))
+        return stream_rules.rising_alert_stream(s, "user_id", "ts_e", "event_id", "value", "6 hours")
+    r = harness.run(_ev_stream_input(spark, sf), EV_ORDER, t, sentinel=_sentinel_row(), tag="rise")
+    return r.select(F.col("key").cast("bigint").alias("user_id"), _ntz("fire_time"), "last_value")
+
+
 QUERIES = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (alerts, eventtime, joins, patterns, rolling, transforms, windows)
+from ..functions import aggregator
 from ..sources.tables import table
 from ..streaming import harness
 from ..streaming import ops as stream_ops
@@ -275,6 +276,16 @@ def q_window_distinct(spark, sf):
                             {"uv": ("count_distinct", "user_id")})
 
 
+def q_window_aggregate(spark, sf):
+    """The accumulator contract (create/add/merge/result): count and sum per
+    (event type, 1 h window), partial per input partition, merged per key."""
+    e = events(spark, sf)
+    w = F.window("ts", "1 hour")
+    keyed = e.select("event_type", w.start.alias("window_start"), w.end.alias("window_end"), "cents")
+    agg = aggregator.Combined(aggregator.CountAggregator("count"), aggregator.SumAggregator("cents", "cents"))
+    return aggregator.aggregate(keyed, ["event_type", "window_start", "window_end"], agg)
+
+
 def q_window_with_end(spark, sf):
     return windows.window_with_end(events(spark, sf), ["event_type"], "ts", "1 hour", "15 minutes",
                                    {"count": ("count", F.lit(1))})

@@ -45,9 +45,11 @@ def watermark_trace(df: DataFrame, time_col: str, arrival: Sequence[str], delay,
     arrival-order chunks — no single-partition window.
     """
     d = duration(delay)
-    r = ordered.running(df, [], arrival, {"_mx": ("max", time_col), "_mxb": ("max", time_col),
-                                          "arrival_pos": ("count", F.lit(1))},
-                        exclusive=["_mxb"], bounds=bounds)
+    b = bounds or ordered.boundaries(df, [], arrival)
+    r = ordered.running(df.withColumn("arrival_chunk", b.expr()), [], arrival,
+                        {"_mx": ("max", time_col), "_mxb": ("max", time_col),
+                         "arrival_pos": ("count", F.lit(1))},
+                        exclusive=["_mxb"], chunk="arrival_chunk")
     return (r.withColumn("wm_after", F.col("_mx") - _iv(d))
              .withColumn("wm_before", F.col("_mxb") - _iv(d))
              .drop("_mx", "_mxb"))
@@ -108,7 +110,9 @@ def window_firings(df: DataFrame, time_col: str, arrival: Sequence[str], size, d
                .groupBy("window_start", "window_end", "fire_pos").agg(F.count(F.lit(1)).alias("count"))
                .withColumn("kind", F.lit("on_time")))
     after = j.where(F.col("fire_pos").isNotNull())
-    after = ordered.running(after, ["window_start"], ["arrival_pos"], {"count": ("count", F.lit(1))})
+    # per window in arrival order: the trace's arrival chunks already split it
+    after = ordered.running(after, ["window_start"], ["arrival_pos"], {"count": ("count", F.lit(1))},
+                            chunk="arrival_chunk")
     late = (after.where(F.col("arrival_pos") > F.col("fire_pos"))
             .select("window_start", "window_end", F.col("arrival_pos").alias("fire_pos"), "count",
                     F.lit("late").alias("kind")))

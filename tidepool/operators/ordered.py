@@ -112,8 +112,15 @@ def boundaries(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-            n: int | None = None, bounds: Bounds | None = None) -> DataFrame:
-    """Add ``_chunk``: the id of the (key, order) range a row falls in."""
+            n: int | None = None, bounds: Bounds | None = None,
+            chunk: str | None = None) -> DataFrame:
+    """Add ``_chunk``: the id of the (key, order) range a row falls in.
+
+    ``chunk`` names an existing column to use instead; it must not decrease
+    along ``order`` within a key (e.g. a chunk id computed for an order the
+    current one follows)."""
+    if chunk is not None:
+        return df.withColumn(CHUNK, F.col(chunk))
     if bounds is None or bounds.keys != list(keys) or bounds.order != list(order):
         bounds = boundaries(df, keys, order, n)
     return df.withColumn(CHUNK, bounds.expr())
@@ -155,7 +162,7 @@ _RUNNING = {
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             aggs: Mapping[str, tuple[str, str | Column]], n: int | None = None,
             inclusive: bool = True, exclusive: Sequence[str] = (),
-            bounds: Bounds | None = None) -> DataFrame:
+            bounds: Bounds | None = None, chunk: str | None = None) -> DataFrame:
     """Add one running-aggregate column per ``aggs`` entry.
 
     ``aggs = {"out": ("sum" | "count" | "max" | "min", column)}``.  The value
@@ -164,7 +171,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     Equal to
     ``agg(col).over(partitionBy(keys).orderBy(order).rowsBetween(-inf, 0))``.
     """
-    c = chunked(df, keys, order, n, bounds)
+    c = chunked(df, keys, order, n, bounds, chunk)
     w_in = _local_window(keys, order).rowsBetween(_UNB_PREC, Window.currentRow)
     w_ex = _local_window(keys, order).rowsBetween(_UNB_PREC, -1)
 

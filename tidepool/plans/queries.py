@@ -301,6 +301,7 @@ def q_watermark_trace(spark, sf):
     return t.select("event_id", "arrival_pos", "wm_before", "wm_after")
 
 
+
 def q_window_firings(spark, sf):
     return eventtime.window_firings(events_arrival(spark, sf), "ts", ARRIVAL, WSIZE, DELAY, LATENESS)
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import chunk_count
+from ..session import auto_chunks
 
 CHUNK = "_chunk"
 
@@ -82,13 +82,14 @@ def _null_first(t: tuple) -> tuple:
 def boundaries(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int | None = None,
                per_chunk: int = 32, seed: int = 7) -> Bounds:
     """Sample ``n - 1`` boundaries splitting ``df`` sorted by (keys, order)
-    into ``n`` ranges of about equal row count.
+    into ``n`` ranges of about equal row count (``n`` defaults to the
+    input's estimated size over the chunk target, see ``session.auto_chunks``).
 
     Two JVM-side jobs over the key and order columns only: a count, then a
     uniform ``sample`` of about ``per_chunk * n`` rows collected to the
     driver (bounded by ``n``, not by the data).
     """
-    n = n or chunk_count(df.sparkSession)
+    n = n or auto_chunks(df)
     cols = list(keys) + list(order)
     types = [df.schema[c].dataType for c in cols]
     if n <= 1:
@@ -119,11 +120,16 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ``chunk`` names an existing column to use instead; it must not decrease
     along ``order`` within a key (e.g. a chunk id computed for an order the
     current one follows)."""
+    return _chunked(df, keys, order, n, bounds, chunk)[0]
+
+
+def _chunked(df, keys, order, n, bounds, chunk) -> tuple[DataFrame, bool]:
+    """(rows with ``_chunk``, whether everything is in one chunk)."""
     if chunk is not None:
-        return df.withColumn(CHUNK, F.col(chunk))
+        return df.withColumn(CHUNK, F.col(chunk)), False
     if bounds is None or bounds.keys != list(keys) or bounds.order != list(order):
         bounds = boundaries(df, keys, order, n)
-    return df.withColumn(CHUNK, bounds.expr())
+    return df.withColumn(CHUNK, bounds.expr()), not bounds.rows
 
 
 def _attach(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -171,7 +177,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     Equal to
     ``agg(col).over(partitionBy(keys).orderBy(order).rowsBetween(-inf, 0))``.
     """
-    c = chunked(df, keys, order, n, bounds, chunk)
+    c, single = _chunked(df, keys, order, n, bounds, chunk)
     w_in = _local_window(keys, order).rowsBetween(_UNB_PREC, Window.currentRow)
     w_ex = _local_window(keys, order).rowsBetween(_UNB_PREC, -1)
 
@@ -181,6 +187,8 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     local = c.select("*", *[
         _RUNNING[f][0](_col(e)).over(frame(name)).alias(f"_l_{name}")
         for name, (f, e) in aggs.items()])
+    if single:   # one chunk: the local scan is the answer
+        return local.select(*df.columns, *[F.col(f"_l_{name}").alias(name) for name in aggs])
     totals = c.groupBy(*keys, CHUNK).agg(*[
         _RUNNING[f][0](_col(e)).alias(f"_t_{name}") for name, (f, e) in aggs.items()])
     wp = _chunk_window(keys).rowsBetween(_UNB_PREC, -1)
@@ -210,7 +218,7 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     k_lead = max([o for o in offsets if o > 0], default=0)
     k_lag = max([-o for o in offsets if o < 0], default=0)
-    c = chunked(df, keys, order, n, bounds)
+    c, single = _chunked(df, keys, order, n, bounds, None)
     wl = _local_window(keys, order)
     payload = F.struct(*[_col(e).alias(name) for name, e in fields.items()])
     c = (c.withColumn("_pl", payload)
@@ -219,6 +227,9 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     for off in offsets:
         fn = F.lead("_pl", off) if off > 0 else F.lag("_pl", -off)
         c = c.withColumn(f"_loc{off}", fn.over(wl))
+    if single:   # one chunk: plain lag / lead
+        return c.select(*df.columns, *[F.col(f"_loc{off}").alias(f"{prefix}{off}") for off in offsets],
+                        F.col("_rn").cast("bigint").alias(f"{prefix}_pos"))
     edge_head = F.col("_rn") <= k_lead
     edge_tail = (F.col("_cnt") - F.col("_rn")) < k_lag
     tbl = (c.where(edge_head | edge_tail)
@@ -266,7 +277,7 @@ def next_match(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     forward ``first .. unboundedFollowing`` frame.  Across chunks the first
     (last) match of each chunk is carried in the per-chunk table.
     """
-    c = chunked(df, keys, order, n, bounds)
+    c, single = _chunked(df, keys, order, n, bounds, None)
     ord_fields = [F.col(o).alias(f"_o{i}") for i, o in enumerate(order)]
     payload = F.struct(*ord_fields, *[_col(e).alias(k) for k, e in fields.items()])
     cand = F.when(cond, payload)
@@ -281,6 +292,10 @@ def next_match(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         wp = (Window.partitionBy(*keys) if keys else Window).orderBy(F.col(CHUNK).desc()) \
             .rowsBetween(_UNB_PREC, -1)
     local = c.withColumn("_locm", pick(cand, ignorenulls=True).over(wl))
+    if single:
+        res = F.col("_locm")
+        keep = F.struct(*[res[k].alias(k) for k in fields])
+        return local.select(*df.columns, F.when(res.isNotNull(), keep).alias(name))
     firsts = c.groupBy(*keys, CHUNK).agg(chunk_pick(cand).alias("_edge"))
     carry = firsts.select(*keys, CHUNK, F.last("_edge", ignorenulls=True).over(wp).alias("_carry"))
     j = _attach(local, carry, keys)

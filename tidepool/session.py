@@ -67,14 +67,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def chunk_count(spark: SparkSession) -> int:
-    """How many ordered chunks a sequence scan splits its input into.
-
-    Tied to the shuffle partition count so a chunk is about one shuffle
-    partition of data, whatever the cluster size.
-    """
+    """The most ordered chunks a sequence scan splits its input into: the
+    shuffle partition count, so the chunks fill the cluster's slots."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _bytes(text: str) -> int:
+    t = text.strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if t and t[-1] in mult:
+        return int(float(t[:-1]) * mult[t[-1]])
+    return int(t)
+
+
+def chunk_target_bytes(spark: SparkSession) -> int:
+    """Data per chunk: ``spark.tidepool.chunkTargetBytes`` if set, else AQE's
+    advisory partition size (64 MB by default)."""
+    v = spark.conf.get("spark.tidepool.chunkTargetBytes", None)
+    if v:
+        return _bytes(v)
+    return _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+
+
+def auto_chunks(df) -> int:
+    """Chunks for a scan of ``df``: its estimated size (Catalyst statistics)
+    over the chunk target, between 1 and ``chunk_count``.  A small input is
+    one chunk (no sampling jobs, plain windows); 100 TB uses every slot."""
+    spark = df.sparkSession
+    top = chunk_count(spark)
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # noqa: BLE001 - no statistics: assume large
+        return top
+    return max(1, min(top, -(-size // max(1, chunk_target_bytes(spark)))))
+
+
 def materialize(df):
     """Write ``df`` to the shared checkpoint folder and return a DataFrame
     reading it back (lineage cut; survives executor loss).

@@ -86,8 +86,10 @@ def window_firings(df: DataFrame, time_col: str, arrival: Sequence[str], size, d
     of the window so far).  Late records are in ``late_side_output``.
     """
     d = duration(delay)
-    # the trace feeds three more ordered scans and joins: write it once
-    t = materialize(_traced_windows(df, time_col, arrival, size, delay, lateness))
+    # the trace feeds an as-of lookup, two joins and more ordered scans
+    # (each may sample its input): write it once as a table instead of
+    # recomputing it for every job; this also keeps later plans small
+    t = materialize(_traced_windows(df, time_col, arrival, size, delay, lateness), "trace")
     acc = t.where(~F.col("is_late"))
     # first arrival position whose watermark reaches the window's last tick:
     # an as-of lookup done as "next record row" in one ordered union

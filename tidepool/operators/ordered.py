@@ -221,12 +221,12 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     c, single = _chunked(df, keys, order, n, bounds, None)
     wl = _local_window(keys, order)
     payload = F.struct(*[_col(e).alias(name) for name, e in fields.items()])
-    c = (c.withColumn("_pl", payload)
-          .withColumn("_rn", F.row_number().over(wl))
-          .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, CHUNK)).cast("int")))
-    for off in offsets:
-        fn = F.lead("_pl", off) if off > 0 else F.lag("_pl", -off)
-        c = c.withColumn(f"_loc{off}", fn.over(wl))
+    c = c.withColumn("_pl", payload)
+    locs = [(F.lead("_pl", off) if off > 0 else F.lag("_pl", -off)).over(wl).alias(f"_loc{off}")
+            for off in offsets]
+    c = c.select("*", F.row_number().over(wl).alias("_rn"),
+                 F.count(F.lit(1)).over(Window.partitionBy(*keys, CHUNK)).cast("int").alias("_cnt"),
+                 *locs)
     if single:   # one chunk: plain lag / lead
         return c.select(*df.columns, *[F.col(f"_loc{off}").alias(f"{prefix}{off}") for off in offsets],
                         F.col("_rn").cast("bigint").alias(f"{prefix}_pos"))

@@ -102,12 +102,17 @@ def auto_chunks(df) -> int:
     return max(1, min(top, -(-size // max(1, chunk_target_bytes(spark)))))
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and return a DataFrame
-    reading it back (lineage cut; survives executor loss).
+def materialize(df, name: str = "table"):
+    """Write ``df`` as a parquet table under the shared checkpoint folder
+    (``spark.checkpoint.dir``) and return a DataFrame reading it back:
+    lineage is cut, lost executors do not lose it, and the read has exact
+    size statistics.
 
     Used where several later jobs (boundary sampling, the final action)
     would otherwise recompute an expensive intermediate result.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -55,3 +55,17 @@ def test_window_firings_fixture(spark):
     assert got == [(120, "late", 3), (120, "on_time", 2), (125, "on_time", 3), (130, "end", 2)]
     _, late = eventtime.late_side_output(df, "et", ["seq"], "5 seconds", "3 seconds", "2 seconds")
     assert rows(late, "seq") == [(7,)]
+
+
+def test_rising_alert_join_walk_equals_segment_runner(spark):
+    """Force every segment onto the pointer-doubling walk."""
+    spark.conf.set("spark.tidepool.segmentRowLimit", "1")
+    try:
+        assert _alerts(sensor_df(spark, RISING)) == [("sensor_1", 127, 40.0), ("sensor_1", 133, 60.0),
+                                                     ("sensor_1", 139, 80.0)]
+        assert _alerts(sensor_df(spark, RISING), bounded=False) == [("sensor_1", 127, 40.0),
+                                                                    ("sensor_1", 133, 60.0)]
+        assert _alerts(sensor_df(spark)) == [("sensor_1", 120, 10.0), ("sensor_1", 128, 70.0),
+                                             ("sensor_2", 130, 60.0), ("sensor_3", 134, 90.0)]
+    finally:
+        spark.conf.unset("spark.tidepool.segmentRowLimit")

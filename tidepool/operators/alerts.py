@@ -160,14 +160,96 @@ def rising_alert(df: DataFrame, keys: Sequence[str], time_col: str, seq: str, va
     end = None
     if not bounded:
         end = df.agg(F.max(us)).first()[0]
-    key_fields = [T.StructField(f"_k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
-    schema = T.StructType(key_fields + [T.StructField("_fire", T.LongType()),
-                                        T.StructField("last_value", T.DoubleType())])
     seg_cols = [f"_k{i}" for i in range(len(keys))] + ["_sa", "_sb"]
-    clustered = g.repartition(*seg_cols).sortWithinPartitions(*seg_cols, "_t", "_seq")
-    res = clustered.mapInPandas(_alerts_in_partition(len(keys), d_us, end), schema)
+    limit = segment_row_limit(df.sparkSession)
+    sizes = g.groupBy(*seg_cols).agg(F.count(F.lit(1)).alias("_n"))
+    biggest = sizes.agg(F.max("_n")).first()[0] or 0
+    if biggest <= limit:
+        res = _alerts_by_segment(g, keys, seg_cols, d_us, end)
+    else:
+        # segments above the limit take the exact join-based chain walk;
+        # the rest stay on the per-partition runner
+        big = sizes.where(F.col("_n") > limit).drop("_n")
+        cond = [g[c].eqNullSafe(big[c]) for c in seg_cols]
+        in_big = g.join(big.withColumn("_big", F.lit(True)), cond, "left").select(g["*"], "_big")
+        small = in_big.where(F.col("_big").isNull()).drop("_big")
+        large = in_big.where(F.col("_big")).drop("_big")
+        res = _alerts_by_segment(small, keys, seg_cols, d_us, end).unionByName(
+            _alerts_by_doubling(large, keys, seg_cols, d_us, end))
     fire = F.timestamp_micros("_fire")
     if isinstance(df.schema[time_col].dataType, T.TimestampNTZType):
         fire = fire.cast("timestamp_ntz")
     return res.select(*[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)],
                       fire.alias("fire_time"), "last_value")
+
+
+def segment_row_limit(spark) -> int:
+    """Largest segment walked in one task (``spark.tidepool.segmentRowLimit``,
+    default one million rows); longer ones use the join-based walk."""
+    return int(spark.conf.get("spark.tidepool.segmentRowLimit", "1000000"))
+
+
+def _alerts_by_segment(g: DataFrame, keys, seg_cols, d_us: int, end) -> DataFrame:
+    key_fields = [f for f in g.schema.fields if f.name in seg_cols[:len(keys)]]
+    schema = T.StructType(key_fields + [T.StructField("_fire", T.LongType()),
+                                        T.StructField("last_value", T.DoubleType())])
+    clustered = g.repartition(*seg_cols).sortWithinPartitions(*seg_cols, "_t", "_seq")
+    return clustered.mapInPandas(_alerts_in_partition(len(keys), d_us, end), schema)
+
+
+def _on_ids(a: DataFrame, b: DataFrame, seg_cols, a_id: str, b_id: str) -> DataFrame:
+    """Inner join on (segment keys, row id); null keys match null keys."""
+    cond = [a[c].eqNullSafe(b[c]) for c in seg_cols] + [a[a_id] == b[b_id]]
+    return a.join(b, cond, "inner")
+
+
+def _alerts_by_doubling(g: DataFrame, keys, seg_cols, d_us: int, end) -> DataFrame:
+    """Timer chains of long segments without holding a segment in one task.
+
+    For every row r of a segment (rows rising, except a final non-rising
+    terminator): ``nxt(r)`` = first row with t > t(r) + delay and ``last(r)``
+    = last row with t <= t(r) + delay, both by chunked as-of scans over the
+    rows plus one probe per row.  A timer started at r fires at t(r) + delay
+    with last(r)'s value unless last(r) is the terminator (cancelled); the
+    next timer starts at nxt(r) if it is rising.  The chain from each
+    segment's first row is found by pointer doubling: log2(chain length)
+    rounds of equi-joins on row ids, each round written out (lineage cut).
+    """
+    from ..session import materialize
+    order = ["_t", "_kind", "_seq"]
+    data = g.select(*seg_cols, "_t", "_seq", "_v", "_rise", F.lit(0).alias("_kind"))
+    probes = g.select(*seg_cols, (F.col("_t") + d_us).alias("_t"), "_seq",
+                      F.lit(None).cast("double").alias("_v"), F.lit(None).cast("boolean").alias("_rise"),
+                      F.lit(1).alias("_kind"))
+    u = data.unionByName(probes)
+    b = ordered.boundaries(u, seg_cols, order)
+    payload = {"seq": "_seq", "v": "_v", "rise": "_rise"}
+    u = ordered.next_match(u, seg_cols, order, F.col("_kind") == 0, payload, "_nx", bounds=b)
+    u = ordered.next_match(u, seg_cols, order, F.col("_kind") == 0, payload, "_ls", bounds=b,
+                           previous=True)
+    step = u.where(F.col("_kind") == 1).select(
+        *seg_cols, F.col("_seq").alias("_id"), (F.col("_t")).alias("_due"),
+        F.col("_ls.v").alias("_last"), F.col("_ls.rise").alias("_ok"),
+        F.when(F.col("_ls.rise") & F.col("_nx.rise"), F.col("_nx.seq")).alias("_next"),
+        F.col("_nx").isNull().alias("_tail"))
+    step = materialize(step, "chain-step")
+    firsts = g.groupBy(*seg_cols).agg(F.min(F.struct("_t", "_seq"))["_seq"].alias("_id"))
+    members = materialize(firsts, "chain-members")
+    jump = step.select(*seg_cols, "_id", F.col("_next").alias("_j"))
+    # R <- R + J(R); J <- J o J   (after round k, R holds chain steps < 2^(k+1))
+    while jump.where(F.col("_j").isNotNull()).limit(1).count() > 0:
+        hop = _on_ids(members, jump, seg_cols, "_id", "_id").where(F.col("_j").isNotNull()) \
+            .select(*[members[c] for c in seg_cols], F.col("_j").alias("_id"))
+        members = materialize(members.unionByName(hop).distinct(), "chain-members")
+        j2 = jump.select(*[F.col(c).alias(f"_q{i}") for i, c in enumerate(seg_cols)],
+                         F.col("_id").alias("_mid"), F.col("_j").alias("_j2"))
+        cond = [jump[c].eqNullSafe(j2[f"_q{i}"]) for i, c in enumerate(seg_cols)]
+        jump = materialize(jump.join(j2, cond + [jump["_j"] == j2["_mid"]], "left")
+                           .select(*[jump[c] for c in seg_cols], jump["_id"], F.col("_j2").alias("_j")),
+                           "chain-jump")
+    fired = _on_ids(members, step, seg_cols, "_id", "_id").select(
+        *[members[c] for c in seg_cols], "_due", "_last", "_ok", "_tail").where(F.col("_ok"))
+    if end is not None:
+        fired = fired.where(~F.col("_tail") | (F.col("_due") <= F.lit(end)))
+    return fired.select(*seg_cols[:len(keys)], F.col("_due").alias("_fire"),
+                        F.col("_last").alias("last_value"))

@@ -42,8 +42,9 @@ def one_shot_timer(df: DataFrame, keys: Sequence[str], order: Sequence[str], tim
     first = df.groupBy(*keys).agg(F.min(st).alias("_f"))
     out = first.select(*keys, (F.col("_f._t") + _iv(duration(delay))).alias("fire_time"))
     if not bounded:
-        mx = df.agg(F.max(time_col).alias("_mx"))
-        out = out.crossJoin(F.broadcast(mx)).where(F.col("fire_time") <= F.col("_mx")).drop("_mx")
+        # the stream's watermark = its max event time (one scalar)
+        mx = df.agg(F.max(time_col)).first()[0]
+        out = out.where(F.col("fire_time") <= F.lit(mx).cast(df.schema[time_col].dataType))
     return out
 
 

@@ -97,22 +97,27 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
 def late_split(main_path: str, late_path: str, time_col: str, window_col: str, lateness=0):
     """A ``foreachBatch`` writer for late data: each micro-batch is split by
     comparing its records' window end (+ lateness) with the largest event
-    time written before it (kept in the ``main_path`` table); late records
-    go to ``late_path``, the rest to ``main_path``.  Returns the callback."""
+    time of the batches before it; late records go to ``late_path``, the
+    rest to ``main_path``.  The running max is a one-row-per-batch side table
+    (``main_path``/_watermarks), so a batch never rescans earlier output.
+    Returns the callback."""
     lat = F.make_dt_interval(secs=F.lit(duration(lateness)))
+    marks = main_path.rstrip("/") + "_watermarks"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         try:
-            prev = spark.read.parquet(main_path).agg(F.max(time_col)).first()[0]
+            m = spark.read.parquet(marks)
+            prev = m.where(F.col("batch_id") < batch_id).agg(F.max("max_ts")).first()[0]
         except Exception:  # noqa: BLE001 - first batch: nothing written yet
             prev = None
         b = batch.persist()
-        if prev is None:
-            late = F.lit(False)
-        else:
-            late = F.col(window_col + ".end") + lat <= F.lit(prev)
-        b.where(late).write.mode("append").parquet(late_path)
-        b.where(~late).write.mode("append").parquet(main_path)
+        late = F.lit(False) if prev is None else (F.col(window_col + ".end") + lat <= F.lit(prev))
+        # one folder per micro-batch, overwritten: a retried batch replaces
+        # its own output instead of appending it twice
+        part = f"batch_id={batch_id}"
+        b.where(late).write.mode("overwrite").parquet(f"{late_path}/{part}")
+        b.where(~late).write.mode("overwrite").parquet(f"{main_path}/{part}")
+        b.agg(F.max(time_col).alias("max_ts")).write.mode("overwrite").parquet(f"{marks}/{part}")
         b.unpersist()
     return write

@@ -4,7 +4,6 @@ and, through ``foreach_batch``, on every micro-batch of a stream."""
 
 from __future__ import annotations
 
-import os
 import time
 from collections.abc import Callable, Mapping, Sequence
 
@@ -29,39 +28,34 @@ def write_topic(df: DataFrame, servers: str, topic: str, value: str | Column | N
      .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
 
 
-def latest_per_field(df: DataFrame, field: str, value: str, order: Sequence[str]) -> DataFrame:
-    """The last value of each field in ``order`` (a later record overwrites)."""
-    st = F.struct(*[F.col(o) for o in order], F.col(value).alias("_v"))
-    return df.groupBy(field).agg(F.max(st)["_v"].alias(value))
-
-
-def _versions(path: str) -> list[str]:
-    if not os.path.isdir(path):
-        return []
-    return sorted(d for d in os.listdir(path) if d.startswith("v=")
-                  and os.path.exists(os.path.join(path, d, "_SUCCESS")))
-
-
 def read_hash(spark: SparkSession, path: str) -> DataFrame | None:
-    """Current content of a hash table written by ``upsert_hash``."""
-    v = _versions(path)
-    return spark.read.parquet(os.path.join(path, v[-1])) if v else None
+    """Current content of a hash table written by ``upsert_hash``: the value
+    of the newest write of each field (a grouped ``max`` of a struct, so it
+    combines map-side)."""
+    try:
+        log = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - nothing written yet
+        return None
+    field, value = [c for c in log.columns if c != "_version"][:2]
+    # one row per field per write: the newest write wins
+    return log.groupBy(field).agg(F.max(F.struct("_version", F.col(value).alias("_v")))["_v"]
+                                  .alias(value))
 
 
 def upsert_hash(df: DataFrame, path: str, field: str, value: str, order: Sequence[str]) -> DataFrame:
     """Hash upsert ``HSET name field value``: the latest value per field of
     this input replaces the stored one; other fields are kept.
 
-    The table is a folder of versions (``v=<n>``); each upsert writes a new
-    complete version and readers take the newest finished one, so a failed
-    write never leaves a half table.  Returns the new content.
+    The table is an append-only log: each upsert appends only its own latest
+    row per field, tagged with a write version (cost grows with the batch,
+    not the table); ``read_hash`` resolves the newest value per field.
+    Returns the current content.
     """
     spark = df.sparkSession
-    upd = latest_per_field(df, field, value, order)
-    cur = read_hash(spark, path)
-    new = upd if cur is None else cur.join(upd, field, "left_anti").unionByName(upd)
-    version = f"v={time.time_ns():020d}"
-    new.write.parquet(os.path.join(path, version))
+    st = F.struct(*[F.col(o) for o in order])
+    upd = (df.groupBy(field).agg(F.max(F.struct(st.alias("_o"), F.col(value).alias("_v"))).alias("_m"))
+           .select(field, F.col("_m._v").alias(value), F.lit(time.time_ns()).alias("_version")))
+    upd.write.mode("append").parquet(path)
     return read_hash(spark, path)
 
 

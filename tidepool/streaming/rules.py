@@ -14,7 +14,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.timecols import duration
@@ -82,5 +81,3 @@ def previous_value_stream(stream: DataFrame, key: str, time_col: str, seq: str,
     return stream.groupBy(key).applyInPandasWithState(
         step, out_schema, "prev double", "append", GroupStateTimeout.NoTimeout)
 
-
-__all__ = ["rising_alert_stream", "previous_value_stream", "T"]

@@ -396,5 +396,6 @@ WHERE r.timer IS NOT NULL""",
 for _s, _b in {"stream_tumbling": "tumbling", "stream_session": "session",
                "stream_unique_visitors_hourly": "unique_visitors_hourly",
                "stream_hot_items": "hot_items", "stream_word_count": "word_count",
-               "stream_rising_alert": "rising_alert", "window_aggregate": "tumbling"}.items():
+               "stream_rising_alert": "rising_alert", "window_aggregate": "tumbling",
+               "stream_interval_join": "interval_join"}.items():
     ORACLE[_s] = ORACLE[_b]

@@ -495,4 +495,20 @@ def q_stream_rising_alert(spark, sf):
     return r.select(F.col("key").cast("bigint").alias("user_id"), _ntz("fire_time"), "last_value")
 
 
+def q_stream_interval_join(spark, sf):
+    """Orders x lineitem as two streams: equi key, shipdate in orderdate
+    -5 .. +15 days, watermarks on both sides bound the join state."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate") \
+        .withColumn("o_t", F.col("o_orderdate").cast("timestamp"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate") \
+        .withColumn("l_t", F.col("l_shipdate").cast("timestamp"))
+
+    def t(ls, rs):
+        j = stream_ops.interval_join(ls.withWatermark("o_t", "60 days"), rs.withWatermark("l_t", "60 days"),
+                                     "o_orderkey", "l_orderkey", "o_t", "l_t", "-5 days", "15 days")
+        return j.select("o_orderkey", "o_orderdate", "l_linenumber", "l_partkey", "l_shipdate")
+    return harness.run_join(o, ["o_orderdate", "o_orderkey"], li,
+                            ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"], t)
+
+
 QUERIES = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

@@ -99,6 +99,26 @@ def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], Da
     raise ValueError(f"unsupported mode {mode!r}")
 
 
+def run_join(left: DataFrame, left_order: Sequence[str], right: DataFrame,
+             right_order: Sequence[str], transform: Callable[[DataFrame, DataFrame], DataFrame],
+             n_files: int = 4, tag: str = "join") -> DataFrame:
+    """Replay two tables as two streams (micro-batch i reads file i of each,
+    so both advance through time together), run a two-input streaming
+    transform in append mode and return the sink's content."""
+    spark = left.sparkSession
+    root = _run_dir(spark, tag)
+    lsrc, rsrc, out, ckpt = (os.path.join(root, x) for x in ("left", "right", "sink", "checkpoint"))
+    stage(left, left_order, n_files, lsrc)
+    stage(right, right_order, n_files, rsrc)
+    ls = drop_sentinel(read(spark, lsrc, spark.read.parquet(lsrc).schema))
+    rs = drop_sentinel(read(spark, rsrc, spark.read.parquet(rsrc).schema))
+    stream = transform(ls, rs)
+    q = (stream.writeStream.outputMode("append").format("parquet")
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
 def drop_sentinel(stream: DataFrame) -> DataFrame:
     """Drop the marker column.  The sentinel record itself is *not* filtered:
     Catalyst pushes filters below ``withWatermark`` into the scan, so a

@@ -397,5 +397,6 @@ for _s, _b in {"stream_tumbling": "tumbling", "stream_session": "session",
                "stream_unique_visitors_hourly": "unique_visitors_hourly",
                "stream_hot_items": "hot_items", "stream_word_count": "word_count",
                "stream_rising_alert": "rising_alert", "window_aggregate": "tumbling",
-               "stream_interval_join": "interval_join"}.items():
+               "stream_interval_join": "interval_join", "stream_previous_value": "previous_value",
+               "stream_order_pay": "order_pay", "stream_order_timeout": "order_timeout"}.items():
     ORACLE[_s] = ORACLE[_b]

@@ -511,4 +511,33 @@ def q_stream_interval_join(spark, sf):
                             ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"], t)
 
 
+def q_stream_previous_value(spark, sf):
+    def t(s):
+        return stream_rules.previous_value_stream(
+            s.select("event_id", "user_id", "ts", "cents"), "user_id", "ts", "event_id", "cents",
+            "event_id long, user_id long, cents long, previous long")
+    e = events(spark, sf).select("event_id", "user_id", "ts", "cents")
+    return harness.run(e, EV_ORDER, t, tag="prev")
+
+
+def _stream_order_pay(spark, sf):
+    def t(s):
+        s = harness.drop_sentinel(s.withWatermark("ts_e", "0 seconds"))
+        return stream_rules.followed_by_within_stream(s, "user_id", "ts_e", "event_id", "event_type",
+                                                      "view", "purchase", "6 hours")
+    return harness.run(_ev_stream_input(spark, sf), EV_ORDER, t, sentinel=_sentinel_row(), tag="pay")
+
+
+def q_stream_order_pay(spark, sf):
+    r = _stream_order_pay(spark, sf).where(F.col("kind") == "match")
+    return r.select("user_id", F.col("first_id").alias("view_event_id"),
+                    F.col("second_id").alias("purchase_event_id"),
+                    (F.col("second_us") - F.col("first_us")).alias("elapsed_us"))
+
+
+def q_stream_order_timeout(spark, sf):
+    r = _stream_order_pay(spark, sf).where((F.col("kind") == "timeout") & (F.col("user_id") >= 0))
+    return r.select("user_id", F.col("first_id").alias("view_event_id"))
+
+
 QUERIES = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

@@ -65,19 +65,74 @@ def rising_alert_stream(stream: DataFrame, key: str, time_col: str, seq: str, va
 def previous_value_stream(stream: DataFrame, key: str, time_col: str, seq: str, value: str,
                           out_schema: str) -> DataFrame:
     """Every record with its key's previous value (value state, append mode)."""
+    vtype = stream.schema[value].dataType.simpleString()
 
     def step(k, pdfs, state: GroupState):
         prev = state.get[0] if state.exists else None
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values([time_col, seq])
-        vals = pdf[value].to_numpy()
-        prevs = np.empty(len(vals), dtype=object)
-        for i, v in enumerate(vals):
-            prevs[i] = prev
-            prev = v
-        state.update((None if prev is None else float(prev),))
-        pdf = pdf.assign(previous=prevs)
+        vals = pdf[value].tolist()
+        prevs = [prev] + vals[:-1]
+        state.update((vals[-1],))
+        pdf = pdf.assign(previous=pd.Series(prevs, dtype="object"))
         yield pdf[[c.split()[0] for c in out_schema.split(",")]]
 
     return stream.groupBy(key).applyInPandasWithState(
-        step, out_schema, "prev double", "append", GroupStateTimeout.NoTimeout)
+        step, out_schema, f"prev {vtype}", "append", GroupStateTimeout.NoTimeout)
 
+
+_PAIR_OUT = "user_id long, first_id long, second_id long, first_us long, second_us long, kind string"
+_PAIR_STATE = "pending_ids array<long>, pending_us array<long>"
+
+
+def followed_by_within_stream(stream: DataFrame, key: str, time_col: str, seq: str, kind_col: str,
+                              first: str, second: str, within) -> DataFrame:
+    """``begin(first).followedBy(second).within(t)`` on a stream.
+
+    Per key, starts wait in state (ids and event times); a ``second`` record
+    matches every waiting start less than ``within`` before it (its first
+    later ``second``) and clears them; starts older than ``within`` time out.
+    An event-time timer at the oldest start + ``within`` emits timeouts once
+    the watermark passes it.  Output rows: kind ``match`` or ``timeout``.
+    """
+    w_us = int(round(duration(within) * 1e6))
+
+    def step(k, pdfs, state: GroupState):
+        ids, tus = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
+        out = []
+
+        def expire(now_us):
+            """Starts whose deadline (start + within) is at or before now."""
+            nonlocal ids, tus
+            keep_i, keep_t = [], []
+            for i, t in zip(ids, tus):
+                if now_us - t >= w_us:
+                    out.append((k[0], i, None, t, None, "timeout"))
+                else:
+                    keep_i.append(i)
+                    keep_t.append(t)
+            ids, tus = keep_i, keep_t
+
+        if not state.hasTimedOut:
+            pdf = pd.concat(list(pdfs), ignore_index=True).sort_values([time_col, seq])
+            ts = pdf[time_col].astype("datetime64[us]").astype("int64").to_numpy()
+            for rid, t, kind in zip(pdf[seq].to_numpy(), ts, pdf[kind_col].to_numpy()):
+                t = int(t)
+                expire(t)                       # too old for this or any later record
+                if kind == second:
+                    out.extend((k[0], i, int(rid), s0, t, "match") for i, s0 in zip(ids, tus))
+                    ids, tus = [], []
+                if kind == first:
+                    ids.append(int(rid))
+                    tus.append(t)
+        expire(state.getCurrentWatermarkMs() * 1000)   # deadlines the watermark passed
+        if ids:
+            state.update((ids, tus))
+            state.setTimeoutTimestamp(min(tus) // 1000 + w_us // 1000 + 1)
+        else:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=["user_id", "first_id", "second_id", "first_us",
+                                             "second_us", "kind"])
+
+    return stream.groupBy(key).applyInPandasWithState(
+        step, _PAIR_OUT, _PAIR_STATE, "append", GroupStateTimeout.EventTimeTimeout)

@@ -31,6 +31,22 @@ toks AS (SELECT unnest(string_split(rtrim(line, ' '), ' ')) AS word FROM lines
          WHERE NOT (length(line) > 0 AND length(replace(line, ' ', '')) = 0))
 SELECT word, CAST(count(*) AS BIGINT) AS count FROM toks GROUP BY word""",
 
+    "word_count_rolling": """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         CAST(generate_subscripts(string_split(text, chr(10)), 1) AS BIGINT) AS line_no
+  FROM documents),
+toks AS (
+  SELECT doc_id, line_no, unnest(string_split(rtrim(line, ' '), ' ')) AS word,
+         CAST(generate_subscripts(string_split(rtrim(line, ' '), ' '), 1) AS BIGINT) AS token_pos
+  FROM lines WHERE NOT (length(line) > 0 AND length(replace(line, ' ', '')) = 0))
+SELECT doc_id, line_no, token_pos, word,
+       row_number() OVER (PARTITION BY word ORDER BY doc_id, line_no, token_pos) AS count
+FROM toks""",
+
+    "page_views_flatmap": """
+SELECT 'view' AS event_type, CAST(count(*) AS BIGINT) AS count FROM events WHERE event_type = 'view'""",
+
     "page_views": """
 SELECT 'view' AS event_type, count(*) AS count FROM events WHERE event_type = 'view'""",
 

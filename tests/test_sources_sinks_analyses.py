@@ -154,3 +154,17 @@ def test_aggregator_contract(spark):
     agg = aggregator.Combined(aggregator.CountAggregator(), aggregator.SumAggregator("vc", "vc"))
     got = rows(aggregator.aggregate(df, ["id"], agg))
     assert got == [("sensor_1", 6, 190), ("sensor_2", 2, 100), ("sensor_3", 2, 170)]
+
+
+def test_word_count_rolling_and_helpers(spark):
+    docs = spark.createDataFrame([(1, "a b a\nb"), (2, "a  ")], "doc_id bigint, text string")
+    r = analyses.word_count_rolling(docs, "doc_id", "text")
+    assert rows(r, "doc_id", "line_no", "token_pos", "word", "count") == [
+        (1, 1, 1, "a", 1), (1, 1, 2, "b", 1), (1, 1, 3, "a", 2), (1, 2, 1, "b", 2), (2, 1, 1, "a", 3)]
+    df = files.read_records(spark, _p("sensor-data.log"), schemas.WATER_SENSOR)
+    tagged = transforms.fan_out_tags(df, {"hi": F.col("vc") >= 50, "s1": F.col("id") == "sensor_1"})
+    assert dict(rows(tagged.groupBy("output").count())) == {"hi": 5, "s1": 6}
+    assert transforms.redistribute(df, 3).rdd.getNumPartitions() == 3
+    assert transforms.project(df, sid="id", v=F.col("vc") + 1).columns == ["sid", "v"]
+    uv = analyses.unique_visitors(df.withColumn("b", F.lit("pv")), "b", "id", approx=True)
+    assert uv.first().uv == 3

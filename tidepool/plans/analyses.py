@@ -23,11 +23,20 @@ def word_count(lines: DataFrame, col: str = "value") -> DataFrame:
     return toks.groupBy("word").agg(F.sum("one").alias("count"))
 
 
-def word_count_rolling(lines: DataFrame, order: Sequence[str], col: str = "value") -> DataFrame:
-    """Streaming-style word count on a bounded input: a running count per
-    word after every token (``order`` must give tokens a total order)."""
-    toks = transforms.tokenize(lines.select(col, *order), col)
-    return rolling.rolling_count(toks, ["word"], list(order))
+def word_count_rolling(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Bounded-stream word count: after every token, the running count of its
+    word, tokens in (document, line, position) order (1-based positions).
+
+    The per-word running count is a chunked scan, so a very common word is
+    split across tasks instead of landing in one."""
+    lines = docs.select(id_col, F.posexplode(F.split(text_col, "\n")).alias("line_no", "value"))
+    only_sep = (F.length("value") > 0) & (F.length(F.rtrim("value")) == 0)
+    toks = lines.where(~only_sep).select(
+        id_col, (F.col("line_no") + 1).cast("bigint").alias("line_no"),
+        F.posexplode(transforms.split_tokens(F.col("value"))).alias("token_pos", "word"))
+    toks = toks.withColumn("token_pos", (F.col("token_pos") + 1).cast("bigint"))
+    r = rolling.rolling_count(toks, ["word"], [id_col, "line_no", "token_pos"])
+    return r.select(id_col, "line_no", "token_pos", "word", F.col("count").cast("bigint").alias("count"))
 
 
 def page_views(events: DataFrame, behavior_col: str, pv_value: str = "pv",

@@ -56,18 +56,8 @@ def q_word_count(spark, sf):
 
 
 def q_word_count_rolling(spark, sf):
-    """Bounded-stream word count: the running count of a word after each of
-    its tokens, tokens in (doc, line, position) order.  Per-word scans are
-    chunked, so a very common word is split across tasks."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "value"))
-    only_sep = (F.length("value") > 0) & (F.length(F.rtrim("value")) == 0)
-    toks = lines.where(~only_sep).select(
-        "doc_id", (F.col("line_no") + 1).cast("bigint").alias("line_no"),
-        F.posexplode(transforms.split_tokens(F.col("value"))).alias("token_pos", "word"))
-    toks = toks.withColumn("token_pos", (F.col("token_pos") + 1).cast("bigint"))
-    r = rolling.rolling_count(toks, ["word"], ["doc_id", "line_no", "token_pos"])
-    return r.select("doc_id", "line_no", "token_pos", "word", F.col("count").cast("bigint").alias("count"))
+    return analyses.word_count_rolling(docs, "doc_id", "text")
 
 
 # --------------------------------------------------------------------------- page views / uv

@@ -104,22 +104,13 @@ def rolling_distinct(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
     """Running number of distinct ``value`` per key, after every record.
 
     A record counts 1 when it is the first of its (key, value) in ``order``:
-    the first occurrence is a grouped ``min`` (partial aggregation, so a hot
-    pair combines map-side), joined back; the flags then run through the
-    chunked prefix sum.
+    a running count per (key, value) equal to 1.  The flags then run through
+    a prefix sum per key.  Both are chunked scans, so neither a hot key nor a
+    hot (key, value) pair becomes one task, and no join is needed.
     """
-    ost = F.struct(*[F.col(o) for o in order])
-    firsts = (df.groupBy(*keys, value).agg(F.min(ost).alias("_fo"))
-              .select(*[F.col(k).alias(f"_dk{i}") for i, k in enumerate(keys)],
-                      F.col(value).alias("_dv"), "_fo"))
-    cond = [df[k].eqNullSafe(firsts[f"_dk{i}"]) for i, k in enumerate(keys)]
-    cond.append(df[value].eqNullSafe(firsts["_dv"]))
-    flagged = (df.join(firsts, on=cond, how="left")
-               .withColumn("_new", (ost == F.col("_fo")).cast("int"))
-               .drop("_dv", "_fo", *[f"_dk{i}" for i in range(len(keys))]))
-    # same rows, keys and order as the input: sample the bounds there
-    b = ordered.boundaries(df, keys, order)
-    r = ordered.running(flagged, keys, order, {out: ("sum", "_new")}, bounds=b)
+    firsts = ordered.running(df, list(keys) + [value], order, {"_c": ("count", F.lit(1))})
+    flagged = firsts.withColumn("_new", (F.col("_c") == 1).cast("int")).drop("_c")
+    r = ordered.running(flagged, keys, order, {out: ("sum", "_new")})
     return r.drop("_new").withColumn(out, F.col(out).cast("bigint"))
 
 

@@ -53,8 +53,8 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_time: str,
     inclusive).
 
     Time-bucketed: the right side falls in one bucket of width ``bucket``
-    (default ``upper - lower``); each left record probes the two or so buckets
-    its range overlaps.  The join key (key, bucket) spreads one busy key over
+    (default ``4 * (upper - lower)``); each left record probes the one or two
+    buckets its range overlaps.  The join key (key, bucket) spreads one busy key over
     time, so the range filter runs on bounded partitions; AQE splits what is
     still skewed.  Columns of both sides are kept (names must not clash).
     """
@@ -62,7 +62,10 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_time: str,
     lo_s, hi_s = duration(lower), duration(upper)
     if hi_s < lo_s:
         raise ValueError("upper must be >= lower")
-    width_us = int(round(duration(bucket) * 1e6)) if bucket else max(int(round((hi_s - lo_s) * 1e6)), 1)
+    # default width: 4x the range, so about one left row in four probes two
+    # buckets while a busy key is still spread over time
+    width_us = (int(round(duration(bucket) * 1e6)) if bucket
+                else max(int(round(4 * (hi_s - lo_s) * 1e6)), 1))
     lo_us, hi_us = int(round(lo_s * 1e6)), int(round(hi_s * 1e6))
     lt = _epoch_us(left_time)
     lb = left.withColumn("_ib", F.explode(F.sequence(

@@ -49,3 +49,14 @@ def test_list_and_map_state(spark):
     got = sorted((r.key, r.seq, r.times_seen, r.records) for r in out.collect()
                  if r.key != "zz_sentinel")
     assert got == [("a", 1, 1, 1), ("a", 2, 1, 2), ("a", 3, 2, 3), ("b", 4, 1, 1)]
+
+
+def test_timer_each_processor(spark):
+    df = sensor_df(spark).withColumn("vc", F.col("vc").cast("double"))
+    out = _run(spark, df, ["et", "seq"], lambda s: processors.stateful_rule(
+        s.withWatermark("et", "0 seconds"), ["id"], processors.TimerEachProcessor("et", "5 seconds"),
+        processors.TIMER_SCHEMA), "each")
+    got = sorted((r.key, int(r.fire_time.timestamp()) - B) for r in out.collect() if r.key != "zz_sentinel")
+    exp = sorted((r.id, int(r.fire_time.timestamp()) - B) for r in
+                 alerts.timer_each(df, ["id"], "et", "5 seconds").collect())
+    assert got == exp and len(got) == 10

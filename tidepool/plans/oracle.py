@@ -414,5 +414,6 @@ for _s, _b in {"stream_tumbling": "tumbling", "stream_session": "session",
                "stream_hot_items": "hot_items", "stream_word_count": "word_count",
                "stream_rising_alert": "rising_alert", "window_aggregate": "tumbling",
                "stream_interval_join": "interval_join", "stream_previous_value": "previous_value",
-               "stream_order_pay": "order_pay", "stream_order_timeout": "order_timeout"}.items():
+               "stream_order_pay": "order_pay", "stream_order_timeout": "order_timeout",
+               "stream_one_shot_timer": "one_shot_timer"}.items():
     ORACLE[_s] = ORACLE[_b]

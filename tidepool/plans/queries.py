@@ -553,4 +553,13 @@ def q_stream_order_timeout(spark, sf):
     return r.select("user_id", F.col("first_id").alias("view_event_id"))
 
 
+def q_stream_one_shot_timer(spark, sf):
+    def t(s):
+        s = harness.drop_sentinel(s.withWatermark("ts_e", "0 seconds"))
+        return stream_rules.one_shot_timer_stream(s, "user_id", "ts_e", "event_id", "5 seconds")
+    r = harness.run(_ev_stream_input(spark, sf), EV_ORDER, t, sentinel=_sentinel_row(), tag="timer")
+    fire = F.timestamp_micros("fire_us").cast("timestamp_ntz")
+    return r.where(F.col("user_id") >= 0).select("user_id", fire.alias("fire_time"))
+
+
 QUERIES = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

@@ -123,3 +123,34 @@ class SeenItemsProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+TIMER_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
+                             T.StructField("fire_time", T.TimestampType())])
+
+
+class TimerEachProcessor(StatefulProcessor):
+    """A timer at every record's event time + delay; timers of one key at the
+    same time are one timer (event-time timers are kept per key as a set,
+    in milliseconds)."""
+
+    def __init__(self, time_col: str, delay):
+        self.time_col = time_col
+        self.delay_ms = int(round(duration(delay) * 1000))
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for pdf in rows:
+            ms = pdf[self.time_col].astype("datetime64[ms]").astype("int64")
+            for t in sorted(set(int(x) for x in ms)):
+                self.handle.registerTimer(t + self.delay_ms)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        at = pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")
+        yield pd.DataFrame([(str(key[0]), at)], columns=["key", "fire_time"])
+
+    def close(self) -> None:
+        pass

@@ -136,3 +136,31 @@ def followed_by_within_stream(stream: DataFrame, key: str, time_col: str, seq: s
 
     return stream.groupBy(key).applyInPandasWithState(
         step, _PAIR_OUT, _PAIR_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+_TIMER_OUT = "user_id long, fire_us long"
+
+
+def one_shot_timer_stream(stream: DataFrame, key: str, time_col: str, seq: str, delay) -> DataFrame:
+    """One event-time timer per key at its first record's time + ``delay``
+    (earliest in (time, seq) order within the first micro-batch that has the
+    key); it fires once, when the watermark passes it."""
+    d_us = int(round(duration(delay) * 1e6))
+
+    def first_step(k, pdfs, state: GroupState):
+        if state.hasTimedOut:
+            due, _ = state.get
+            state.update((due, True))
+            yield pd.DataFrame([(k[0], due)], columns=["user_id", "fire_us"])
+            return
+        frames = list(pdfs)
+        if state.exists:
+            return
+        pdf = pd.concat(frames, ignore_index=True).sort_values([time_col, seq])
+        t0 = int(pdf[time_col].astype("datetime64[us]").astype("int64").iloc[0])
+        due = t0 + d_us
+        state.update((due, False))
+        state.setTimeoutTimestamp(due // 1000 + 1)
+
+    return stream.groupBy(key).applyInPandasWithState(
+        first_step, _TIMER_OUT, "due long, fired boolean", "append", GroupStateTimeout.EventTimeTimeout)

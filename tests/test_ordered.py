@@ -72,3 +72,17 @@ def test_next_and_previous_match(spark):
         e = rows(exp)
         assert got_a == [(r[0], r[1], r[2]) for r in e]
         assert all(got_b[(r[0], r[1])] == r[3] for r in e)
+
+
+def test_edge_cases_empty_single_null(spark):
+    empty = spark.createDataFrame([], "k string, ts int, seq int, v int")
+    assert ordered.running(empty, ["k"], ["ts", "seq"], {"s": ("sum", "v")}).count() == 0
+    assert ordered.neighbours(empty, ["k"], ["ts", "seq"], {"v": "v"}, [-1, 1]).count() == 0
+    one = spark.createDataFrame([(None, 1, 0, 5)], "k string, ts int, seq int, v int")
+    for n in (1, 4):
+        r = ordered.running(one, ["k"], ["ts", "seq"], {"s": ("sum", "v")}, n=n).first()
+        assert r.s == 5
+        nb = ordered.neighbours(one, ["k"], ["ts", "seq"], {"v": "v"}, [-1, 1], n=n).first()
+        assert nb["nb-1"] is None and nb["nb1"] is None and nb["nb_pos"] == 1
+        m = ordered.next_match(one, ["k"], ["ts", "seq"], F.lit(True), {"v": "v"}, "m", n=n).first()
+        assert m.m is None

@@ -35,14 +35,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import auto_chunks
 
 CHUNK = "_chunk"
 
 _UNB_PREC = Window.unboundedPreceding
-_UNB_FOLL = Window.unboundedFollowing
+
 
 
 def _col(c: str | Column) -> Column:

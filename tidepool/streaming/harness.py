@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ordered
-from ..session import ensure_checkpoint_dir
+from ..session import auto_chunks, ensure_checkpoint_dir
 
 SENTINEL = "_sentinel"
 
@@ -60,7 +60,7 @@ def read(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], DataFrame],
-        n_files: int = 4, sentinel: dict | None = None, mode: str = "append",
+        n_files: int | None = None, sentinel: dict | None = None, mode: str = "append",
         keys: Sequence[str] | None = None, tag: str = "q") -> DataFrame:
     """Stream ``df`` through ``transform`` and return what the sink holds.
 
@@ -72,6 +72,9 @@ def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], Da
     spark = df.sparkSession
     root = _run_dir(spark, tag)
     src, out, ckpt = (os.path.join(root, x) for x in ("source", "sink", "checkpoint"))
+    # at least four micro-batches; more when the input is large, so one file
+    # (written by one task) stays about one chunk of data
+    n_files = n_files or max(4, auto_chunks(df))
     stage(df, order, n_files, src, sentinel)
     schema = spark.read.parquet(src).schema
     stream = transform(read(spark, src, schema))
@@ -101,13 +104,14 @@ def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], Da
 
 def run_join(left: DataFrame, left_order: Sequence[str], right: DataFrame,
              right_order: Sequence[str], transform: Callable[[DataFrame, DataFrame], DataFrame],
-             n_files: int = 4, tag: str = "join") -> DataFrame:
+             n_files: int | None = None, tag: str = "join") -> DataFrame:
     """Replay two tables as two streams (micro-batch i reads file i of each,
     so both advance through time together), run a two-input streaming
     transform in append mode and return the sink's content."""
     spark = left.sparkSession
     root = _run_dir(spark, tag)
     lsrc, rsrc, out, ckpt = (os.path.join(root, x) for x in ("left", "right", "sink", "checkpoint"))
+    n_files = n_files or max(4, auto_chunks(left), auto_chunks(right))
     stage(left, left_order, n_files, lsrc)
     stage(right, right_order, n_files, rsrc)
     ls = drop_sentinel(read(spark, lsrc, spark.read.parquet(lsrc).schema))

@@ -45,6 +45,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -116,3 +117,32 @@ def materialize(df, name: str = "table"):
     path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidepool`` importable in the Python workers (``addPyFile`` of a
+    zip of the package, once per SparkContext).  Needed whenever a pandas
+    function refers to library code and the workers do not have it
+    installed.  The zip is written under the shared checkpoint folder."""
+    import uuid
+    import zipfile
+    sc = spark.sparkContext
+    if getattr(sc, "_tidepool_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    dest = os.path.join(ensure_checkpoint_dir(spark), "pyfiles")
+    local = dest[len("file:"):] if dest.startswith("file:") else dest
+    if "://" in local:
+        # a remote shared folder: build the zip next to the package instead
+        local = tempfile.mkdtemp(prefix="tidepool-pyfiles-")
+    os.makedirs(local, exist_ok=True)
+    path = os.path.join(local, f"tidepool-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._tidepool_shipped = True

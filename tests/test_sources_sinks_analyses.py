@@ -168,3 +168,14 @@ def test_word_count_rolling_and_helpers(spark):
     assert transforms.project(df, sid="id", v=F.col("vc") + 1).columns == ["sid", "v"]
     uv = analyses.unique_visitors(df.withColumn("b", F.lit("pv")), "b", "id", approx=True)
     assert uv.first().uv == 3
+
+
+def test_label_split_variant_b_and_filter(spark):
+    df = files.read_records(spark, _p("sensor-data.log"), schemas.WATER_SENSOR)
+    # variant B: below 50 and below 80 are both "normal"
+    lab = transforms.label_split(df, [(F.col("vc") < 50, ["normal"]), (F.col("vc") < 80, ["normal"])],
+                                 ["alarm"])
+    assert [transforms.select_label(lab, x).count() for x in ("normal", "alarm")] == [8, 2]
+    nums = spark.range(1, 9).toDF("value")
+    assert [r.value for r in transforms.filter_rows(nums, F.col("value") % 2 == 0).orderBy("value").collect()] \
+        == [2, 4, 6, 8]

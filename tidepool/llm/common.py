@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, ship_package
+from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
 
 __all__ = ["WORD", "materialize", "ship_package", "small_join", "table", "total_bytes", "word_count"]
@@ -21,18 +24,28 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table in the shared checkpoint folder and read back:
+    its lineage is cut, and lost executors do not lose it."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "llm", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def small_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
-               limit: int = BROADCAST_ROWS) -> DataFrame:
+               limit: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
     """Null-safe equi-join of ``big`` with a per-key table.
 
-    ``small`` is counted first (give a written table, so that counting is
-    cheap): up to ``limit`` rows it is broadcast, beyond that both sides are
-    shuffled and AQE splits skewed keys.  Either way the rows are the same.
+    ``small`` is counted first, unless its number of ``rows`` is known (give a
+    written table, so that counting is cheap): up to ``limit`` rows it is
+    broadcast, beyond that both sides are shuffled and AQE splits skewed keys.
+    Either way the rows are the same.
     """
     renamed = small
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"__{k}")
-    if small.limit(limit + 1).count() <= limit:
+    if (small.limit(limit + 1).count() if rows is None else rows) <= limit:
         renamed = F.broadcast(renamed)
     cond = None
     for k in keys:

@@ -6,7 +6,7 @@ documents of the same language and source: a minimum-covariance-determinant
 (MCD) estimate of centre and scatter, and the Mahalanobis distance to it.
 
 MCD by C-steps: from each of two starts (sum and maximum of the coordinates'
-robust z-scores) the ``subset`` part of a group with the smallest distances
+z-scores by median and interquartile range) the ``subset`` part of a group with the smallest distances
 gives mean and covariance, these give new distances, and so on; the start that
 ends with the smaller determinant wins.  One reweighting step follows.  As
 most clean documents have no symbols and no repeats at all, the covariance is
@@ -36,7 +36,7 @@ SYMBOLS = "#*$%&|<>"            # fixed value
 SPACES = " \t\n\x0b\x0c\r"      # fixed value
 
 COORDS = ("x_length", "x_word", "x_symbols", "x_lines", "x_repeats")
-FLOOR = (0.30, 0.15, 0.25, 0.25, 0.35)      # standard deviation added per coordinate
+FLOOR = (0.30, 0.15, 0.25, 0.80, 0.80)      # standard deviation added per coordinate
 MIN_GROUP = 100
 SUBSET = 0.75
 STEPS = 3
@@ -164,14 +164,14 @@ GROUP = ["level", "g_lang", "g_source"]
 
 def estimates(rows: DataFrame) -> DataFrame:
     """MCD centre, Cholesky factor and distance scale per group of ``rows``."""
-    p = len(COORDS)
-    mid = materialize(rows.groupBy(*GROUP).agg(*[_quantile(c, 0.5).alias(f"q{i}") for i, c in enumerate(COORDS)]), "mcd-mid")
-    dev = small_join(rows, mid, GROUP)
-    mad = materialize(dev.groupBy(*GROUP, *[f"q{i}" for i in range(p)]).agg(
-        *[F.percentile_approx(F.abs(F.col(c) - F.col(f"q{i}")), F.lit(0.5), F.lit(10000)).alias(f"a{i}")
-          for i, c in enumerate(COORDS)]), "mcd-mad")
-    z = [(F.col(c) - F.col(f"q{i}")) ** 2 / ((1.4826 * F.col(f"a{i}")) ** 2 + FLOOR[i] ** 2) for i, c in enumerate(COORDS)]
-    start = small_join(rows, mad, GROUP).select(
+    mid = materialize(rows.groupBy(*GROUP).agg(
+        *[F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10000)).alias(f"q{i}")
+          for i, c in enumerate(COORDS)]), "mcd-mid")
+    n = mid.count()
+    # the interquartile range of a normal variable is 1.349 standard deviations
+    z = [(F.col(c) - F.col(f"q{i}")[1]) ** 2 / (((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349) ** 2 + FLOOR[i] ** 2)
+         for i, c in enumerate(COORDS)]
+    start = small_join(rows, mid, GROUP, rows=n).select(
         *GROUP, *COORDS, F.explode(F.array(
             F.struct(F.lit(0).alias("start"), sum(z[1:], z[0]).alias("d2")),
             F.struct(F.lit(1).alias("start"), F.greatest(*z).alias("d2")))).alias("s"))
@@ -180,15 +180,15 @@ def estimates(rows: DataFrame) -> DataFrame:
     twice = rows.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     for _ in range(STEPS):
         cut = materialize(now.groupBy(*keys).agg(_quantile("d2", SUBSET).alias("cut")), "mcd-cut")
-        inner = small_join(now, cut, keys).filter("d2 <= cut")
+        inner = small_join(now, cut, keys, rows=2 * n).filter("d2 <= cut")
         est = materialize(_cholesky(inner.groupBy(*keys).agg(*_moments())), "mcd-step")
-        now = _distance(small_join(twice, est.drop("logdet"), keys))
+        now = _distance(small_join(twice, est.drop("logdet"), keys, rows=2 * n))
     best = est.groupBy(*GROUP).agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
-    best = materialize(small_join(est, materialize(best, "mcd-best"), keys), "mcd-raw")
+    best = materialize(small_join(est, best, keys, rows=n), "mcd-raw")
     # reweighting: all documents within the 0.975 quantile, by scaled distance
-    now = _distance(small_join(rows, best.drop("start", "logdet"), GROUP))
+    now = _distance(small_join(rows, best.drop("start", "logdet"), GROUP, rows=n))
     scale = materialize(now.groupBy(*GROUP).agg((_quantile("d2", 0.5) / CHI2_HALF).alias("scale")), "mcd-scale")
-    inner = small_join(now, scale, GROUP).filter(F.col("d2") <= CHI2_975 * F.greatest("scale", F.lit(1e-9)))
+    inner = small_join(now, scale, GROUP, rows=n).filter(F.col("d2") <= CHI2_975 * F.greatest("scale", F.lit(1e-9)))
     est = materialize(_cholesky(inner.groupBy(*GROUP).agg(*_moments())).drop("logdet"), "mcd-final")
     return est
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import kdtree, mixing, quality_rules, sharding, warc
+from . import kdtree, mixing, packing, quality_rules, sharding, subword_classifier, warc
 from .common import table
 
 
+def op2_quality_classifier(spark, sf):
+    return subword_classifier.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op3_sharding(spark, sf):
     docs = sharding.shard_documents(table(spark, sf, "documents"))
     return docs.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
@@ -18,6 +22,11 @@ def op4_source_mix(spark, sf):
     return mixing.mix_report(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "row")
+
+
 def op7_quality_rules(spark, sf):
     return quality_rules.judge(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
@@ -33,5 +42,5 @@ def op9_topk_search(spark, sf):
     return kdtree.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
 
 
-QUERIES = {f.__name__: f for f in (op3_sharding, op4_source_mix, op7_quality_rules, op8_warc_archive,
-                                   op9_topk_search)}
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_sharding, op4_source_mix, op5_packing,
+                                   op7_quality_rules, op8_warc_archive, op9_topk_search)}

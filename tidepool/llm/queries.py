@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import kdtree, mixing, packing, quality_rules, sharding, subword_classifier, warc
+from . import kdtree, mixing, ngram_join, packing, quality_rules, sharding, subword_classifier, warc
 from .common import table
 
 
@@ -42,5 +42,9 @@ def op9_topk_search(spark, sf):
     return kdtree.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
 
 
+def op10_ngram_jaccard(spark, sf):
+    return ngram_join.join(table(spark, sf, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_sharding, op4_source_mix, op5_packing,
-                                   op7_quality_rules, op8_warc_archive, op9_topk_search)}
+                                   op7_quality_rules, op8_warc_archive, op9_topk_search, op10_ngram_jaccard)}

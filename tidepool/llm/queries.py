@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import kdtree, mixing, ngram_join, packing, quality_rules, sharding, subword_classifier, warc
+from . import kdtree, mixing, ngram_join, packing, quality_rules, sharding, subword_classifier, substring_dedup, warc
 from .common import table
 
 
+def op1_substring_dedup(spark, sf):
+    return substring_dedup.report(table(spark, sf, "documents"))
+
+
 def op2_quality_classifier(spark, sf):
     return subword_classifier.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -46,5 +50,5 @@ def op10_ngram_jaccard(spark, sf):
     return ngram_join.join(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_sharding, op4_source_mix, op5_packing,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_classifier, op3_sharding, op4_source_mix, op5_packing,
                                    op7_quality_rules, op8_warc_archive, op9_topk_search, op10_ngram_jaccard)}

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
 
-__all__ = ["WORD", "materialize", "ship_package", "small_join", "table", "total_bytes", "word_count"]
+__all__ = ["WORD", "materialize", "ship_package", "small_join", "table", "total_bytes",
+           "with_row_ids", "word_count"]
 
 # fixed value: a word is a run of characters other than ASCII white space
 WORD = r"[^\x20\x09-\x0D]+"
@@ -57,3 +58,16 @@ def small_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
 def total_bytes(df: DataFrame, column: str) -> int:
     """UTF-8 bytes in a text column, over all rows."""
     return df.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0)).cast("long")).first()[0]
+
+
+def with_row_ids(documents: DataFrame) -> DataFrame:
+    """Adds ``rid``, unique and in order of doc_id: the doc_id itself where it
+    is unique and not null, else a number in that order."""
+    keys = documents.select(F.col("doc_id").cast("long").alias("rid"))
+    if keys.groupBy("rid").count().filter("rid is null or count > 1").isEmpty():
+        return documents.withColumn("rid", F.col("doc_id").cast("long"))
+    order = [F.col("doc_id").asc_nulls_last(), F.col("__place")]
+    placed = documents.withColumn("__place", F.monotonically_increasing_id())
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return materialize(sorted_.withColumn("rid", F.monotonically_increasing_id()).drop("__place"), "row-ids")

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, materialize, total_bytes
+from .common import BROADCAST_ROWS, materialize, total_bytes, with_row_ids
 from .words import Words, mix, text_blocks
 
 N = 4
@@ -316,3 +316,11 @@ def join(documents: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFr
     rest = docs.filter("grams is null").select("id", "n", F.col("id").alias("least"))
     return member.unionByName(rest).select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
                                            F.col("least").alias("component_id"))
+
+
+def distinct(documents: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
+    """The first document (smallest doc_id) of every group, same columns."""
+    rows = with_row_ids(documents)
+    first = join(rows.select(F.col("rid").alias("doc_id"), "text"), n, threshold) \
+        .filter("doc_id = component_id").select(F.col("doc_id").alias("rid"))
+    return rows.join(first, "rid", "left_semi").select(*documents.columns)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import kdtree, mixing, ngram_join, packing, quality_rules, sharding, subword_classifier, substring_dedup, warc
+from . import (html_wrappers, kdtree, mixing, ngram_join, packing, quality_rules, sharding, substring_dedup,
+               subword_classifier, warc)
 from .common import table
 
 
@@ -31,6 +32,10 @@ def op5_packing(spark, sf):
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "row")
 
 
+def op6_html_extract(spark, sf):
+    return html_wrappers.extract(table(spark, sf, "pages"))
+
+
 def op7_quality_rules(spark, sf):
     return quality_rules.judge(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
@@ -50,5 +55,5 @@ def op10_ngram_jaccard(spark, sf):
     return ngram_join.join(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_classifier, op3_sharding, op4_source_mix, op5_packing,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_classifier, op3_sharding, op4_source_mix, op5_packing, op6_html_extract,
                                    op7_quality_rules, op8_warc_archive, op9_topk_search, op10_ngram_jaccard)}

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, total_bytes
+from .common import materialize, total_bytes, with_row_ids
 from .words import Words, mix, text_blocks
 
 K = 13
@@ -251,19 +251,6 @@ def _strip(rows: DataFrame, spans: DataFrame, with_text: bool) -> DataFrame:
     return materialize(full.mapInArrow(lambda b: _apply(b, with_text), OUT), "dedup-out")
 
 
-def with_row_ids(documents: DataFrame) -> DataFrame:
-    """Adds ``rid``, unique and in order of doc_id: the doc_id itself where it
-    is unique and not null, else a number in that order."""
-    keys = documents.select(F.col("doc_id").cast("long").alias("rid"))
-    if keys.groupBy("rid").count().filter("rid is null or count > 1").isEmpty():
-        return documents.withColumn("rid", F.col("doc_id").cast("long"))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("__place")]
-    placed = documents.withColumn("__place", F.monotonically_increasing_id())
-    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return materialize(sorted_.withColumn("rid", F.monotonically_increasing_id()).drop("__place"), "dedup-rows")
-
-
 def dedup(rows: DataFrame, with_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(result, spans)`` of ``(rid, text)`` rows; both are written tables.
     ``result``: rid, n_words, n_removed, kept_sha256 and, if asked for, the

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timecols import duration
-from ..session import auto_chunks
+from ..session import materialize
 from . import ordered
 
 
@@ -164,11 +164,9 @@ def rising_alert(df: DataFrame, keys: Sequence[str], time_col: str, seq: str, va
         end = df.agg(F.max(us)).first()[0]
     seg_cols = [f"_k{i}" for i in range(len(keys))] + ["_sa", "_sb"]
     limit = segment_row_limit(df.sparkSession)
+    g = materialize(g, "segments")          # read by the size check and the walk
     sizes = g.groupBy(*seg_cols).agg(F.count(F.lit(1)).alias("_n"))
-    # an input of one chunk cannot hold an oversized segment: skip the check
-    small_input = auto_chunks(df) == 1 and not df.sparkSession.conf.get(
-        "spark.tidepool.segmentRowLimit", None)
-    if small_input or (sizes.agg(F.max("_n")).first()[0] or 0) <= limit:
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= limit:
         res = _alerts_by_segment(g, keys, seg_cols, d_us, end)
     else:
         # segments above the limit take the exact join-based chain walk;
@@ -219,7 +217,6 @@ def _alerts_by_doubling(g: DataFrame, keys, seg_cols, d_us: int, end) -> DataFra
     segment's first row is found by pointer doubling: log2(chain length)
     rounds of equi-joins on row ids, each round written out (lineage cut).
     """
-    from ..session import materialize
     order = ["_t", "_kind", "_seq"]
     data = g.select(*seg_cols, "_t", "_seq", "_v", "_rise", F.lit(0).alias("_kind"))
     probes = g.select(*seg_cols, (F.col("_t") + d_us).alias("_t"), "_seq",

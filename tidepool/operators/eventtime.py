@@ -47,7 +47,7 @@ def watermark_trace(df: DataFrame, time_col: str, arrival: Sequence[str], delay,
     d = duration(delay)
     b = bounds or ordered.boundaries(df, [], arrival)
     aggs = {"_mx": ("max", time_col), "_mxb": ("max", time_col), "arrival_pos": ("count", F.lit(1))}
-    r = ordered.running(df.withColumn("arrival_chunk", b.expr()), [], arrival, aggs,
+    r = ordered.running(df, [], arrival, aggs,
                         exclusive=["_mxb"], bounds=b)
     return (r.withColumn("wm_after", F.col("_mx") - _iv(d))
              .withColumn("wm_before", F.col("_mxb") - _iv(d))
@@ -111,11 +111,8 @@ def window_firings(df: DataFrame, time_col: str, arrival: Sequence[str], size, d
                .groupBy("window_start", "window_end", "fire_pos").agg(F.count(F.lit(1)).alias("count"))
                .withColumn("kind", F.lit("on_time")))
     after = j.where(F.col("fire_pos").isNotNull())
-    # per window in arrival order: the trace's arrival chunks already split it
-    # (one chunk in all: a plain per-window running count)
-    one = t.agg(F.max("arrival_chunk")).first()[0] in (0, None)
-    after = ordered.running(after, ["window_start"], ["arrival_pos"], {"count": ("count", F.lit(1))},
-                            n=1 if one else None, chunk=None if one else "arrival_chunk")
+    # per window in arrival order
+    after = ordered.running(after, ["window_start"], ["arrival_pos"], {"count": ("count", F.lit(1))})
     late = (after.where(F.col("arrival_pos") > F.col("fire_pos"))
             .select("window_start", "window_end", F.col("arrival_pos").alias("fire_pos"), "count",
                     F.lit("late").alias("kind")))

@@ -53,54 +53,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system path and is never
-    overridden.  Only when it is unset (local tests) a fresh scratch folder
-    is created and registered.
+    overridden; a session without it fails here, before executors write where
+    the others cannot read.  Only a single-JVM session (tests) gets a fresh
+    scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="tidepool-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-def chunk_count(spark: SparkSession) -> int:
-    """The most ordered chunks a sequence scan splits its input into: the
-    shuffle partition count, so the chunks fill the cluster's slots."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _bytes(text: str) -> int:
-    t = text.strip().lower().rstrip("b")
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    if t and t[-1] in mult:
-        return int(float(t[:-1]) * mult[t[-1]])
-    return int(t)
-
-
-def chunk_target_bytes(spark: SparkSession) -> int:
-    """Data per chunk: ``spark.tidepool.chunkTargetBytes`` if set, else AQE's
-    advisory partition size (64 MB by default)."""
-    v = spark.conf.get("spark.tidepool.chunkTargetBytes", None)
-    if v:
-        return _bytes(v)
-    return _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
-
-
-def auto_chunks(df) -> int:
-    """Chunks for a scan of ``df``: its estimated size (Catalyst statistics)
-    over the chunk target, between 1 and ``chunk_count``.  A small input is
-    one chunk (no sampling jobs, plain windows); 100 TB uses every slot."""
-    spark = df.sparkSession
-    top = chunk_count(spark)
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # noqa: BLE001 - no statistics: assume large
-        return top
-    return max(1, min(top, -(-size // max(1, chunk_target_bytes(spark)))))
+def chunk_rows(spark: SparkSession) -> int:
+    """Rows of one key that an ordered scan reads in one piece: the setting
+    ``spark.tidepool.chunkRows``, one million by default."""
+    return int(spark.conf.get("spark.tidepool.chunkRows", "1000000"))
 
 
 def materialize(df, name: str = "table"):
@@ -116,7 +90,44 @@ def materialize(df, name: str = "table"):
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    delete_on_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Marks an intermediate folder for deletion when the session ends."""
+    fs, p = _file_system(spark, path)
+    fs.deleteOnExit(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library wrote (on any Hadoop file system)."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def set_times(spark: SparkSession, files: list[str], first_ms: int) -> None:
+    """Gives files rising modification times, one second apart."""
+    for i, f in enumerate(files):
+        fs, p = _file_system(spark, f)
+        fs.setTimes(p, first_ms + 1000 * i, -1)
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The part files of a written folder, by name."""
+    fs, p = _file_system(spark, path)
+    return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-"))
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -1,16 +1,17 @@
 """Replay a bounded table as a stream, run a streaming query, read the result.
 
-``stage`` writes the table as ``n_files`` parquet files in arrival order (one
-append job per file, so file times follow the order) plus, optionally, a
-sentinel file holding one far-future record that moves the watermark past
-every real window — a bounded input's final flush (its own window never
-closes, so it never reaches an append-mode result).  ``run`` reads the folder
-with ``maxFilesPerTrigger=1`` (one micro-batch per file), applies the
-streaming transform, runs it with ``availableNow`` and returns the sink's
-content as a batch DataFrame.
-
-Folders live under the session's ``spark.checkpoint.dir`` (a shared path on
-a cluster; a scratch folder in tests), one fresh sub-folder per run.
+``stage`` writes the table once, range-partitioned by arrival order into
+``n_files`` parquet files with rising modification times (the file source
+takes files in that order) plus, optionally, sentinel files holding one
+far-future record that moves the watermark past every real window: a bounded
+input's final flush (its own window never closes, so it never reaches an
+append-mode result).  ``run`` reads the folder with ``maxFilesPerTrigger=1``
+(one micro-batch per file), applies the streaming transform, runs it with
+``availableNow`` and returns the sink's content as a batch DataFrame.
+
+Folders live under the session's ``spark.checkpoint.dir``, one fresh
+sub-folder per run; the staged input and the stream's checkpoint are deleted
+after the run, the sink at the end of the session.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import ordered
-from ..session import auto_chunks, ensure_checkpoint_dir
+from ..session import (chunk_rows, data_files, delete, delete_on_exit, ensure_checkpoint_dir, set_times)
 
 SENTINEL = "_sentinel"
+START_MS = 1_000_000_000_000       # modification time of the first file
 
 
 def _run_dir(spark: SparkSession, tag: str) -> str:
@@ -34,25 +35,30 @@ def _run_dir(spark: SparkSession, tag: str) -> str:
     return path
 
 
+def _files(df: DataFrame) -> int:
+    """One file, so one micro-batch, per chunk of rows; four at least."""
+    return max(4, -(-df.count() // chunk_rows(df.sparkSession)))
+
+
 def stage(df: DataFrame, order: Sequence[str], n_files: int, path: str,
           sentinel: dict | None = None) -> None:
-    """Write ``df`` as ``n_files`` files in ``order`` (plus a sentinel file)."""
+    """Write ``df`` as ``n_files`` files in ``order`` (plus sentinel files)."""
+    spark = df.sparkSession
     b = df.withColumn(SENTINEL, F.lit(False))
-    # file index = range of the arrival order (sampled bounds, no global sort)
-    bounds = ordered.boundaries(b, [], order, n_files)
-    ranked = b.withColumn("_file", bounds.expr())
-    for i in range(n_files):
-        # one file per range = one micro-batch per range, in order
-        part = ranked.where(F.col("_file") == i).drop("_file").coalesce(1)
-        part.sortWithinPartitions(*order).write.mode("append").parquet(path)
+    b.repartitionByRange(n_files, *order).sortWithinPartitions(*order).write.parquet(path)
+    done = data_files(spark, path)
+    set_times(spark, done, START_MS)
     if sentinel is not None:
         # two files: the first moves the watermark, the second runs one more
         # micro-batch in which the closed windows are emitted
         row = {c: None for c in df.columns}
         row.update(sentinel)
-        s = df.sparkSession.createDataFrame([tuple(row[c] for c in df.columns)], df.schema)
+        s = spark.createDataFrame([tuple(row[c] for c in df.columns)], df.schema)
         for _ in range(2):
             s.withColumn(SENTINEL, F.lit(True)).coalesce(1).write.mode("append").parquet(path)
+            new = [f for f in data_files(spark, path) if f not in set(done)]
+            set_times(spark, new, START_MS + 1000 * len(done))
+            done += new
 
 
 def read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -72,9 +78,7 @@ def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], Da
     spark = df.sparkSession
     root = _run_dir(spark, tag)
     src, out, ckpt = (os.path.join(root, x) for x in ("source", "sink", "checkpoint"))
-    # at least four micro-batches; more when the input is large, so one file
-    # (written by one task) stays about one chunk of data
-    n_files = n_files or max(4, auto_chunks(df))
+    n_files = n_files or _files(df)
     stage(df, order, n_files, src, sentinel)
     schema = spark.read.parquet(src).schema
     stream = transform(read(spark, src, schema))
@@ -82,18 +86,21 @@ def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], Da
         q = (stream.writeStream.outputMode("append").format("parquet")
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
         q.awaitTermination()
+        _clean(spark, out, src, ckpt)
         return spark.read.schema(stream.schema).parquet(out)
     if mode == "update":
         if not keys:
             raise ValueError("update mode needs the result keys")
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
+            # one folder per micro-batch: a retried batch replaces its own rows
+            batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
 
         q = (stream.writeStream.outputMode("update").foreachBatch(write)
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
         q.awaitTermination()
-        res = spark.read.parquet(out)
+        _clean(spark, out, src, ckpt)
+        res = spark.read.option("basePath", out).parquet(f"{out}/_batch=*")
         latest = res.groupBy(*keys).agg(F.max("_batch").alias("_last"))
         latest = latest.select(*[F.col(k).alias(f"_lk{i}") for i, k in enumerate(keys)], "_last")
         cond = [res[k].eqNullSafe(latest[f"_lk{i}"]) for i, k in enumerate(keys)]
@@ -111,7 +118,7 @@ def run_join(left: DataFrame, left_order: Sequence[str], right: DataFrame,
     spark = left.sparkSession
     root = _run_dir(spark, tag)
     lsrc, rsrc, out, ckpt = (os.path.join(root, x) for x in ("left", "right", "sink", "checkpoint"))
-    n_files = n_files or max(4, auto_chunks(left), auto_chunks(right))
+    n_files = n_files or max(_files(left), _files(right))
     stage(left, left_order, n_files, lsrc)
     stage(right, right_order, n_files, rsrc)
     ls = drop_sentinel(read(spark, lsrc, spark.read.parquet(lsrc).schema))
@@ -120,9 +127,16 @@ def run_join(left: DataFrame, left_order: Sequence[str], right: DataFrame,
     q = (stream.writeStream.outputMode("append").format("parquet")
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
     q.awaitTermination()
+    _clean(spark, out, lsrc, rsrc, ckpt)
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def _clean(spark: SparkSession, out: str, *used: str) -> None:
+    for path in used:
+        delete(spark, path)
+    delete_on_exit(spark, out)
+
+
 def drop_sentinel(stream: DataFrame) -> DataFrame:
     """Drop the marker column.  The sentinel record itself is *not* filtered:
     Catalyst pushes filters below ``withWatermark`` into the scan, so a

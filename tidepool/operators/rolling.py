@@ -16,26 +16,6 @@ from pyspark.sql import functions as F
 from . import ordered
 
 
-def _first_fields(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  fields: Sequence[str]) -> DataFrame:
-    """Per key, ``fields`` of its first record in ``order`` (a partial
-    aggregate: map-side ``min`` of a struct, so hot keys combine early)."""
-    st = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                  *[F.col(f) for f in fields])
-    first = df.groupBy(*keys).agg(F.min(st).alias("_first"))
-    return first.select(*[F.col(k).alias(f"_fk{i}") for i, k in enumerate(keys)],
-                        *[F.col(f"_first.{f}").alias(f"_first_{f}") for f in fields])
-
-
-def _with_first(df: DataFrame, keys, order, fields) -> DataFrame:
-    if not fields:
-        return df
-    first = _first_fields(df, keys, order, fields)
-    cond = [df[k].eqNullSafe(first[f"_fk{i}"]) for i, k in enumerate(keys)]
-    j = df.join(first, on=cond, how="left")
-    return j.drop(*[f"_fk{i}" for i in range(len(keys))])
-
-
 def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str], agg: str,
             field: str, keep_first: Sequence[str] = (), pos: str | None = "pos",
             out: str | None = None) -> DataFrame:
@@ -49,12 +29,13 @@ def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str], agg: str,
     aggs = {"_agg": (agg, field)}
     if pos:
         aggs["_pos"] = ("count", F.lit(1))
+    if keep_first:
+        aggs["_first"] = ("first", F.struct(*keep_first))
     r = ordered.running(df, keys, order, aggs)
-    r = _with_first(r, keys, order, keep_first)
     cols = [F.col(k) for k in keys]
     if pos:
         cols.append(F.col("_pos").alias(pos))
-    cols += [F.col(f"_first_{f}").alias(f) for f in keep_first]
+    cols += [F.col(f"_first.{f}").alias(f) for f in keep_first]
     cols.append(F.col("_agg").alias(out))
     return r.select(*cols)
 

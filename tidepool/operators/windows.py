@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from ..functions.timecols import duration
 from . import ordered
 
+STRETCH = 64                     # window sizes per stretch of a key's time line
+COUNT_BLOCK = 1 << 16            # records of a key that a count window task reads, about
+
 # aggregate name -> (partial aggregate, combine of partials)
 _DECOMPOSABLE = {
     "sum": (F.sum, F.sum),
@@ -85,16 +88,61 @@ def sliding(df: DataFrame, time_col: str, size, slide, keys: Sequence[str] = (),
     partial = df.groupBy(*keys, (us - F.pmod(us, F.lit(slide_us))).alias("_pane")).agg(*[
         _DECOMPOSABLE[fn][0](F.col(c) if isinstance(c, str) else c).alias(n)
         for n, (fn, c) in aggs.items()])
-    # each pane belongs to the k windows starting at pane - j * slide
-    starts = F.explode(F.array(*[F.col("_pane") - F.lit(j * slide_us) for j in range(k)])).alias("_ws")
-    expanded = partial.select(*keys, *aggs.keys(), starts)
-    out = expanded.groupBy(*keys, "_ws").agg(*[
-        _DECOMPOSABLE[fn][1](F.col(n)).alias(n) for n, (fn, _) in aggs.items()])
+    out = _by_steps(partial, keys, aggs, k, slide_us) if all(fn == "count" for fn, _ in aggs.values()) else \
+        _by_copies(partial, keys, aggs, k, slide_us)
     start = F.timestamp_micros("_ws").cast(ttype)
     end = F.timestamp_micros(F.col("_ws") + size_us).cast(ttype)
     return out.select(*keys, start.alias("window_start"), end.alias("window_end"), *aggs.keys())
 
 
+def _by_copies(partial: DataFrame, keys, aggs, k: int, slide_us: int) -> DataFrame:
+    """Each pane's partial result added to the k windows that contain it."""
+    starts = F.explode(F.array(*[F.col("_pane") - F.lit(j * slide_us) for j in range(k)])).alias("_ws")
+    expanded = partial.select(*keys, *aggs.keys(), starts)
+    return expanded.groupBy(*keys, "_ws").agg(*[
+        _DECOMPOSABLE[fn][1](F.col(n)).alias(n) for n, (fn, _) in aggs.items()])
+
+
+def _by_steps(partial: DataFrame, keys, aggs, k: int, slide_us: int) -> DataFrame:
+    """Counts of all windows as steps: a pane adds its count to the window that
+    ends with it and takes it away ``k`` windows later.  One exchange moves two
+    rows per pane; running sums over a key's steps give the counts between two
+    steps, which are written out per window only after that.  A key's time line
+    is cut into stretches so that it is not one task; a stretch begins with the
+    sum of the panes that reach into it."""
+    stretch = STRETCH * k * slide_us
+    first = F.col("_pane") - F.lit((k - 1) * slide_us)         # the pane's windows: first .. _pane
+    after = F.col("_pane") + F.lit(slide_us)
+
+    def part(us):
+        return F.floor(us / F.lit(stretch))
+
+    # a pane's windows lie in one stretch or two
+    two = part(first) < part(F.col("_pane"))
+    border = part(F.col("_pane")) * F.lit(stretch)
+    plus = {n: F.col(n) for n in aggs}
+    minus = {n: -F.col(n) for n in aggs}
+
+    def step(at, of, values):
+        return F.struct(part(of).alias("_part"), at.alias("_ws"), *[v.alias(n) for n, v in values.items()])
+
+    last = F.col("_pane")
+    steps = F.when(two, F.array(step(first, first, plus), step(border, first, minus), step(border, last, plus),
+                                step(after, last, minus))) \
+        .otherwise(F.array(step(first, last, plus), step(after, last, minus)))
+    rows = partial.select(*keys, F.explode(steps).alias("s")).select(*keys, "s.*")
+    rows = rows.groupBy(*keys, "_part", "_ws").agg(*[F.sum(n).alias(n) for n in aggs])
+    w = Window.partitionBy(*keys, "_part").orderBy("_ws")
+    rows = rows.select(*keys, "_ws", *[F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(n) for n in aggs],
+                       F.lead("_ws").over(w).alias("_next"))
+    some = F.lit(False)
+    for n in aggs:
+        some = some | (F.col(n) > 0)
+    rows = rows.where(some & F.col("_next").isNotNull())
+    return rows.select(*keys, *aggs.keys(), F.explode(F.sequence(
+        F.col("_ws"), F.col("_next") - slide_us, F.lit(slide_us))).alias("_ws"))
+
+
 def session(df: DataFrame, time_col: str, gap, keys: Sequence[str], seq: str,
             aggs: Mapping[str, tuple[str, str | Column]] | None = None) -> DataFrame:
     """Gap-based sessions per key.
@@ -122,26 +170,32 @@ def session(df: DataFrame, time_col: str, gap, keys: Sequence[str], seq: str,
 
 def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int,
                  slide: int | None = None, value: str | Column | None = None,
-                 out: str = "sum") -> DataFrame:
-    """Count windows: per key, every ``slide`` records, the sum of ``value``
-    over the last ``size`` records (fewer at the start).  An incomplete tail
-    never fires; ``slide=None`` is the tumbling form (slide = size).
-
-    Output: keys, ``pos`` of the firing record, ``n`` records covered, sum.
-    The sum is a difference of two prefix sums, looked up with an equi-join
-    on the unique (key, position) — no per-key window.
+                 out: str = "sum", agg: str = "sum") -> DataFrame:
+    """Count windows: per key, every ``slide`` records, ``agg`` (sum, count,
+    max, min, avg) of ``value`` over the last ``size`` records (fewer at the
+    start).  An incomplete tail never fires; ``slide=None`` is the tumbling
+    form (slide = size).
+
+    Output: keys, ``pos`` of the firing record, ``n`` records covered, ``out``.
+    Positions come from a chunked running count.  The records are then dealt
+    in blocks of positions, each with the ``size - 1`` records before it, and a
+    frame of ``size`` rows runs inside a block: every window aggregates its own
+    records only (nulls, NaN and infinities stay in the windows that hold
+    them), and no key is one task.
     """
     slide = slide or size
-    value = F.lit(1) if value is None else value
-    r = ordered.running(df, keys, order, {"_s": ("sum", value), "pos": ("count", F.lit(1))})
-    fired = r.where(F.col("pos") % slide == 0)
-    before = r.select(*[F.col(k).alias(f"_bk{i}") for i, k in enumerate(keys)],
-                      (F.col("pos") + size).alias("_bpos"), F.col("_s").alias("_bs"))
-    cond = [fired["pos"] == before["_bpos"]]
-    cond += [fired[k].eqNullSafe(before[f"_bk{i}"]) for i, k in enumerate(keys)]
-    j = fired.join(before, on=cond, how="left")
-    return j.select(*keys, "pos", F.least(F.col("pos"), F.lit(size)).alias("n"),
-                    (F.col("_s") - F.coalesce(F.col("_bs"), F.lit(0))).alias(out))
+    value = F.lit(1) if value is None else (F.col(value) if isinstance(value, str) else value)
+    r = ordered.running(df.withColumn("_v", value), keys, order, {"pos": ("count", F.lit(1))})
+    block = max(COUNT_BLOCK, 4 * size)
+    own = F.floor((F.col("pos") - 1) / block)
+    # the last size - 1 records of a block are also read by the next one
+    halo = F.pmod(F.col("pos") - 1, F.lit(block)) >= block - (size - 1)
+    r = r.select(*keys, "pos", "_v", own.alias("_own"), F.explode(
+        F.when(halo, F.array(own, own + 1)).otherwise(F.array(own))).alias("_block"))
+    w = Window.partitionBy(*keys, "_block").orderBy("pos").rowsBetween(-(size - 1), Window.currentRow)
+    r = r.withColumn(out, getattr(F, agg)("_v").over(w))
+    fired = r.where((F.col("_own") == F.col("_block")) & (F.col("pos") % slide == 0))
+    return fired.select(*keys, "pos", F.least(F.col("pos"), F.lit(size).cast("long")).alias("n"), out)
 
 
 def top_n_per_window(df: DataFrame, window_col: str, score: str, n: int,

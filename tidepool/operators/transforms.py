@@ -59,9 +59,10 @@ def lines_of(df: DataFrame, text_col: str, out: str = "value") -> DataFrame:
 
 
 def explode_map(df: DataFrame, list_col: str, fn: Callable[[Column], Column],
-                out: str = "value") -> DataFrame:
-    """flatMap over a list column: one row per element, mapped by ``fn``."""
-    return df.select(F.explode(F.transform(F.col(list_col), fn)).alias(out))
+                out: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """flatMap over a list column: one row per element, mapped by ``fn``, with
+    the columns in ``keep``."""
+    return df.select(*keep, F.explode(F.transform(F.col(list_col), fn)).alias(out))
 
 
 def filter_rows(df: DataFrame, predicate: Column) -> DataFrame:

@@ -408,6 +408,46 @@ WHERE r.timer IS NOT NULL""",
 }
 
 
+ORACLE.update({
+    "count_window_double": f"""
+WITH {EV},
+r AS (SELECT user_id, row_number() OVER w AS pos,
+             max(CASE WHEN event_id % 3 <> 0 THEN value END) OVER (w ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS highest
+      FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, pos, least(pos, 2) AS n, highest FROM r WHERE pos % 2 = 0""",
+
+    "aggregate_null_keys": f"""
+WITH {EV}
+SELECT CASE WHEN event_id % 4 <> 0 THEN 9007199254740993 + user_id % 3 END AS key, count(*) AS count,
+       CAST(sum(cents) AS BIGINT) AS cents FROM ev GROUP BY 1""",
+
+    "assign_event_time": """
+SELECT event_id, date_trunc('milliseconds', ts) AS event_time FROM events""",
+
+    "access_log": f"""
+WITH {EV}
+SELECT 'GET' AS method, '/' || event_type || '/' || CAST(k AS VARCHAR) AS url,
+       date_trunc('hour', ts) AS window_start, count(*) AS views, count(DISTINCT user_id) AS visitors
+FROM ev GROUP BY 1, 2, 3""",
+
+    "stream_reconcile": """
+WITH o AS (SELECT o_orderkey AS orderkey, o_orderkey AS left_id,
+             row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate) AS n FROM orders),
+l AS (SELECT l_orderkey AS orderkey, l_linenumber * 1000000000::BIGINT + l_partkey AS right_id,
+        row_number() OVER (PARTITION BY l_orderkey
+                           ORDER BY l_shipdate, l_linenumber * 1000000000::BIGINT + l_partkey) AS n FROM lineitem)
+SELECT coalesce(o.orderkey, l.orderkey) AS orderkey, coalesce(o.n, l.n) AS n, left_id, right_id,
+       CASE WHEN o.orderkey IS NULL THEN 'right_only' WHEN l.orderkey IS NULL THEN 'left_only'
+            ELSE 'matched' END AS status
+FROM o FULL OUTER JOIN l ON o.orderkey = l.orderkey AND o.n = l.n""",
+
+    "stream_rolling_sum": f"""
+WITH {EV}
+SELECT user_id, row_number() OVER w AS pos, first_value(event_id) OVER w AS first_event_id, event_id,
+       CAST(sum(cents) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cents
+FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+})
+
 # streaming twins compute the batch twin's result
 for _s, _b in {"stream_tumbling": "tumbling", "stream_session": "session",
                "stream_unique_visitors_hourly": "unique_visitors_hourly",
@@ -415,5 +455,6 @@ for _s, _b in {"stream_tumbling": "tumbling", "stream_session": "session",
                "stream_rising_alert": "rising_alert", "window_aggregate": "tumbling",
                "stream_interval_join": "interval_join", "stream_previous_value": "previous_value",
                "stream_order_pay": "order_pay", "stream_order_timeout": "order_timeout",
-               "stream_one_shot_timer": "one_shot_timer"}.items():
+               "stream_one_shot_timer": "one_shot_timer", "stream_hot_pages": "hot_pages",
+               "stream_login_fail_alert": "login_fail_alert", "stream_count_window": "count_window"}.items():
     ORACLE[_s] = ORACLE[_b]

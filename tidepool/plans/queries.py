@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators import (alerts, eventtime, joins, patterns, rolling, transforms, windows)
 from ..functions import aggregator
+from ..sources import files
 from ..sources.tables import table
 from ..streaming import harness
 from ..streaming import ops as stream_ops
@@ -190,10 +191,10 @@ def q_explode_map(spark, sf):
     li = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
         F.array(F.col("l_quantity").cast("int"), F.col("l_linenumber")).alias("xs"))
-    a = 1  # captured constant of the mapping function
-    out = li.select("l_orderkey", "l_linenumber", "l_partkey",
-                    F.explode(F.transform("xs", lambda n: -n + 10 + a)).alias("value"))
-    return out
+    # fixed value: the mapping function and its captured constant
+    a = 1
+    return transforms.explode_map(li, "xs", lambda n: -n + 10 + a, "value",
+                                  keep=["l_orderkey", "l_linenumber", "l_partkey"])
 
 
 def q_connect_map(spark, sf):
@@ -275,6 +276,13 @@ def q_count_window_tumbling(spark, sf):
     return windows.count_window(events(spark, sf), ["user_id"], EV_ORDER, 5, value="cents")
 
 
+def q_count_window_double(spark, sf):
+    """Doubles with nulls: every window aggregates its own records only."""
+    e = events(spark, sf).withColumn("x", F.when(F.col("event_id") % 3 != 0, F.col("value")))
+    r = windows.count_window(e, ["user_id"], EV_ORDER, 2, value="x", out="highest", agg="max")
+    return r.select("user_id", "pos", "n", "highest")
+
+
 def q_window_all(spark, sf):
     return windows.tumbling(events(spark, sf), "ts", "1 day", [],
                             {"count": ("count", F.lit(1)), "cents": ("sum", "cents")})
@@ -299,6 +307,14 @@ def q_window_aggregate(spark, sf):
     return aggregator.aggregate(keyed, ["event_type", "window_start", "window_end"], agg)
 
 
+def q_aggregate_null_keys(spark, sf):
+    """User aggregates with null keys and keys beyond 2**53."""
+    e = events(spark, sf).withColumn("key", F.when(
+        F.col("event_id") % 4 != 0, F.lit(9007199254740993).cast("bigint") + F.col("user_id") % 3))
+    agg = aggregator.Combined(aggregator.CountAggregator("count"), aggregator.SumAggregator("cents", "cents"))
+    return aggregator.aggregate(e.select("key", "cents"), ["key"], agg)
+
+
 def q_window_with_end(spark, sf):
     return windows.window_with_end(events(spark, sf), ["event_type"], "ts", "1 hour", "15 minutes",
                                    {"count": ("count", F.lit(1))})
@@ -325,6 +341,32 @@ def q_late_side_output(spark, sf):
     return late.select("event_id", "window_start", "wm_before")
 
 
+def q_assign_event_time(spark, sf):
+    """Epoch milliseconds to an event-time column."""
+    e = events(spark, sf).withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")))
+    t = eventtime.assign_event_time(e, "ms", "ms", "event_time")
+    return t.select("event_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
+
+
+def access_lines(spark, sf) -> DataFrame:
+    """Every event as a line of an access log."""
+    e = events(spark, sf)
+    at = F.date_format(F.col("ts").cast("timestamp"), files.ACCESS_LOG_TIME_FORMAT)
+    return e.select(F.concat_ws(" ", F.concat(F.lit("10.0.0."), (F.col("user_id") % 250).cast("string")),
+                                F.col("user_id").cast("string"), F.lit("-"), at, F.lit("+0000"), F.lit("GET"),
+                                F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), F.col("k").cast("string")))
+                    .alias("value"), "event_id", "ts")
+
+
+def q_access_log(spark, sf):
+    """Access-log lines parsed into typed records, counted per url and hour."""
+    log = files.parse_access_log(access_lines(spark, sf).select("value"))
+    log = log.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+    r = windows.tumbling(log, "event_time", "1 hour", ["method", "url"],
+                         {"views": ("count", F.lit(1)), "visitors": ("count_distinct", "user_id")})
+    return r.select("method", "url", "window_start", "views", "visitors")
+
+
 # --------------------------------------------------------------------------- state & timers
 
 def q_previous_value(spark, sf):
@@ -482,13 +524,88 @@ def q_stream_unique_visitors_hourly(spark, sf):
     return r.select(_ntz("window_start"), _ntz("window_end"), "uv")
 
 
+def _stream_top(spark, sf, item_col, item, size, slide, count_col, where=None, tag="hot"):
+    found = {}
+
+    def t(s):
+        s = harness.drop_sentinel(s.withWatermark("ts_e", "1 minute"))
+        s = s if where is None else s.where(where)
+        counts, found["top"] = stream_ops.top_n_windows(s.select(item.alias(item_col), "ts_e"), "ts_e", item_col, size,
+                                                        slide, 3, count_col)
+        return counts
+    r = harness.run(_ev_stream_input(spark, sf), EV_ORDER, t, sentinel=_sentinel_row(), tag=tag,
+                    each_batch=lambda b: found["top"](b))
+    return r.select(_ntz("window_end"), item_col, count_col, "rank")
+
+
 def q_stream_hot_items(spark, sf):
+    return _stream_top(spark, sf, "item_id", F.col("k"), "1 hour", "5 minutes", "item_count",
+                       F.col("event_type") == "view")
+
+
+def q_stream_hot_pages(spark, sf):
+    """Hot pages from access-log lines: parse, 10 min / 5 s windows with one
+    minute of disorder, top 3 per window as it closes."""
+    found = {}
+    lines = access_lines(spark, sf).withColumn("ts_e", F.col("ts").cast("timestamp"))
+    far = {**_sentinel_row(), "value": "10.0.0.0 -1 - 01/01/2100:00:00:00 +0000 GET /view/0"}
+
+    def t(s):
+        log = files.parse_access_log(s.select("value"))
+        counts, found["top"] = stream_ops.top_n_windows(log.withWatermark("event_time", "1 minute"), "event_time", "url",
+                                                        "10 minutes", "5 seconds", 3, "view_count")
+        return counts
+    r = harness.run(lines, EV_ORDER, t, sentinel={c: far[c] for c in lines.columns}, tag="pages",
+                    each_batch=lambda b: found["top"](b))
+    return r.select(_ntz("window_end"), "url", "view_count", "rank")
+
+
+def q_stream_login_fail_alert(spark, sf):
     def t(s):
         s = harness.drop_sentinel(s.withWatermark("ts_e", "1 minute"))
-        v = s.where(F.col("event_type") == "view").select(F.col("k").alias("item_id"), "ts_e")
-        return stream_ops.top_n_windows(v, "ts_e", "item_id", "1 hour", "5 minutes", 3)
-    r = harness.run(_ev_stream_input(spark, sf), EV_ORDER, t, sentinel=_sentinel_row(), tag="hot")
-    return r.select(_ntz("window_end"), "item_id", "item_count", "rank")
+        s = s.withColumn("failed", F.col("event_type") == "error")
+        return stream_rules.next_within_stream(s, "user_id", "ts_e", "event_id", "failed", "1 hour")
+    r = harness.run(_ev_stream_input(spark, sf), EV_ORDER, t, sentinel=_sentinel_row(), tag="login")
+    return r.where(F.col("user_id") >= 0).select("user_id", F.col("first_id").alias("first_event_id"),
+                                                 F.col("second_id").alias("second_event_id"))
+
+
+def q_stream_reconcile(spark, sf):
+    """Orders and lineitem in one stream, matched one to one per order key in
+    either order of arrival; what stays alone leaves after 4000 days (the
+    two tables' dates are years apart)."""
+    o = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("orderkey"), F.lit("left").alias("side"),
+        F.col("o_orderdate").cast("timestamp").alias("t"), F.col("o_orderkey").alias("id"))
+    li = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("orderkey"), F.lit("right").alias("side"),
+        F.col("l_shipdate").cast("timestamp").alias("t"),
+        (F.col("l_linenumber") * F.lit(1_000_000_000).cast("bigint") + F.col("l_partkey")).alias("id"))
+
+    def t(s):
+        s = harness.drop_sentinel(s.withWatermark("t", "2 days"))
+        return stream_rules.reconcile_stream(s, "orderkey", "side", "t", "id", "4000 days")
+    import datetime
+    far = {"orderkey": -1, "side": "left", "t": datetime.datetime(2100, 1, 1), "id": -1}
+    r = harness.run(o.unionByName(li), ["t", "orderkey", "id"], t, sentinel=far, tag="reconcile")
+    return r.where(F.col("key") >= 0).select(F.col("key").alias("orderkey"), "n", "left_id", "right_id", "status")
+
+
+def q_stream_rolling_sum(spark, sf):
+    def t(s):
+        return stream_rules.rolling_stream(s.select("event_id", "user_id", "ts", "cents"), "user_id", "ts", "event_id",
+                                           "cents")
+    r = harness.run(events(spark, sf).select("event_id", "user_id", "ts", "cents"), EV_ORDER, t, tag="rolling")
+    return r.select(F.col("key").alias("user_id"), "pos", F.col("first_id").alias("first_event_id"),
+                    F.col("id").alias("event_id"), F.col("agg").alias("cents"))
+
+
+def q_stream_count_window(spark, sf):
+    def t(s):
+        return stream_rules.count_window_stream(s.select("event_id", "user_id", "ts", "cents"), "user_id", "ts",
+                                                "event_id", "cents", 5, 3)
+    r = harness.run(events(spark, sf).select("event_id", "user_id", "ts", "cents"), EV_ORDER, t, tag="countw")
+    return r.select(F.col("key").alias("user_id"), "pos", "n", "sum")
 
 
 def q_stream_word_count(spark, sf):

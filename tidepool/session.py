@@ -124,6 +124,12 @@ def set_times(spark: SparkSession, files: list[str], first_ms: int) -> None:
         fs.setTimes(p, first_ms + 1000 * i, -1)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly under ``path``."""
+    fs, p = _file_system(spark, path)
+    return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory())
+
+
 def data_files(spark: SparkSession, path: str) -> list[str]:
     """The part files of a written folder, by name."""
     fs, p = _file_system(spark, path)

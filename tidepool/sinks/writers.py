@@ -4,12 +4,13 @@ and, through ``foreach_batch``, on every micro-batch of a stream."""
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import delete, folders, path_exists
+
 
 def topic_payload(df: DataFrame, value: str | Column | None = None) -> DataFrame:
     """The message value of each record: a string column as is, otherwise
@@ -31,34 +32,60 @@ def write_topic(df: DataFrame, servers: str, topic: str, value: str | Column | N
 def read_hash(spark: SparkSession, path: str) -> DataFrame | None:
     """Current content of a hash table written by ``upsert_hash``: the value
     of the newest write of each field (a grouped ``max`` of a struct, so it
-    combines map-side)."""
-    try:
-        log = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
+    combines map-side).  ``None`` if nothing was written yet; a table that is
+    there but cannot be read is an error."""
+    if not path_exists(spark, path):
         return None
+    log = spark.read.option("basePath", path).parquet(f"{path}/_version=*")
     field, value = [c for c in log.columns if c != "_version"][:2]
     # one row per field per write: the newest write wins
     return log.groupBy(field).agg(F.max(F.struct("_version", F.col(value).alias("_v")))["_v"]
                                   .alias(value))
 
 
-def upsert_hash(df: DataFrame, path: str, field: str, value: str, order: Sequence[str]) -> DataFrame:
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    if not path_exists(spark, path):
+        return []
+    return [int(d.rpartition("=")[2]) for d in folders(spark, path) if "/_version=" in d]
+
+
+def upsert_hash(df: DataFrame, path: str, field: str, value: str, order: Sequence[str],
+                version: int | None = None) -> DataFrame:
     """Hash upsert ``HSET name field value``: the latest value per field of
     this input replaces the stored one; other fields are kept.
 
-    The table is an append-only log: each upsert appends only its own latest
-    row per field, tagged with a write version (cost grows with the batch,
-    not the table); ``read_hash`` resolves the newest value per field.
+    The table is a log: each upsert writes only its own latest row per field,
+    in the folder of its ``version`` (cost grows with the batch, not the
+    table).  Give a stream's batch id as version: a retried batch replaces
+    its own write.  Without one the next free number is taken.  ``read_hash``
+    resolves the newest value per field, ``compact_hash`` merges the log.
     Returns the current content.
     """
     spark = df.sparkSession
+    if version is None:
+        version = max(_versions(spark, path), default=-1) + 1
     st = F.struct(*[F.col(o) for o in order])
     upd = (df.groupBy(field).agg(F.max(F.struct(st.alias("_o"), F.col(value).alias("_v"))).alias("_m"))
-           .select(field, F.col("_m._v").alias(value), F.lit(time.time_ns()).alias("_version")))
-    upd.write.mode("append").parquet(path)
+           .select(field, F.col("_m._v").alias(value)))
+    upd.write.mode("overwrite").parquet(f"{path}/_version={version}")
     return read_hash(spark, path)
 
 
+def compact_hash(spark: SparkSession, path: str) -> None:
+    """Replaces the log's folders by one, under the newest version: the merged
+    rows are written aside, then the newest folder is swapped for them and the
+    older ones go.  Not to be run while a batch writes."""
+    versions = sorted(_versions(spark, path))
+    if len(versions) < 2:
+        return
+    aside = f"{path}/.merged"
+    read_hash(spark, path).write.mode("overwrite").parquet(aside)
+    spark.read.parquet(aside).write.mode("overwrite").parquet(f"{path}/_version={versions[-1]}")
+    for v in versions[:-1]:
+        delete(spark, f"{path}/_version={v}")
+    delete(spark, aside)
+
+
 def index_docs(df: DataFrame, path: str, col: str) -> None:
     """One JSON document ``{"data": <record>}`` per record, appended."""
     df.select(F.col(col).cast("string").alias("data")).write.mode("append").json(path)
@@ -84,8 +111,27 @@ def fan_out(df: DataFrame, outputs: Mapping[str, Column], fmt: str = "parquet")
         cached.unpersist()
 
 
-def foreach_batch(writer: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
-    """Adapt a batch writer to ``writeStream.foreachBatch``."""
+def foreach_batch(writer: Callable[[DataFrame], None], done_path: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Adapt a batch writer to ``writeStream.foreachBatch``.
+
+    A micro-batch may come again after a failure.  With ``done_path`` the id
+    of each finished batch is noted there and such a batch is left out when it
+    comes again.  A failure between the write and the note still repeats it:
+    for exact results use a writer that replaces by batch id
+    (``write_batch``, ``upsert_hash`` with ``version``)."""
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if done_path and path_exists(spark, f"{done_path}/{batch_id}"):
+            return
         writer(batch)
+        if done_path:
+            spark.range(1).write.mode("overwrite").parquet(f"{done_path}/{batch_id}")
+    return run
+
+
+def write_batch(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer with one folder per batch id: a retried batch
+    replaces its own rows."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
     return run

@@ -67,8 +67,11 @@ def read(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], DataFrame],
         n_files: int | None = None, sentinel: dict | None = None, mode: str = "append",
-        keys: Sequence[str] | None = None, tag: str = "q") -> DataFrame:
+        keys: Sequence[str] | None = None, tag: str = "q",
+        each_batch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Stream ``df`` through ``transform`` and return what the sink holds.
+    ``each_batch`` is applied to every micro-batch's result before it is
+    written (append mode).
 
     ``mode='append'`` uses the parquet file sink.  ``mode='update'`` writes
     every micro-batch's changed rows with its batch id through
@@ -82,6 +85,15 @@ def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], Da
     stage(df, order, n_files, src, sentinel)
     schema = spark.read.parquet(src).schema
     stream = transform(read(spark, src, schema))
+    if mode == "append" and each_batch is not None:
+        def put(batch: DataFrame, batch_id: int) -> None:
+            each_batch(batch).write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
+
+        q = (stream.writeStream.outputMode("append").foreachBatch(put)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+        _clean(spark, out, src, ckpt)
+        return spark.read.option("basePath", out).parquet(f"{out}/_batch=*").drop("_batch")
     if mode == "append":
         q = (stream.writeStream.outputMode("append").format("parquet")
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))

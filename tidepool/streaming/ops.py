@@ -8,8 +8,8 @@ a TIMESTAMP event-time column (``withWatermark`` rejects TIMESTAMP_NTZ).
 * ``rolling_latest``    keyed rolling aggregate, update mode (latest value per
                         key per micro-batch)
 * ``distinct_per_window`` exact distinct users per window (dedup + count)
-* ``top_n_windows``     chained aggregations: counts per (window, item), then
-                        the top N per window end
+* ``top_n_windows``     counts per (window, item), then the top N per window in
+                        each micro-batch of closed windows
 * ``interval_join``     stream-stream join with a time range and watermarks
 * ``late_split``        foreachBatch writer that separates late records
 """
@@ -18,10 +18,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import duration
+from ..session import path_exists
 
 
 def _spec(x) -> str:
@@ -67,18 +68,20 @@ def distinct_per_window(stream: DataFrame, time_col: str, size, user_col: str,
 
 
 def top_n_windows(stream: DataFrame, time_col: str, item_col: str, size, slide, n: int,
-                  count_col: str = "item_count") -> DataFrame:
-    """Top ``n`` items per sliding window end: window counts, then a second
-    (chained) aggregation per window keeping the n largest (count desc,
-    item asc), exploded with its rank."""
-    counts = (stream.groupBy(F.window(time_col, _spec(size), _spec(slide)).alias("w"), item_col)
-              .agg(F.count(F.lit(1)).alias(count_col)))
-    top = counts.groupBy("w").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col(count_col)).alias("neg"),
-                                                     F.col(item_col).alias("item")))), 1, n).alias("top"))
-    ex = top.select(F.col("w.end").alias("window_end"), F.posexplode("top").alias("pos", "t"))
-    return ex.select("window_end", F.col("t.item").alias(item_col), (-F.col("t.neg")).alias(count_col),
-                     (F.col("pos") + 1).cast("bigint").alias("rank"))
+                  count_col: str = "item_count"):
+    """Top ``n`` items per sliding window end, as ``(counts, top)``: the stream
+    of closed windows' counts (append mode) and the function for each
+    micro-batch of it.  A window closes with all its items in one micro-batch,
+    so the batch's ``row_number() <= n`` is its final ranking; Catalyst keeps
+    only ``n`` rows per window and task before the shuffle."""
+    counts = windowed_counts(stream, time_col, size, slide, [item_col], {count_col: F.count(F.lit(1))})
+
+    def top(batch: DataFrame) -> DataFrame:
+        order = Window.partitionBy("window_end").orderBy(F.col(count_col).desc(), item_col)
+        return batch.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n) \
+                    .select("window_end", item_col, count_col, F.col("rank").cast("bigint").alias("rank"))
+
+    return counts, top
 
 
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_time: str,
@@ -94,23 +97,23 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left.join(right, cond, how)
 
 
-def late_split(main_path: str, late_path: str, time_col: str, window_col: str, lateness=0):
+def late_split(main_path: str, late_path: str, time_col: str, window_col: str, lateness=0, delay=0):
     """A ``foreachBatch`` writer for late data: each micro-batch is split by
-    comparing its records' window end (+ lateness) with the largest event
-    time of the batches before it; late records go to ``late_path``, the
-    rest to ``main_path``.  The running max is a one-row-per-batch side table
+    comparing its records' window end + ``lateness`` with the watermark before
+    it, the largest event time of earlier batches less the allowed disorder
+    ``delay``; late records go to ``late_path``, the rest to ``main_path``.
+    The running max is a one-row-per-batch side table
     (``main_path``/_watermarks), so a batch never rescans earlier output.
     Returns the callback."""
-    lat = F.make_dt_interval(secs=F.lit(duration(lateness)))
+    lat = F.make_dt_interval(secs=F.lit(duration(lateness) + duration(delay)))
     marks = main_path.rstrip("/") + "_watermarks"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
+        prev = None
+        if path_exists(spark, marks):               # none before the first batch
             m = spark.read.parquet(marks)
             prev = m.where(F.col("batch_id") < batch_id).agg(F.max("max_ts")).first()[0]
-        except Exception:  # noqa: BLE001 - first batch: nothing written yet
-            prev = None
         b = batch.persist()
         late = F.lit(False) if prev is None else (F.col(window_col + ".end") + lat <= F.lit(prev))
         # one folder per micro-batch, overwritten: a retried batch replaces

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.timecols import duration
+from .rules import _in_order
 
 
 def stateful_rule(stream: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
@@ -61,10 +62,9 @@ class RisingAlertProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         prev, due, last = self._get()
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values([self.time_col, self.seq])
-        ts = pdf[self.time_col].astype("datetime64[us]").astype("int64").to_numpy()
+        ts, _, vals = _in_order(rows, self.time_col, self.seq, self.value)
         out = []
-        for t, v in zip(ts, pdf[self.value].astype("float64").to_numpy()):
+        for t, v in zip(ts, vals.astype("float64")):
             if due >= 0 and due < t:
                 out.append((str(key[0]), pd.Timestamp(due, unit="us"), last))
                 self.handle.deleteTimer(due // 1000)
@@ -105,13 +105,14 @@ class SeenItemsProcessor(StatefulProcessor):
         self.seq, self.value = seq, value
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", T.StructType([T.StructField("n", T.LongType())]))
         self.items = handle.getListState("items", T.StructType([T.StructField("v", T.StringType())]))
         self.counts = handle.getMapState("counts", T.StructType([T.StructField("v", T.StringType())]),
                                          T.StructType([T.StructField("n", T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.seq)
-        n_records = sum(1 for _ in self.items.get()) if self.items.exists() else 0
+        n_records = int(self.total.get()[0]) if self.total.exists() else 0
         out = []
         for s, v in zip(pdf[self.seq], pdf[self.value].astype(str)):
             seen = self.counts.getValue((v,))[0] + 1 if self.counts.containsKey((v,)) else 1
@@ -119,6 +120,7 @@ class SeenItemsProcessor(StatefulProcessor):
             self.items.appendValue((v,))
             n_records += 1
             out.append((str(key[0]), int(s), v, seen, n_records))
+        self.total.update((n_records,))
         yield pd.DataFrame(out, columns=["key", "seq", "value", "times_seen", "records"])
 
     def close(self) -> None:
@@ -131,26 +133,37 @@ TIMER_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
 
 class TimerEachProcessor(StatefulProcessor):
     """A timer at every record's event time + delay; timers of one key at the
-    same time are one timer (event-time timers are kept per key as a set,
-    in milliseconds)."""
+    same time are one timer.  The engine's timers count milliseconds, so a map
+    state holds the exact microseconds due in each of them."""
 
     def __init__(self, time_col: str, delay):
         self.time_col = time_col
-        self.delay_ms = int(round(duration(delay) * 1000))
+        self.delay_us = int(round(duration(delay) * 1e6))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        ms = T.StructType([T.StructField("ms", T.LongType())])
+        self.due = handle.getMapState("due", ms, T.StructType([T.StructField("us", T.ArrayType(T.LongType()))]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for pdf in rows:
-            ms = pdf[self.time_col].astype("datetime64[ms]").astype("int64")
-            for t in sorted(set(int(x) for x in ms)):
-                self.handle.registerTimer(t + self.delay_ms)
+            us = pdf[self.time_col].astype("datetime64[us]").astype("int64") + self.delay_us
+            by_ms: dict[int, set[int]] = {}
+            for t in us:
+                by_ms.setdefault(-(-int(t) // 1000), set()).add(int(t))
+            for ms, times in by_ms.items():
+                if self.due.containsKey((ms,)):
+                    times |= set(self.due.getValue((ms,))[0])
+                else:
+                    self.handle.registerTimer(ms)
+                self.due.updateValue((ms,), (sorted(times),))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at = pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")
-        yield pd.DataFrame([(str(key[0]), at)], columns=["key", "fire_time"])
+        ms = expiredTimerInfo.getExpiryTimeInMs()
+        times = list(self.due.getValue((ms,))[0]) if self.due.containsKey((ms,)) else [ms * 1000]
+        self.due.removeKey((ms,))
+        yield pd.DataFrame([(str(key[0]), pd.Timestamp(t, unit="us")) for t in times], columns=["key", "fire_time"])
 
     def close(self) -> None:
         pass

@@ -9,8 +9,10 @@ through the event-time timeout once the watermark passes the due time.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -21,10 +23,30 @@ _ALERT_OUT = "key string, fire_time timestamp, last_value double"
 _ALERT_STATE = "prev double, due long, last double"   # due in microseconds
 
 
+def _in_order(pdfs: Iterator[pd.DataFrame], time_col: str, seq: str, value: str):
+    """A key's records of a micro-batch by (time, seq), as three arrays.  The
+    Arrow batches are reduced to these columns one by one."""
+    parts = [(p[time_col].astype("datetime64[us]").astype("int64").to_numpy(), p[seq].to_numpy(), p[value].to_numpy())
+             for p in pdfs]
+    t, s, v = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((s, t))
+    return t[order], s[order], v[order]
+
+
+def _arm(state: GroupState, due_us: int) -> bool:
+    """Sets the key's event-time timeout; False if the watermark has already
+    passed it, as after a late record that was still accepted."""
+    if due_us // 1000 <= state.getCurrentWatermarkMs():
+        return False
+    state.setTimeoutTimestamp(due_us // 1000)
+    return True
+
+
 def rising_alert_stream(stream: DataFrame, key: str, time_col: str, seq: str, value: str,
                         delay) -> DataFrame:
     """Streaming twin of ``operators.alerts.rising_alert`` (output mode
-    append; needs a watermark on ``time_col``)."""
+    append; needs a watermark on ``time_col``).  A timer whose due time the
+    watermark has passed fires at once."""
     d_us = int(round(duration(delay) * 1e6))
 
     def step(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -33,26 +55,23 @@ def rising_alert_stream(stream: DataFrame, key: str, time_col: str, seq: str, va
         if state.hasTimedOut:
             if due >= 0:
                 out.append((k[0], pd.Timestamp(due, unit="us"), last))
-            state.update((prev, -1, last))
-            if out:
-                yield pd.DataFrame(out, columns=["key", "fire_time", "last_value"])
-            return
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values([time_col, seq])
-        ts = (pdf[time_col].astype("datetime64[us]").astype("int64")).to_numpy()
-        vals = pdf[value].astype("float64").to_numpy()
-        for t, v in zip(ts, vals):
-            if due >= 0 and due < t:           # timer due before this record
+            due = -1
+        else:
+            ts, _, vals = _in_order(pdfs, time_col, seq, value)
+            for t, v in zip(ts, vals.astype("float64")):
+                if due >= 0 and due < t:           # timer due before this record
+                    out.append((k[0], pd.Timestamp(due, unit="us"), last))
+                    due = -1
+                if v > prev:
+                    if due < 0:
+                        due = int(t) + d_us
+                else:
+                    due = -1
+                prev, last = float(v), float(v)
+            if due >= 0 and not _arm(state, due):
                 out.append((k[0], pd.Timestamp(due, unit="us"), last))
                 due = -1
-            if v > prev:
-                if due < 0:
-                    due = int(t) + d_us
-            else:
-                due = -1
-            prev, last = float(v), float(v)
         state.update((prev, due, last))
-        if due >= 0:
-            state.setTimeoutTimestamp(due // 1000)   # milliseconds
         if out:
             yield pd.DataFrame(out, columns=["key", "fire_time", "last_value"])
 
@@ -97,36 +116,33 @@ def followed_by_within_stream(stream: DataFrame, key: str, time_col: str, seq: s
 
     def step(k, pdfs, state: GroupState):
         ids, tus = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
-        out = []
+        out, head = [], 0                       # waiting starts are ordered by time: a prefix expires
 
         def expire(now_us):
             """Starts whose deadline (start + within) is at or before now."""
-            nonlocal ids, tus
-            keep_i, keep_t = [], []
-            for i, t in zip(ids, tus):
-                if now_us - t >= w_us:
-                    out.append((k[0], i, None, t, None, "timeout"))
-                else:
-                    keep_i.append(i)
-                    keep_t.append(t)
-            ids, tus = keep_i, keep_t
+            nonlocal head
+            while head < len(ids) and now_us - tus[head] >= w_us:
+                out.append((k[0], ids[head], None, tus[head], None, "timeout"))
+                head += 1
 
         if not state.hasTimedOut:
-            pdf = pd.concat(list(pdfs), ignore_index=True).sort_values([time_col, seq])
-            ts = pdf[time_col].astype("datetime64[us]").astype("int64").to_numpy()
-            for rid, t, kind in zip(pdf[seq].to_numpy(), ts, pdf[kind_col].to_numpy()):
+            for t, rid, kind in zip(*_in_order(pdfs, time_col, seq, kind_col)):
                 t = int(t)
                 expire(t)                       # too old for this or any later record
                 if kind == second:
-                    out.extend((k[0], i, int(rid), s0, t, "match") for i, s0 in zip(ids, tus))
-                    ids, tus = [], []
+                    # a record that came late only matches the starts before it
+                    keep = bisect_right(tus, t, head)
+                    out.extend((k[0], ids[i], int(rid), tus[i], t, "match") for i in range(head, keep))
+                    ids, tus, head = ids[keep:], tus[keep:], 0
                 if kind == first:
-                    ids.append(int(rid))
-                    tus.append(t)
+                    at = bisect_right(tus, t, head)
+                    ids.insert(at, int(rid))
+                    tus.insert(at, t)
         expire(state.getCurrentWatermarkMs() * 1000)   # deadlines the watermark passed
+        ids, tus = ids[head:], tus[head:]
         if ids:
             state.update((ids, tus))
-            state.setTimeoutTimestamp(min(tus) // 1000 + w_us // 1000 + 1)
+            _arm(state, (tus[0] // 1000 + w_us // 1000 + 1) * 1000)
         else:
             state.remove()
         if out:
@@ -149,17 +165,151 @@ def one_shot_timer_stream(stream: DataFrame, key: str, time_col: str, seq: str,
     def first_step(k, pdfs, state: GroupState):
         if state.hasTimedOut:
             due, _ = state.get
-            state.update((due, True))
-            yield pd.DataFrame([(k[0], due)], columns=["user_id", "fire_us"])
+        elif state.exists:
+            for _ in pdfs:
+                pass
             return
-        frames = list(pdfs)
-        if state.exists:
-            return
-        pdf = pd.concat(frames, ignore_index=True).sort_values([time_col, seq])
-        t0 = int(pdf[time_col].astype("datetime64[us]").astype("int64").iloc[0])
-        due = t0 + d_us
-        state.update((due, False))
-        state.setTimeoutTimestamp(due // 1000 + 1)
+        else:
+            ts, _, _ = _in_order(pdfs, time_col, seq, seq)
+            due = int(ts[0]) + d_us
+            if _arm(state, (due // 1000 + 1) * 1000):
+                state.update((due, False))
+                return
+        state.update((due, True))               # due, or passed before the record came
+        yield pd.DataFrame([(k[0], due)], columns=["user_id", "fire_us"])
 
     return stream.groupBy(key).applyInPandasWithState(
         first_step, _TIMER_OUT, "due long, fired boolean", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+_NEXT_OUT = "user_id long, first_id long, second_id long, first_us long, second_us long"
+
+
+def next_within_stream(stream: DataFrame, key: str, time_col: str, seq: str, flag: str, within) -> DataFrame:
+    """``begin(flag).next(flag).within(t)`` on a stream: a flagged record whose
+    next record of the key is flagged too, less than ``within`` later.
+
+    The order inside a key is (time, seq), so records wait in state until the
+    watermark passes them (a record that comes late but accepted still takes
+    its place); the last passed record is kept for the next one.
+    """
+    w_us = int(round(duration(within) * 1e6))
+
+    def step(k, pdfs, state: GroupState):
+        waiting, last = [], None
+        if state.exists:
+            ts, ids, flags, lt, li, lf = state.get
+            waiting = list(zip(ts, ids, flags))
+            last = (lt, li, lf) if lt is not None else None
+        if not state.hasTimedOut:
+            waiting += [(int(t), int(i), bool(f)) for t, i, f in zip(*_in_order(pdfs, time_col, seq, flag))]
+            waiting.sort()
+        passed = bisect_right(waiting, (state.getCurrentWatermarkMs() * 1000, 1 << 62, True))
+        out = []
+        for rec in waiting[:passed]:
+            if last is not None and last[2] and rec[2] and rec[0] - last[0] < w_us:
+                out.append((k[0], last[1], rec[1], last[0], rec[0]))
+            last = rec
+        waiting = waiting[passed:]
+        ts, ids, flags = (list(c) for c in zip(*waiting)) if waiting else ([], [], [])
+        state.update((ts, ids, flags, *(last or (None, None, None))))
+        if waiting:
+            _arm(state, (waiting[0][0] // 1000 + 1) * 1000)
+        if out:
+            yield pd.DataFrame(out, columns=["user_id", "first_id", "second_id", "first_us", "second_us"])
+
+    return stream.groupBy(key).applyInPandasWithState(
+        step, _NEXT_OUT, "ts array<long>, ids array<long>, flags array<boolean>, lt long, li long, lf boolean",
+        "append", GroupStateTimeout.EventTimeTimeout)
+
+
+_MATCH_OUT = "key long, n long, left_id long, right_id long, status string"
+
+
+def reconcile_stream(stream: DataFrame, key: str, side: str, time_col: str, seq: str, patience) -> DataFrame:
+    """1:1 consuming match of two streams in one (``side`` is ``left`` or
+    ``right``): the n-th record of a key on either side pairs with the n-th on
+    the other, whichever comes first.  The waiting records are the state; they
+    leave as ``left_only`` / ``right_only`` once the watermark is ``patience``
+    past the key's newest record."""
+    p_us = int(round(duration(patience) * 1e6))
+
+    def step(k, pdfs, state: GroupState):
+        left, right, n, newest = (list(state.get[0]), list(state.get[1]), *state.get[2:]) if state.exists else ([], [], 0, 0)
+        out = []
+
+        def give_up():
+            nonlocal left, right, n
+            out.extend((k[0], n + i + 1, r, None, "left_only") for i, r in enumerate(left))
+            out.extend((k[0], n + i + 1, None, r, "right_only") for i, r in enumerate(right))
+            n, left, right = n + len(left) + len(right), [], []
+
+        if state.hasTimedOut:
+            give_up()
+        else:
+            ts, ids, sides = _in_order(pdfs, time_col, seq, side)
+            left += ids[sides == "left"].tolist()
+            right += ids[sides == "right"].tolist()
+            newest = max(newest, int(ts[-1]))
+            pairs = min(len(left), len(right))
+            out.extend((k[0], n + i + 1, left[i], right[i], "matched") for i in range(pairs))
+            n, left, right = n + pairs, left[pairs:], right[pairs:]
+            if (left or right) and not _arm(state, newest + p_us):
+                give_up()
+        state.update((left, right, n, newest))
+        if out:
+            frame = pd.DataFrame(out, columns=["key", "n", "left_id", "right_id", "status"])
+            yield frame.astype({"left_id": "Int64", "right_id": "Int64"})
+
+    return stream.groupBy(key).applyInPandasWithState(
+        step, _MATCH_OUT, "l array<long>, r array<long>, n long, newest long", "append",
+        GroupStateTimeout.EventTimeTimeout)
+
+
+_ROLLING_OUT = "key long, pos long, first_id long, id long, agg long"
+
+
+def rolling_stream(stream: DataFrame, key: str, time_col: str, seq: str, value: str, agg: str = "sum") -> DataFrame:
+    """Rolling ``sum``, ``max`` or ``min`` per record on a stream: one output
+    row per input row, with the key's first record (its ``seq``).  Records
+    count in the order of micro-batches, by (time, seq) inside one."""
+    fold = {"sum": np.cumsum, "max": np.maximum.accumulate, "min": np.minimum.accumulate}[agg]
+    join = {"sum": lambda a, b: a + b, "max": np.maximum, "min": np.minimum}[agg]
+
+    def step(k, pdfs, state: GroupState):
+        _, ids, vals = _in_order(pdfs, time_col, seq, value)
+        run = fold(vals.astype("int64"))
+        n, first, acc = state.get if state.exists else (0, int(ids[0]), None)
+        if acc is not None:
+            run = join(run, acc)
+        state.update((n + len(ids), first, int(run[-1])))
+        yield pd.DataFrame({"key": k[0], "pos": n + 1 + np.arange(len(ids)), "first_id": first, "id": ids, "agg": run})
+
+    return stream.groupBy(key).applyInPandasWithState(
+        step, _ROLLING_OUT, "n long, first long, acc long", "append", GroupStateTimeout.NoTimeout)
+
+
+_COUNT_OUT = "key long, pos long, n long, sum long"
+
+
+def count_window_stream(stream: DataFrame, key: str, time_col: str, seq: str, value: str, size: int,
+                        slide: int | None = None) -> DataFrame:
+    """Count windows on a stream: every ``slide`` records of a key the sum of
+    its last ``size``; the state is the last ``size - 1`` values."""
+    slide = slide or size
+
+    def step(k, pdfs, state: GroupState):
+        _, _, vals = _in_order(pdfs, time_col, seq, value)
+        n, kept = (state.get[0], list(state.get[1])) if state.exists else (0, [])
+        all_ = np.array(kept + vals.astype("int64").tolist(), dtype="int64")
+        total = np.concatenate([[0], np.cumsum(all_)])
+        pos = n + 1 + np.arange(len(vals))
+        end = len(kept) + 1 + np.arange(len(vals))
+        begin = np.maximum(end - size, 0)
+        hit = pos % slide == 0
+        state.update((n + len(vals), all_[-(size - 1):].tolist() if size > 1 else []))
+        if hit.any():
+            yield pd.DataFrame({"key": k[0], "pos": pos[hit], "n": (end - begin)[hit], "sum": (total[end] - total[begin])[hit]})
+
+    return stream.groupBy(key).applyInPandasWithState(
+        step, _COUNT_OUT, "n long, kept array<long>", "append", GroupStateTimeout.NoTimeout)

@@ -9,9 +9,9 @@ document with the smallest id that links reach.
    counts in how many documents each n-gram occurs and answers with those
    found twice or more.  A document linked with another text needs at least
    ``threshold`` percent such n-grams; the others are done.
-2. *Classes.*  Equal sets (size and two 64-bit sums) form a class, and step 1
-   runs again over one representative per class.
-3. *Candidates.*  In the global order (frequency, hash) each set's prefix of
+2. *Classes.*  Equal sets (size and two 64-bit sums) form a class; one
+   representative per class goes on.
+3. *Candidates.*  In the global order (frequency class, hash) each set's prefix of
    ``n - ceil(threshold * n / 100) + 1`` n-grams is indexed; linked sets share
    a prefix n-gram.  Within an n-gram's list, members are first paired with a
    few hubs only.  What then lies in one component needs no more pairs; after
@@ -43,6 +43,7 @@ N = 4
 THRESHOLD = 85                   # percent
 FRAGMENT = 1 << 18               # n-grams per fragment, about
 BLOCK = 1 << 16                  # rows per block at most: 16-bit row numbers
+SHORT = 5                        # bytes of a hash that travel; its fragment gives the rest
 CUTS = 4
 HUBS = (3, 8, 32)
 
@@ -57,13 +58,37 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), KINDS)], names=NAMES)
 
 
+def _steps(row: np.ndarray) -> bytes:
+    """Rising row numbers as steps, one byte each where that is enough."""
+    step = np.diff(row, prepend=0)
+    return step.astype(np.uint8 if not len(step) or step.max() < 256 else np.uint16).tobytes()
+
+
+def _rows(steps: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.frombuffer(steps, np.uint8 if len(steps) == n else np.uint16), dtype=np.int64)
+
+
+def _short(gram: np.ndarray) -> bytes:
+    """The low 40 bits of n-gram hashes; the fragment holds the high ones."""
+    return gram.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SHORT].tobytes()
+
+
+def _grams(short: bytes, frag: int) -> np.ndarray:
+    part = np.frombuffer(short, np.uint8).reshape(-1, SHORT)
+    full = np.zeros((len(part), 8), np.uint8)
+    full[:, :SHORT] = part
+    return full.view("<u8").ravel() | np.uint64(frag << (8 * SHORT))
+
+
 def _pack(unit: int, ids, n, s1, s2, row: np.ndarray, gram: np.ndarray, fragments: int):
-    """A block's n-grams by fragment, and one row with the block's documents."""
-    frag = ((gram >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)      # cuts the sorted hashes evenly
+    """A block's n-grams (in order of row) by fragment, and one row with the
+    block's documents."""
+    frag = ((gram >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
+    order = np.argsort(frag.astype(np.uint16) if fragments < 1 << 16 else frag, kind="stable")
+    frag, row, gram = frag[order], row[order], gram[order]
     cut = np.flatnonzero(np.diff(frag, prepend=np.uint64(fragments)))
-    ends = np.append(cut[1:], len(gram))
-    out = [(int(frag[a]), unit, None, None, None, None, row[a:b].astype(np.uint16).tobytes(), gram[a:b].tobytes(), None)
-           for a, b in zip(cut, ends)]
+    out = [(int(frag[a]), unit, None, None, None, None, _steps(row[a:b]), _short(gram[a:b]), None)
+           for a, b in zip(cut, np.append(cut[1:], len(gram)))]
     out.append((int(mix(np.array([unit], np.uint64))[0] % np.uint64(fragments)), unit, ids,
                 n.astype(np.int32).tobytes(), s1.tobytes(), s2.tobytes(), None, None, None))
     for i in range(0, len(out), 512):
@@ -71,7 +96,7 @@ def _pack(unit: int, ids, n, s1, s2, row: np.ndarray, gram: np.ndarray, fragment
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, hash)`` of the distinct n-grams of each row, sorted by hash."""
+    """``(row, hash)`` of the distinct n-grams of each row, in order of row."""
     words = Words(data, offsets, lower=True)
     h, inside = words.grams(n)
     gram, row = h[inside], words.doc[:len(h)][inside]
@@ -82,17 +107,18 @@ def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray,
             g, _ = words.grams(k)
             gram = np.concatenate([gram, mix(g[words.first[short]] + np.uint64(k))])
             row = np.concatenate([row, short])
-    order = np.lexsort((row, gram)) if len(gram) < 2 else np.argsort(gram, kind="stable")
-    gram, row = gram[order], row[order]
-    if len(gram) > 1:
-        same = np.flatnonzero(gram[1:] == gram[:-1]) + 1     # equal hashes: rows rise unless short texts came last
-        if len(same):
-            keep = np.ones(len(gram), dtype=bool)
-            lo = np.unique(np.concatenate([same, same - 1]))
-            o = lo[np.lexsort((row[lo], gram[lo]))]
-            row[lo] = row[o]
-            keep[1:] = (gram[1:] != gram[:-1]) | (row[1:] != row[:-1])
-            gram, row = gram[keep], row[keep]
+    order = np.argsort(gram, kind="stable")
+    same = np.flatnonzero(gram[order[1:]] == gram[order[:-1]])
+    if len(same):                                        # the same n-gram twice: drop it within a row
+        twice = order[np.unique(np.concatenate([same, same + 1]))]
+        twice = twice[np.lexsort((row[twice], gram[twice]))]
+        again = (gram[twice[1:]] == gram[twice[:-1]]) & (row[twice[1:]] == row[twice[:-1]])
+        keep = np.ones(len(gram), dtype=bool)
+        keep[twice[1:][again]] = False
+        gram, row = gram[keep], row[keep]
+    if (np.diff(row) < 0).any():                         # short texts came last
+        order = np.argsort(row, kind="stable")
+        gram, row = gram[order], row[order]
     return row, gram
 
 
@@ -120,43 +146,25 @@ def _from_texts(documents: DataFrame, n: int, fragments: int) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(run, PACKED)
 
 
-def _from_sets(sets: DataFrame, fragments: int) -> DataFrame:
-    def run(batches):
-        unit = TaskContext.get().partitionId() << 24
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                part = batch.slice(lo, 4096)
-                lists = part["grams"]
-                gram = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-                order = np.argsort(gram, kind="stable")
-                s1, s2 = (part[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("s1", "s2"))
-                yield from _pack(unit, part["id"].to_pylist(), part["n"].to_numpy(zero_copy_only=False), s1, s2,
-                                 row[order], gram[order], fragments)
-                unit += 1
-
-    return sets.select("id", "n", "s1", "s2", "grams").mapInArrow(run, PACKED)
-
-
 def _count_fragment(table: pa.Table) -> pa.Table:
     """Keeps the n-grams that two or more documents have, with that number."""
     rows = table.to_pylist()
     out = [tuple(r[c] for c in NAMES) for r in rows if r["ids"] is not None]
     parts = [r for r in rows if r["gram"] is not None]
     if parts:
-        gram = np.concatenate([np.frombuffer(r["gram"], np.uint64) for r in parts])
-        _, inverse, count = np.unique(gram, return_inverse=True, return_counts=True)
-        freq = count[inverse].astype(np.uint32)
+        grams = [_grams(r["gram"], 0) for r in parts]
+        _, inverse, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+        freq = count[inverse]
         at = 0
-        for r in parts:
-            g = np.frombuffer(r["gram"], np.uint64)
+        for r, g in zip(parts, grams):
             f = freq[at:at + len(g)]
             at += len(g)
             keep = f > 1
             if keep.any():
-                row = np.frombuffer(r["row"], np.uint16)
-                out.append((r["frag"], r["unit"], None, None, None, None, row[keep].tobytes(), g[keep].tobytes(),
-                            f[keep].tobytes()))
+                # a frequency's class: quarters of its binary logarithm
+                kind = np.minimum(255, np.log2(f[keep]) * 4).astype(np.uint8)
+                out.append((r["frag"], r["unit"], None, None, None, None, _steps(_rows(r["row"], len(g))[keep]),
+                            _short(g[keep]), kind.tobytes()))
     return pa.Table.from_batches([_table(out)]) if out else pa.table([pa.array([], k) for k in KINDS], names=NAMES)
 
 
@@ -167,8 +175,10 @@ def _regroup(table: pa.Table, threshold: int) -> pa.Table:
     head = next(r for r in rows if r["ids"] is not None)
     ids, n = head["ids"], np.frombuffer(head["n"], np.int32)
     parts = [r for r in rows if r["gram"] is not None]
-    cat = lambda c, kind: np.concatenate([np.frombuffer(r[c], kind) for r in parts] or [np.zeros(0, kind)])
-    row, gram, freq = cat("row", np.uint16), cat("gram", np.uint64), cat("freq", np.uint32)
+    freqs = [np.frombuffer(r["freq"], np.uint8) for r in parts]
+    freq = np.concatenate(freqs or [np.zeros(0, np.uint8)])
+    row = np.concatenate([_rows(r["row"], len(f)) for r, f in zip(parts, freqs)] or [np.zeros(0, np.int64)])
+    gram = np.concatenate([_grams(r["gram"], r["frag"]) for r in parts] or [np.zeros(0, np.uint64)])
     shared = np.bincount(row, minlength=len(ids))
     alive = (shared * 100 >= threshold * n) & (n > 0)
     keep = alive[row]
@@ -257,7 +267,7 @@ def components(sets: DataFrame, threshold: int, hubs=HUBS) -> DataFrame:
     lists = materialize(lists.join(often, "gram"), "join-lists")
     if lists.isEmpty():
         return labels
-    cuts = materialize(_cut(sets), "join-cuts")
+    cuts = materialize(_cut(sets.join(lists.select("id").distinct(), "id", "left_semi")), "join-cuts")
     tested = None
     for turn, k in enumerate([*hubs, None]):
         sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
@@ -300,13 +310,10 @@ def join(documents: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFr
     docs = materialize(shared_grams(_from_texts(documents, n, fragments), threshold), "join-docs")
     alive = docs.filter("grams is not null")
     # one representative per class of equal sets; size and sums name a class
-    reps = alive.groupBy("n", "s1", "s2").agg(F.first("grams").alias("grams"))
-    reps = materialize(reps.withColumn("id", F.monotonically_increasing_id()), "join-classes")
-    total = reps.agg(F.sum(F.size("grams"))).first()[0] or 0
-    sets = materialize(shared_grams(_from_sets(reps, max(1, -(-total // FRAGMENT))), threshold)
-                       .filter("grams is not null"), "join-sets")
-    labels = components(sets, threshold) if not sets.isEmpty() else sets.select("id", F.col("id").alias("label"))
-    labels = materialize(labels, "join-components")
+    reps = alive.groupBy("n", "s1", "s2").agg(F.min_by(F.struct("rare", "grams", "freqs"), "rare").alias("set"))
+    reps = materialize(reps.select("n", "s1", "s2", "set.rare", "set.grams", "set.freqs")
+                       .withColumn("id", F.monotonically_increasing_id()), "join-classes")
+    labels = materialize(components(reps, threshold), "join-components")
     classes = reps.select(F.col("id").alias("class"), "n", "s1", "s2") \
         .join(labels.select(F.col("id").alias("class"), "label"), "class", "left") \
         .select("n", "s1", "s2", F.coalesce("label", "class").alias("label"))

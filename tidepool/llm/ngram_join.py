@@ -262,7 +262,9 @@ def components(sets: DataFrame, threshold: int, hubs=HUBS) -> DataFrame:
     equal labels for sets that links connect."""
     labels = sets.select("id", F.col("id").alias("label"))
     take = F.col("n") - _need(F.col("n"), threshold) + 1 - F.col("rare")
-    lists = sets.select("id", "n", F.explode(F.slice("grams", 1, F.greatest(take, F.lit(0)).cast("int"))).alias("gram"))
+    # room: the most n-grams that can be common if this one is the first
+    lists = sets.select("id", "n", "rare", F.posexplode(F.slice("grams", 1, F.greatest(take, F.lit(0)).cast("int")))
+                        .alias("p", "gram")).select("id", "n", (F.col("n") - F.col("rare") - F.col("p")).alias("room"), "gram")
     often = lists.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram")
     lists = materialize(lists.join(often, "gram"), "join-lists")
     if lists.isEmpty():
@@ -280,8 +282,11 @@ def components(sets: DataFrame, threshold: int, hubs=HUBS) -> DataFrame:
         else:
             order = Window.partitionBy("gram").orderBy(F.col("size").desc(), F.xxhash64(F.lit(turn), "id"))
             hub = named.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= k)
-        hub = hub.select("gram", F.col("id").alias("hid"), F.col("n").alias("hn"), F.col("label").alias("hlabel"))
-        near = (F.col("label") != F.col("hlabel")) & (100 * F.least("n", "hn") >= threshold * F.greatest("n", "hn"))
+        hub = hub.select("gram", F.col("id").alias("hid"), F.col("n").alias("hn"), F.col("room").alias("hroom"),
+                         F.col("label").alias("hlabel"))
+        # the first common n-gram of a linked pair leaves room for all the others
+        near = (F.col("label") != F.col("hlabel")) & (
+            F.least("room", "hroom") * (100 + threshold) >= threshold * (F.col("n") + F.col("hn")))
         if k is None:
             near = near & (F.col("id") < F.col("hid"))
         first = F.col("id") < F.col("hid")

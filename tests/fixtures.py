@@ -1,4 +1,6 @@
-"""Small literal inputs (copied as data from the reference's input folder)."""
+"""Small literal inputs."""
+
+# fixed values: fixture rows, as given (sensor id, epoch seconds, value; words)
 
 SENSOR = """sensor_1,1549044122,10
 sensor_1,1549044123,20

@@ -163,6 +163,7 @@ def q_rolling_reduce(spark, sf):
         "l_suppkey", *LI_ORDER,
         F.concat(F.lit("supp_"), F.col("l_suppkey").cast("string")).alias("sid"),
         F.col("l_orderkey").alias("code"), F.col("l_quantity").alias("qty"))
+    # fixed values: what later records of a key carry in the other fields
     r = rolling.rolling_reduce(li, ["l_suppkey"], LI_ORDER, "qty",
                                {"sid": F.lit("aaa"), "code": F.lit(123)})
     return r.select("l_suppkey", "pos", "sid", "code", "qty")

@@ -16,7 +16,7 @@ from tidepool.sources.tables import TABLES
 
 ORDERED = ["rolling_sum", "rolling_max", "rolling_min", "rolling_reduce", "rolling_count", "rolling_distinct", "session",
            "count_window", "count_window_tumbling", "count_window_double", "window_all_count", "previous_value",
-           "pattern_next", "pattern_followed_by", "pattern_times", "login_fail_alert", "order_pay", "order_timeout",
+           "pattern_next", "pattern_followed_by", "pattern_times", "login_fail_alert", "pattern_steps", "order_pay", "order_timeout",
            "reconcile", "rising_alert", "late_side_output", "watermark_trace", "window_firings", "page_views_rolling",
            "unique_visitors_rolling", "word_count_rolling"]
 

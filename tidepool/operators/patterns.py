@@ -161,3 +161,45 @@ def times(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Colum
     rep_struct = F.transform(run_k, lambda r: F.struct(*[r[f].alias(f) for f in fields]))
     return out.select(*keys, *[F.col(f).alias(f"{names[0]}_{f}") for f in fields], "k",
                       rep_struct.alias(names[1]))
+
+
+def match_steps(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                steps: Sequence[tuple[str, Column, str]], fields: Sequence[str], within=None,
+                id_col: str | None = None) -> DataFrame:
+    """A sequence of any number of steps ``(name, condition, how)``; ``how`` is
+    ``next`` (the record right after) or ``followed_by`` (the first later
+    record that satisfies the condition) and is ignored for the first step.
+    With ``within`` the last record is less than that after the first.
+
+    Each record's continuation per step comes from one ordered scan; partial
+    matches then go from step to step by a join on ``id_col`` (unique, the last
+    order column by default), so no key is one task.
+    """
+    time_col, id_col = order[0], id_col or order[-1]
+    payload = {**{f: f for f in fields}, "_id": id_col, "_t": time_col}
+    b = ordered.boundaries(df, keys, order)
+    rows = df
+    for i, (_, condition, how) in enumerate(steps[1:], 1):
+        if how == "next":
+            rows = ordered.neighbours(rows.withColumn("_b", condition), keys, order, {**payload, "_b": "_b"}, [1],
+                                      prefix="_n", bounds=b)
+            rows = rows.withColumn(f"_s{i}", F.when(F.col("_n1._b"), F.struct(*[F.col(f"_n1.{p}") for p in payload]))) \
+                       .drop("_n1", "_n_pos", "_b")
+        elif how == "followed_by":
+            rows = ordered.next_match(rows, keys, order, condition, payload, f"_s{i}", bounds=b)
+        else:
+            raise ValueError(f"unknown kind of step: {how!r}")
+    first = steps[0][0]
+    out = rows.where(steps[0][1])
+    if len(steps) > 1:
+        out = out.where(F.col("_s1").isNotNull())
+    out = out.select(*keys, *[F.col(f).alias(f"{first}_{f}") for f in fields], F.col(time_col).alias("_t0"),
+                     *(["_s1"] if len(steps) > 1 else []))
+    for i, (name, _, _) in enumerate(steps[1:], 1):
+        out = out.select("*", *[F.col(f"_s{i}.{f}").alias(f"{name}_{f}") for f in fields])
+        if i + 1 < len(steps):
+            step = rows.where(F.col(f"_s{i + 1}").isNotNull()).select(F.col(id_col).alias("_rid"), f"_s{i + 1}")
+            out = out.join(step, out[f"_s{i}"]["_id"] == step["_rid"]).drop("_rid")
+        elif within is not None:
+            out = out.where(_within(F.col("_t0"), F.col(f"_s{i}._t"), within))
+    return out.drop("_t0", *[f"_s{i}" for i in range(1, len(steps))])

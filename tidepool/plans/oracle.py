@@ -408,7 +408,17 @@ WHERE r.timer IS NOT NULL""",
 }
 
 
+_LATER = """first_value(CASE WHEN event_type = '{0}' THEN struct_pack(id := event_id, t := ts) END IGNORE NULLS)
+               OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"""
+
 ORACLE.update({
+    "pattern_steps": f"""
+WITH s AS (SELECT user_id, event_id, ts, event_type, {_LATER.format('purchase')} AS p, {_LATER.format('error')} AS e
+           FROM events)
+SELECT a.user_id, a.event_id AS view_event_id, a.p.id AS purchase_event_id, b.e.id AS error_event_id
+FROM s a JOIN s b ON b.event_id = a.p.id
+WHERE a.event_type = 'view' AND b.e IS NOT NULL AND b.e.t < a.ts + INTERVAL 12 HOUR""",
+
     "count_window_double": f"""
 WITH {EV},
 r AS (SELECT user_id, row_number() OVER w AS pos,

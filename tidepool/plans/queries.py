@@ -449,6 +449,13 @@ def q_pattern_times(spark, sf):
                     F.element_at("repeats", -1)["event_id"].alias("last_event_id"))
 
 
+def q_pattern_steps(spark, sf):
+    """Three steps: a view, the first purchase after it, the first error after that, within 12 hours."""
+    steps = [(n, F.col("event_type") == n, "followed_by") for n in ("view", "purchase", "error")]
+    r = patterns.match_steps(_ev(spark, sf), ["user_id"], EV_ORDER, steps, ["event_id"], "12 hours")
+    return r.select("user_id", "view_event_id", "purchase_event_id", "error_event_id")
+
+
 def q_login_fail_alert(spark, sf):
     return analyses.login_fail_alert(_ev(spark, sf), "user_id", "event_type", EV_ORDER, ["event_id"],
                                      "1 hour", "error")

@@ -14,8 +14,8 @@ short.
 
 Ids come from a ``tokenizers`` file.  When its merges are numbered in order
 (checked), texts are encoded by ``tiktoken`` with ranks read from the same
-file, which gives the same ids faster; texts that hold a special token's
-string or a very long word go through ``tokenizers`` itself.
+file, which gives the same ids faster; texts with a very long word go through
+``tokenizers`` itself.  A special token's string in a text is ordinary text.
 
 Defined cases: a null text is an empty one (its only token is the end id);
 repeated rows are documents of their own; an empty table gives no rows; extra
@@ -65,9 +65,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.slow = Tokenizer.from_file(path)
+        self.slow.encode_special_tokens = True          # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.special = [t["content"] for t in spec["added_tokens"]]
         self.fast = self._ranks(spec)
 
     @staticmethod
@@ -92,8 +92,7 @@ class Encoder:
             return None
 
     def __call__(self, text: str) -> np.ndarray:
-        odd = any(s in text for s in self.special) or (len(text) > LONG_TEXT and LONG_WORD.search(text))
-        if self.fast is None or odd:
+        if self.fast is None or (len(text) > LONG_TEXT and LONG_WORD.search(text)):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         return np.frombuffer(self.fast._core_bpe.encode_to_tiktoken_buffer(text, set()), dtype=np.uint32)
 

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, ship_package
+from ..session import delete_on_exit, ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
 
 __all__ = ["WORD", "materialize", "ship_package", "small_join", "table", "total_bytes",
@@ -31,6 +31,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), "llm", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
+    delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -130,7 +130,8 @@ def pack_block(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, buckets:
         inner = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
         begin = np.repeat(begin, more) + inner * RUN
         size = np.minimum(np.repeat(size, more) - inner * RUN, RUN)
-    bucket = ((mini[begin] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    # minimizers are small numbers: mixed once more they spread over the buckets
+    bucket = ((mix(mini[begin]) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     order = np.argsort(bucket, kind="stable")
     begin, size, bucket = begin[order], size[order], bucket[order]
     cut = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets)))

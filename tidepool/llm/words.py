@@ -32,7 +32,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def text_blocks(column: pa.Array, block_bytes: int = 8 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_blocks(column: pa.Array, block_bytes: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` for runs of rows with at most
     ``block_bytes`` of text (one row at least).  Null texts have no bytes."""
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column

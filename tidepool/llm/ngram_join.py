@@ -45,7 +45,7 @@ FRAGMENT = 1 << 18               # n-grams per fragment, about
 BLOCK = 1 << 16                  # rows per block at most: 16-bit row numbers
 SHORT = 5                        # bytes of a hash that travel; its fragment gives the rest
 CUTS = 4
-HUBS = (3, 8, 32)
+HUBS = (4, 32)
 
 PACKED = ("frag long, unit long, ids array<long>, n binary, s1 binary, s2 binary, row binary, gram binary, "
           "freq binary")
@@ -232,35 +232,48 @@ def linked(pairs: DataFrame, cuts: DataFrame, threshold: int, few: bool) -> Data
     return both.filter(F.col("common") * (100 + threshold) >= threshold * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
-def contract(labels: DataFrame, links: DataFrame, salt: int) -> DataFrame:
-    """Joins labels along links ``(a, b)`` between members: ``(id, label)``."""
-    to = labels.select(F.col("id").alias("__m"), F.col("label").alias("__l"))
-    edge = links.join(to, links["a"] == to["__m"]).select(F.col("__l").alias("u"), "b")
-    edge = edge.join(to, edge["b"] == to["__m"]).select("u", F.col("__l").alias("v"))
-    turn = 0
+def _relabel(rows: DataFrame, column: str, to: DataFrame, few: bool) -> DataFrame:
+    """``rows`` with ``column`` sent through ``to`` (``id``, ``label``); what
+    is not in there stays."""
+    small = to.select(F.col("id").alias("__id"), F.col("label").alias("__label"))
+    small = F.broadcast(small) if few else small
+    return rows.join(small, rows[column] == small["__id"], "left") \
+        .withColumn(column, F.coalesce("__label", column)).drop("__id", "__label")
+
+
+def contract(moved: DataFrame, links: DataFrame, salt: int, few: bool) -> DataFrame:
+    """``moved`` (``id``, ``label`` of the sets that do not keep their own id
+    as label) after joining the components of the pairs ``(a, b)``."""
+    edge = _relabel(_relabel(links, "a", moved, few), "b", moved, few).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    total, turn = None, 0
     while True:
         edge = materialize(edge.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
                            .distinct(), "join-edges")
-        if edge.isEmpty():
-            return labels
+        n = edge.count()
+        if not n:
+            break
+        small = 2 * n <= BROADCAST_ROWS                      # an edge has two ends
         rank = lambda c: F.xxhash64(F.lit(salt * 1000 + turn), F.col(c))
         both = edge.unionByName(edge.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        to = both.groupBy("u").agg(F.min(F.struct(rank("v").alias("r"), F.col("v"))).alias("best")) \
-                 .select("u", F.when(F.col("best.r") < rank("u"), F.col("best.v")).otherwise(F.col("u")).alias("to"))
+        to = both.groupBy("u").agg(F.min(F.struct(rank("v").alias("r"), F.col("v"))).alias("best")).select(
+            F.col("u").alias("id"), F.when(F.col("best.r") < rank("u"), F.col("best.v")).otherwise(F.col("u")).alias("label"))
         to = materialize(to, "join-map")
-        second = to.select(F.col("u").alias("to"), F.col("to").alias("__next"))       # one jump more
-        to = to.join(second, "to").select("u", F.col("__next").alias("to"))
-        labels = materialize(labels.join(to, labels["label"] == to["u"], "left")
-                             .select("id", F.coalesce("to", "label").alias("label")), "join-labels")
-        edge = edge.join(to, "u").select(F.col("to").alias("u"), "v")
-        edge = edge.join(to.select(F.col("u").alias("v"), F.col("to").alias("__v")), "v").select("u", F.col("__v").alias("v"))
+        to = _relabel(to, "label", to, small)                # one jump more
+        total = to if total is None else _relabel(total, "label", to, small).unionByName(to.join(total, "id", "left_anti"))
+        total = materialize(total, "join-total")
+        edge = _relabel(_relabel(edge, "u", to, small), "v", to, small)
         turn += 1
+    if total is None:
+        return moved
+    few = few and total.count() <= BROADCAST_ROWS
+    new = _relabel(moved, "label", total, few).unionByName(total.filter("id <> label"))
+    return materialize(new, "join-moved")
 
 
 def components(sets: DataFrame, threshold: int, hubs=HUBS) -> DataFrame:
     """``(id, label)`` of sets (a written table of ``SETS`` rows with n-grams):
     equal labels for sets that links connect."""
-    labels = sets.select("id", F.col("id").alias("label"))
+    ids = sets.select("id", F.col("id").alias("label"))
     take = F.col("n") - _need(F.col("n"), threshold) + 1 - F.col("rare")
     # room: the most n-grams that can be common if this one is the first
     lists = sets.select("id", "n", "rare", F.posexplode(F.slice("grams", 1, F.greatest(take, F.lit(0)).cast("int")))
@@ -268,20 +281,25 @@ def components(sets: DataFrame, threshold: int, hubs=HUBS) -> DataFrame:
     often = lists.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram")
     lists = materialize(lists.join(often, "gram"), "join-lists")
     if lists.isEmpty():
-        return labels
+        return ids
     cuts = materialize(_cut(sets.join(lists.select("id").distinct(), "id", "left_semi")), "join-cuts")
-    tested = None
+    moved = materialize(ids.limit(0), "join-moved")
+    tested, n_moved = None, 0
     for turn, k in enumerate([*hubs, None]):
-        sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
-        named = lists.join(labels.join(sizes, "label"), "id")
-        open_ = named.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
-                     .filter("lo <> hi").select("gram")
-        named = named.join(open_, "gram")
+        few = n_moved <= BROADCAST_ROWS
+        named = _relabel(lists.withColumn("label", F.col("id")), "label", moved, few)
+        if n_moved:
+            open_ = named.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
+                         .filter("lo <> hi").select("gram")
+            named = named.join(open_, "gram")
         if k is None:
             hub = named
-        else:
-            order = Window.partitionBy("gram").orderBy(F.col("size").desc(), F.xxhash64(F.lit(turn), "id"))
-            hub = named.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= k)
+        else:                                       # members of the largest components first
+            sizes = moved.groupBy("label").count().select(F.col("label").alias("__s"), "count")
+            sizes = F.broadcast(sizes) if few else sizes
+            order = Window.partitionBy("gram").orderBy(F.col("count").desc_nulls_last(), F.xxhash64(F.lit(turn), "id"))
+            hub = named.join(sizes, named["label"] == sizes["__s"], "left") \
+                       .withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= k)
         hub = hub.select("gram", F.col("id").alias("hid"), F.col("n").alias("hn"), F.col("room").alias("hroom"),
                          F.col("label").alias("hlabel"))
         # the first common n-gram of a linked pair leaves room for all the others
@@ -299,14 +317,13 @@ def components(sets: DataFrame, threshold: int, hubs=HUBS) -> DataFrame:
         pairs = materialize(pairs, "join-pairs")
         count = pairs.count()
         if not count:
-            if k is None or turn == 0:
-                break
             continue
         seen = pairs.select("a", "b")
         tested = seen if tested is None else tested.unionByName(seen)
         links = materialize(linked(pairs, cuts, threshold, count <= BROADCAST_ROWS), "join-links")
-        labels = contract(labels, links, turn)
-    return labels
+        moved = contract(moved, links, turn, few and count <= BROADCAST_ROWS)
+        n_moved = moved.count()
+    return _relabel(ids, "label", moved, n_moved <= BROADCAST_ROWS)
 
 
 def join(documents: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:

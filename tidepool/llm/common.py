@@ -62,13 +62,13 @@ def total_bytes(df: DataFrame, column: str) -> int:
 
 
 def with_row_ids(documents: DataFrame) -> DataFrame:
-    """Adds ``rid``, unique and in order of doc_id: the doc_id itself where it
+    """Adds ``__rid``, unique and in order of doc_id: the doc_id itself where it
     is unique and not null, else a number in that order."""
     keys = documents.select(F.col("doc_id").cast("long").alias("rid"))
     if keys.groupBy("rid").count().filter("rid is null or count > 1").isEmpty():
-        return documents.withColumn("rid", F.col("doc_id").cast("long"))
+        return documents.withColumn("__rid", F.col("doc_id").cast("long"))
     order = [F.col("doc_id").asc_nulls_last(), F.col("__place")]
     placed = documents.withColumn("__place", F.monotonically_increasing_id())
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return materialize(sorted_.withColumn("rid", F.monotonically_increasing_id()).drop("__place"), "row-ids")
+    return materialize(sorted_.withColumn("__rid", F.monotonically_increasing_id()).drop("__place"), "row-ids")

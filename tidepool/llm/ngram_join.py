@@ -350,6 +350,6 @@ def join(documents: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFr
 def distinct(documents: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
     """The first document (smallest doc_id) of every group, same columns."""
     rows = with_row_ids(documents)
-    first = join(rows.select(F.col("rid").alias("doc_id"), "text"), n, threshold) \
-        .filter("doc_id = component_id").select(F.col("doc_id").alias("rid"))
-    return rows.join(first, "rid", "left_semi").select(*documents.columns)
+    first = join(rows.select(F.col("__rid").alias("doc_id"), "text"), n, threshold) \
+        .filter("doc_id = component_id").select(F.col("doc_id").alias("__rid"))
+    return rows.join(first, "__rid", "left_semi").select(*documents.columns)

@@ -195,9 +195,9 @@ def estimates(rows: DataFrame) -> DataFrame:
 
 def judge(documents: DataFrame) -> DataFrame:
     """Per document the statistics, ``base_failed``, ``d2`` and ``kept``."""
-    stats = statistics(documents).withColumn("base_failed", base_failed())
     cols = ["doc_id", "lang", "source"]
-    keep = [c for c in stats.columns if c.startswith("__")]
+    keep = [c for c in documents.columns if c == "__key"]
+    stats = statistics(documents.select(*cols, "text", *keep)).withColumn("base_failed", base_failed())
     stats = materialize(stats.select(*cols, *keep, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
                                      "n_repeat_words", "base_failed", *vector()), "mcd-stats")
     stats = _grouped(stats)

@@ -279,18 +279,17 @@ def dedup(rows: DataFrame, with_text: bool = False) -> tuple[DataFrame, DataFram
 
 def report(documents: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` per document."""
-    rows = with_row_ids(documents.select("doc_id", "text"))
-    out, _ = dedup(rows)
-    same = rows.select("rid", "doc_id")
-    return same.join(out, "rid").select("doc_id", "n_words", "n_removed", "kept_sha256")
+    rows = with_row_ids(documents.select("doc_id", "text")).withColumnRenamed("__rid", "rid")
+    out, _ = dedup(rows.select("rid", "text"))
+    return rows.select("rid", "doc_id").join(out, "rid").select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def remove(documents: DataFrame) -> DataFrame:
     """The documents with the kept words as text (joined by one space where
     words were removed; other texts stay as they are), same columns."""
     rows = with_row_ids(documents)
-    out, _ = dedup(rows, with_text=True)
-    kept = out.filter("n_removed > 0").select(F.col("rid").alias("__rid"), F.col("kept").alias("__kept"))
-    full = rows.join(kept, rows["rid"] == kept["__rid"], "left")
+    out, _ = dedup(rows.select(F.col("__rid").alias("rid"), "text"), with_text=True)
+    kept = out.filter("n_removed > 0").select(F.col("rid").alias("__id"), F.col("kept").alias("__kept"))
+    full = rows.join(kept, rows["__rid"] == kept["__id"], "left")
     cols = [F.coalesce("__kept", "text").alias("text") if c == "text" else rows[c] for c in documents.columns]
     return full.select(*cols)

@@ -168,11 +168,17 @@ def test_packing_round_trip(documents, odd_docs):
 def test_fast_encoder_equals_tokenizers():
     encode = packing.Encoder(packing.default_tokenizer())
     assert encode.fast is not None
-    for text in ["", " ", "a  b\n\n c\t", "don't  I'll", "日本語 テキスト", "é   x", "<|endoftext|>", "z" * 25000,
+    for text in ["", " ", "a b\nc d\n", " a", "a ", "a\u00a0b \u2003c", "a  b\n\n c\t", "don't  I'll", "日本語 テキスト", "é   x", "<|endoftext|>", "z" * 25000,
                  " ".join(chr(c) for c in range(0x21, 0x600)), "١٢٣ ½ ²³ 🙂🙃", "\r\n \x0b\x0c"]:
         assert encode(text).tolist() == encode.slow.encode(text, add_special_tokens=False).ids
 
 
+def test_term_counts():
+    for ids in ([], [5], [3, 3, 1, 70000, 1], [2, 2, 9]):
+        terms, counts = packing.term_counts(np.array(ids, np.uint32))
+        assert dict(zip(terms.tolist(), counts.tolist())) == dict(Counter(ids)) and sorted(terms) == terms.tolist()
+
+
 def test_neighbours_share_terms():
     terms = [np.array([1, 2], np.uint32), np.array([2, 3], np.uint32), np.array([4], np.uint32), np.array([1, 2], np.uint32)]
     index = packing.Index(terms, [np.ones(len(t), np.uint32) for t in terms], np.bincount([1, 2, 2, 3, 4, 1, 2]), 4, 2.0)

@@ -42,6 +42,9 @@ SHARD_ROWS = 4096
 QUERY_TERMS = 16
 K1, B = 1.2, 0.75
 LONG_TEXT, LONG_WORD = 20_000, re.compile(r"\S{4000}")
+# fixed value: the part of the split pattern that tells the last of several
+# white space characters from the others, and what it is about
+LAST_SPACE, SPACES = r"\s+(?!\S)|", re.compile(r"\s\s")
 
 
 def default_tokenizer() -> str:
@@ -68,7 +71,7 @@ class Encoder:
         self.slow.encode_special_tokens = True          # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.fast = self._ranks(spec)
+        self.fast, self.plain = self._ranks(spec)
 
     @staticmethod
     def _ranks(spec):
@@ -76,25 +79,38 @@ class Encoder:
         plain = (model.get("type") == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
                  and spec.get("normalizer") is None and not model.get("continuing_subword_prefix"))
         if not plain:
-            return None
+            return None, None
         letters = _byte_letters()
         vocab = model["vocab"]
         merged = [vocab.get("".join(m if isinstance(m, list) else m.split(" ")), -1) for m in model["merges"]]
         if any(b <= a for a, b in zip(merged, merged[1:])):
-            return None
+            return None, None
         added = {t["content"] for t in spec["added_tokens"]}
         try:
             import public_tokenizers
             import tiktoken
             ranks = {bytes(letters[c] for c in word): i for word, i in vocab.items() if word not in added}
-            return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         except (ImportError, KeyError):
-            return None
+            return None, None
+        # without the look-ahead the pattern splits faster, and alike where no
+        # two white space characters meet
+        full = public_tokenizers.PATTERN
+        return tuple(tiktoken.Encoding("packing", pat_str=p, mergeable_ranks=ranks, special_tokens={})
+                     for p in (full, full.replace(LAST_SPACE, "")))
 
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is None or (len(text) > LONG_TEXT and LONG_WORD.search(text)):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        return np.frombuffer(self.fast._core_bpe.encode_to_tiktoken_buffer(text, set()), dtype=np.uint32)
+        encoding = self.fast if SPACES.search(text) else self.plain
+        return np.frombuffer(encoding._core_bpe.encode_to_tiktoken_buffer(text, set()), dtype=np.uint32)
+
+
+def term_counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, rising, and how often each occurs."""
+    small = ids.astype(np.uint16) if not len(ids) or ids.max() < 1 << 16 else ids.copy()
+    small.sort(kind="stable")                        # radix sort for 16 bits
+    ends = np.append(np.flatnonzero(small[1:] != small[:-1]) + 1, len(small)) if len(small) else np.zeros(0, np.int64)
+    return small[ends - 1].astype(np.uint32), np.diff(ends, prepend=0).astype(np.uint32)
 
 
 def crc(ids: np.ndarray) -> int:
@@ -119,11 +135,10 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int = LENGTH, with_i
                     ids = np.append(encode(text or ""), np.uint32(END_ID))
                     full = len(ids) // length
                     windows = [ids[i * length:(i + 1) * length] for i in range(full)]
-                    terms, counts = np.unique(ids[:-1], return_counts=True)
+                    terms, counts = term_counts(ids[:-1])
                     out.append((len(ids), [crc(w) for w in windows],
                                 [w.tobytes() for w in windows] if with_ids else None,
-                                ids[full * length:].tobytes(), terms.astype(np.uint32).tobytes(),
-                                counts.astype(np.uint32).tobytes()))
+                                ids[full * length:].tobytes(), terms.tobytes(), counts.tobytes()))
                 kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary(), pa.binary(), pa.binary()]
                 cols = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
                 yield pa.record_batch([part["row"], part["doc_id"], *cols],

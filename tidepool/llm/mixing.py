@@ -137,26 +137,25 @@ def mix_report(documents: DataFrame, seed: int = SEED, **kw) -> DataFrame:
 def mix(documents: DataFrame, seed: int = SEED, **kw) -> DataFrame:
     """The mixed rows: each document as often as it is repeated, with the same
     columns.  A repetition in part holds the text's first ``more`` words, joined
-    by one space.  Documents that the mix does not take are
-    not returned."""
+    by one space.  Documents that the mix does not take are not returned."""
     cols = documents.columns
     docs = documents.withColumn("__key", F.xxhash64(*[F.col(c) for c in cols]))
-    sized = materialize(docs.withColumn("__size", word_count(F.col("text"))), "mix-docs")
-    sizes = materialize(sized.select(F.col("__key").alias("doc_id"), "source", F.col("__size").alias("size")),
+    sizes = materialize(docs.select(F.col("__key").alias("doc_id"), "source", word_count(F.col("text")).alias("size")),
                         "mix-sizes")
     taken = plan(sizes, targets(sizes, **kw), seed)
-    # equal rows are interchangeable: give the n-th of them the n-th plan
-    per_key = Window.partitionBy("doc_id", "source", "size").orderBy(F.col("taken").desc())
-    taken = taken.withColumn("__n", F.row_number().over(per_key)).select(
-        F.col("doc_id").alias("__key"), "__n", "whole", "more")
+    # equal rows are interchangeable: the n-th of them takes the n-th plan
+    taken = taken.groupBy(F.col("doc_id").alias("__k")).agg(
+        F.sort_array(F.collect_list(F.struct("taken", "whole", "more", "size")), asc=False).alias("__plans"))
     same = Window.partitionBy("__key").orderBy("doc_id")
-    sized = sized.withColumn("__n", F.row_number().over(same))
-    rows = sized.join(taken, ["__key", "__n"])
+    rows = docs.withColumn("__n", F.row_number().over(same))         # partitioned as the join needs it
+    rows = rows.join(taken, rows["__key"] == taken["__k"]).withColumn("__plan", F.element_at("__plans", F.col("__n")))
+    rows = rows.select(*cols, F.col("__plan.whole").alias("__whole"), F.col("__plan.more").alias("__more"),
+                       F.col("__plan.size").alias("__size"))
     first_words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1,
-                                       F.greatest(F.col("more"), F.lit(1)).cast("int")), " ")
-    copies = F.concat(F.array_repeat(F.lit(-1), F.col("whole").cast("int")),
-                      F.when(F.col("more") > 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>")))
+                                       F.greatest(F.col("__more"), F.lit(1)).cast("int")), " ")
+    copies = F.concat(F.array_repeat(F.lit(-1), F.col("__whole").cast("int")),
+                      F.when(F.col("__more") > 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>")))
     rows = rows.withColumn("__copy", F.explode(copies))
-    part = (F.col("__copy") == 0) & (F.col("more") < F.col("__size"))
+    part = (F.col("__copy") == 0) & (F.col("__more") < F.col("__size"))
     rows = rows.withColumn("text", F.when(part, first_words).otherwise(F.col("text")))
     return rows.select(*cols)

@@ -234,7 +234,7 @@ def _apply(batches, with_text: bool):
                 kept = words if keep is None else [words[i] for i in np.flatnonzero(keep)]
                 joined = b" ".join(kept)
                 out.append((rid, len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(),
-                            joined.decode() if with_text else None,
+                            joined.decode() if with_text and len(kept) < len(words) else None,
                             [dict(zip(("src_doc", "src_pos", "len", "digest"), c)) for c in checks] or None))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), CHECK]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
@@ -255,7 +255,7 @@ def _strip(rows: DataFrame, spans: DataFrame, with_text: bool) -> DataFrame:
 def dedup(rows: DataFrame, with_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(result, spans)`` of ``(rid, text)`` rows; both are written tables.
     ``result``: rid, n_words, n_removed, kept_sha256 and, if asked for, the
-    kept text; ``spans``: the verified repeated spans (``PIECES``, positions
+    kept text where words were removed; ``spans``: the verified repeated spans (``PIECES``, positions
     and lengths in windows)."""
     buckets = max(1, -(-total_bytes(rows, "text") // (6 * BUCKET)))
     found = materialize(pieces(rows, buckets), "dedup-pieces")

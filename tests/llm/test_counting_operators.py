@@ -229,6 +229,33 @@ def test_quality_rules_equal_numpy(spark):
     assert d2[:40].min() > quality_rules.CUTOFF > np.quantile(d2[40:], 0.95)
 
 
+def test_each_coordinate_alone_rejects(spark):
+    """One planted document per coordinate among ordinary ones."""
+    rng = np.random.default_rng(5)
+
+    def prose(n, line=15):
+        w = ["".join(chr(97 + c) for c in rng.integers(0, 26, k)) for k in rng.integers(3, 9, n)]
+        return [" ".join(w[i:i + line]) for i in range(0, n, line)]
+
+    ten = [x for x in prose(10, 1)]
+    copied = prose(90, 90)[0]
+    planted = {
+        1000: " ".join(prose(40_000)),                                             # length
+        1001: " ".join(x * 12 for x in prose(300, 1)),                             # word
+        1002: "\n".join(x.replace(" ", " # ") + "#" * 60 for x in prose(300)),      # symbols
+        1003: "\n".join([*prose(200), *ten, *(ten[i] for i in rng.integers(0, 10, 90))]),      # lines
+        1004: " ".join([*prose(400), copied, *prose(400), copied]),                # repeats
+    }
+    rows = [(i, "\n".join(prose(int(rng.integers(150, 400)))), "en", "a") for i in range(300)]
+    rows += [(k, t, "en", "a") for k, t in planted.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}
+    assert not any(got[k]["base_failed"] for k in planted)
+    assert got[1003]["n_dup_lines"] >= 90 and got[1004]["n_dup_lines"] == 0
+    assert [k for k in planted if got[k]["kept"]] == []
+    assert np.mean([got[i]["kept"] for i in range(300)]) > 0.98
+
+
 def test_quality_rules_of_empty_table(empty):
     assert quality_rules.judge(empty).count() == 0 and quality_rules.keep(empty).count() == 0
 

@@ -36,7 +36,10 @@ SYMBOLS = "#*$%&|<>"            # fixed value
 SPACES = " \t\n\x0b\x0c\r"      # fixed value
 
 COORDS = ("x_length", "x_word", "x_symbols", "x_lines", "x_repeats")
-FLOOR = (0.30, 0.15, 0.25, 0.80, 0.80)      # standard deviation added per coordinate
+# standard deviation added per coordinate; the coordinates that have a greatest
+# value must reach far beyond CUTOFF on their own: (log(101) / 0.25)^2 = 341,
+# (log(101) / 0.50)^2 = 85 and (MAX_REPEAT / 2)^2 = 100
+FLOOR = (0.30, 0.15, 0.25, 0.50, 2.00)
 MIN_GROUP = 100
 SUBSET = 0.75
 STEPS = 3
@@ -84,13 +87,15 @@ def base_failed() -> Column:
 
 def vector() -> list[Column]:
     """The transformed statistics; the added constants draw short texts, whose
-    shares vary by chance, towards the middle."""
+    shares vary by chance, towards the middle.  The share of repeated words
+    ends at ``MAX_REPEAT`` percent, so it stays a plain share: a logarithm
+    would bring one repeated line near to the largest share."""
     share = lambda a, b, c: F.log1p(100.0 * F.col(a) / (F.col(b) + c))
     return [F.log1p("n_words").alias(COORDS[0]),
             F.log((F.col("word_chars") + 150.0) / (F.col("n_words") + 30.0)).alias(COORDS[1]),
             share("n_symbols", "word_chars", 100.0).alias(COORDS[2]),
             share("n_dup_lines", "n_lines", 20.0).alias(COORDS[3]),
-            share("n_repeat_words", "n_words", 100.0).alias(COORDS[4])]
+            (100.0 * F.col("n_repeat_words") / (F.col("n_words") + 100.0)).alias(COORDS[4])]
 
 
 def _moments() -> list[Column]:

@@ -27,8 +27,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the first document of every group of near copies."""
-    return ngram_join.distinct(docs)
+    """Keeps the first document of every group of near copies: five-word
+    shingles, a similarity of 80 % or more (``op10`` has its own 4 and 85)."""
+    return ngram_join.distinct(docs, n=5, threshold=80)
 
 
 def drop_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

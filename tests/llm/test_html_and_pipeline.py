@@ -126,6 +126,28 @@ def test_every_stage_equals_brute_force(spark):
     assert crc <= {r["ids_crc32"] for r in pieces}
 
 
+def test_near_copies_of_the_stage_have_five_words_and_80_percent(spark):
+    """Pairs between this limit and that of op10 (four words, 85 %)."""
+    base = [[f"d{k}w{i}" for i in range(200)] for k in range(5)]
+    swapped = [f"other{i}" if i in (40, 80, 120, 160) else w for i, w in enumerate(base[0])]
+    below = [f"other{i}" if i in (30, 60, 90, 120, 150) else w for i, w in enumerate(base[2])]
+    texts = [base[0], swapped, base[1], [*base[1], *(f"more{i}" for i in range(40))], base[2], below,
+             base[3], base[3], base[4]]
+    rows = [(i, " ".join(t), "en", "a", 0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    got = sorted(r["doc_id"] for r in dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, docs, SF).collect())
+    assert got == sorted(d for d, (_, c) in brute_components(rows, n=5, threshold=80).items() if c == d)
+    assert got == [0, 2, 4, 5, 6, 8]
+
+
+def test_near_copies_of_the_stage_equal_brute_force_on_the_table(spark):
+    docs = table(spark, SF, "documents")
+    near = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, docs, SF)
+    rows = [tuple(r) for r in docs.collect()]
+    want = {d for d, (_, c) in brute_components(rows, n=5, threshold=80).items() if c == d}
+    assert {r["doc_id"] for r in near.collect()} == want
+
+
 def test_run_on_an_empty_and_an_odd_table(spark, documents, tmp_path):
     for name, rows in (("odd", documents), ("empty", documents.limit(0))):
         rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")

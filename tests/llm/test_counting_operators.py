@@ -1,3 +1,4 @@
+import json
 import zlib
 from collections import Counter, defaultdict
 
@@ -186,6 +187,49 @@ def test_neighbours_share_terms():
     assert found == [3, 1]
 
 
+def test_neighbours_by_any_shared_term():
+    """A document that shares only the lightest of many terms is found too."""
+    many = np.arange(40, dtype=np.uint32)
+    terms = [many, many[:39], np.array([39, 50], np.uint32), np.array([60], np.uint32)]
+    df = np.full(61, 2)
+    df[39] = 900
+    index = packing.Index(terms, [np.ones(len(t), np.uint32) for t in terms], df, 1000, 20.0)
+    assert index.neighbours(0, np.ones(4, bool)).tolist() == [1, 2]
+
+
+def planted_pairs(n, pairs, seed=11):
+    """``n`` documents of ordinary words; document ``i < pairs`` and document
+    ``n - 1 - i`` share three words that few others have."""
+    with open(packing.default_tokenizer(), encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    single = sorted((w[1:] for w in vocab if w[0] == "\u0120" and w[1:].isascii() and w[1:].isalpha() and len(w) > 6))
+    rng = np.random.default_rng(seed)
+    single = rng.permutation(single)
+    common, rare = single[:300], single[300:]
+    texts = [rng.choice(common, 100).tolist() for _ in range(n)]
+    for i in range(pairs):
+        own = rng.choice(rare, 3, replace=False).tolist()
+        texts[i][50:50] = own
+        texts[n - 1 - i][20:20] = own
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def neighbours_met(spark, n, pairs, shard_rows):
+    """How often the planted neighbour of a seed lands in the seed's window."""
+    docs = spark.createDataFrame(planted_pairs(n, pairs), "doc_id long, text string").repartition(4)
+    at, seeds = defaultdict(set), {}
+    for r in packing.pack(docs, shard_rows=shard_rows).select("doc_id", "sequence_id", "offset").collect():
+        at[r["doc_id"]].add(r["sequence_id"])
+        if r["offset"] == 0 and r["doc_id"] < pairs:
+            seeds[r["doc_id"]] = r["sequence_id"]
+    return np.mean([q in at[n - 1 - i] for i, q in seeds.items()])
+
+
+def test_planted_neighbours_are_met_at_any_size(spark):
+    small, large = neighbours_met(spark, 400, 100, 100), neighbours_met(spark, 3200, 800, 100)
+    assert small > 0.3 and large > 0.3, (small, large)
+
+
 # ----------------------------------------------------------- quality rules
 
 def test_statistics_and_verdicts(documents, odd_docs):

@@ -2,12 +2,14 @@
 
 A document is its token ids and one end id.  Its full windows of ``LENGTH``
 tokens are sequences of their own; what is left, its tail, is packed with
-lexically near tails.  Documents are dealt over shards of about ``SHARD_ROWS``
-rows.  A shard keeps a BM25 inverted index over whole documents (terms: token
-ids; document frequencies and mean length over all documents, a table no
-larger than the vocabulary).  Each unused tail in turn seeds a window: its
-``QUERY_TERMS`` highest weighted terms ask the index for unused neighbours,
-which fill the window in order of score.  The neighbour that does not fit is
+lexically near tails.  Documents are put in order of their rarest terms that
+another document has too (``RARE`` of them, rarest first), and this order is cut
+into shards of about ``SHARD_ROWS`` rows, so documents that share their rarest
+terms meet in one shard.  A shard keeps a BM25 inverted index over whole
+documents (terms: token ids; document frequencies and mean length over all
+documents, a table no larger than the vocabulary).  Each unused tail in turn
+seeds a window: all its terms ask the index for unused neighbours, which fill
+the window in order of score.  The neighbour that does not fit is
 cut where the window ends and its rest stays in the pool.  When no neighbour
 is left, the next unused tails fill up, so only a shard's last window can be
 short.
@@ -35,12 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
+from .words import mix
 
 LENGTH = 1024
 END_ID = 0
 SHARD_ROWS = 4096
-QUERY_TERMS = 16
+RARE = 6                         # rarest terms that place a document
+SAMPLE = 100                     # places per shard that its bounds are taken from, about
 K1, B = 1.2, 0.75
+NONE = 0xFFFFFFFF                # rank of a term that no other document has
 LONG_TEXT, LONG_WORD = 20_000, re.compile(r"\S{4000}")
 # fixed value: the part of the split pattern that tells the last of several
 # white space characters from the others, and what it is about
@@ -171,6 +176,51 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int, float]:
     return df, docs, mean or 1.0
 
 
+def places(row: np.ndarray, terms: list[bytes], rank: np.ndarray) -> np.ndarray:
+    """What documents are ordered by: the ranks of their ``RARE`` rarest terms
+    and a hash of the row, which parts equal texts, as bytes that sort alike."""
+    out = np.full((len(terms), RARE + 2), NONE, dtype=">u4")
+    for i, t in enumerate(terms):
+        r = rank[np.frombuffer(t, np.uint32)]
+        r = np.sort(np.partition(r, RARE)[:RARE] if len(r) > RARE else r)
+        out[i, :len(r)] = r
+    out[:, RARE:] = mix(row.astype(np.uint64)).astype(">u8").view(">u4").reshape(-1, 2)
+    return out.view(f"S{4 * (RARE + 2)}").ravel()
+
+
+def dealt(rows: DataFrame, df: np.ndarray, docs: int, shard_rows: int) -> DataFrame:
+    """``rows`` with ``shard``: the order of ``places`` cut into equal parts.
+    The cuts come from a sample by hash, so shards differ a little in size."""
+    shards = max(1, -(-docs // shard_rows))
+    if shards == 1:
+        return rows.withColumn("shard", F.lit(0).cast("long"))
+    spark = rows.sparkSession
+    order = np.lexsort((mix(np.arange(len(df), dtype=np.uint64)), df))
+    rank = np.empty(len(df), dtype=np.uint32)
+    rank[order] = np.arange(1, len(df) + 1)
+    rank[df < 2] = NONE                                          # no other document has it
+    sent = spark.sparkContext.broadcast(rank)
+
+    def sample(batches):
+        for b in batches:
+            at = places(b["row"].to_numpy(), b["terms"].to_pylist(), sent.value)
+            yield pa.record_batch([pa.array([x.ljust(4 * (RARE + 2), b"\0") for x in at.tolist()], pa.binary())],
+                                  names=["place"])
+
+    part = max(1, docs // (shards * SAMPLE))
+    some = rows.select("row", "terms").filter(F.pmod(F.xxhash64("row"), F.lit(part)) == 0)
+    found = np.sort(np.array([bytes(r[0]) for r in some.mapInArrow(sample, "place binary").collect()],
+                             dtype=f"S{4 * (RARE + 2)}"))
+    bounds = spark.sparkContext.broadcast(found[np.arange(1, shards) * len(found) // shards])
+
+    @F.arrow_udf("long")
+    def shard(row: pa.Array, terms: pa.Array) -> pa.Array:
+        at = places(row.to_numpy(zero_copy_only=False), terms.to_pylist(), sent.value)
+        return pa.array(np.searchsorted(bounds.value, at, side="right").astype(np.int64))
+
+    return rows.withColumn("shard", shard("row", "terms"))
+
+
 class Index:
     """BM25 inverted index of one shard: postings sorted by term."""
 
@@ -188,14 +238,11 @@ class Index:
         self.rows, self.query = len(terms), []
         ends = np.cumsum(n)
         shared = np.diff(self.first)[term] > 1 if len(term) else np.zeros(0, bool)
-        weight = np.where(shared, weight, np.float32(-1))
         for a, b in zip(ends - n, ends):
-            top = np.argpartition(-weight[a:b], QUERY_TERMS)[:QUERY_TERMS] if b - a > QUERY_TERMS else np.arange(b - a)
-            top = top[weight[a:b][top] > 0]
-            self.query.append(term[a:b][top])
+            self.query.append(term[a:b][shared[a:b]])
 
     def neighbours(self, doc: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query term, best score first."""
+        """Unused documents that share a term, best score first."""
         spans = [(self.first[t], self.first[t + 1]) for t in self.query[doc]]
         if not spans:
             return np.zeros(0, np.int64)
@@ -277,11 +324,9 @@ def pack(documents: DataFrame, tokenizer: str | None = None, length: int = LENGT
     little-endian unsigned 32-bit integers."""
     rows = tokenized(documents, tokenizer or default_tokenizer(), length, with_ids)
     df, docs, mean = document_frequencies(rows)
-    shards = max(1, -(-docs // shard_rows))
     sent = documents.sparkSession.sparkContext.broadcast((df, docs, mean))
 
     def run(key, table):
         return pack_shard(key[0].as_py(), table, *sent.value, length, with_ids)
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("long"))
-    return dealt.groupBy("shard").applyInArrow(run, PIECES)
+    return dealt(rows, df, docs, shard_rows).groupBy("shard").applyInArrow(run, PIECES)

@@ -83,5 +83,13 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON m.a = d.doc_id
 """
 
+OP13 = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
+                  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents),
+f AS (SELECT *, first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id) AS keep_id,
+             count(*) OVER (PARTITION BY t) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM f
+"""
+
 ORACLE = {"op1_substring_dedup": OP1, "op4_source_mix": OP4, "op8_warc_archive": OP8, "op9_topk_search": OP9,
-          "op10_ngram_jaccard": OP10}
+          "op10_ngram_jaccard": OP10, "op13_exact_dedup": OP13}

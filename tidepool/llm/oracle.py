@@ -83,6 +83,35 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON m.a = d.doc_id
 """
 
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT i, lang, source, unnest(w) AS t FROM d),
+kept AS (SELECT lang, t FROM o GROUP BY lang, t HAVING count(DISTINCT i) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT o.lang, o.source, o.t, count(*) AS c FROM o JOIN kept USING (lang, t) GROUP BY ALL),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source),
+cell AS (SELECT g.lang, g.source, k.t, coalesce(c.c, 0) AS c, coalesce(n.n, 0) AS n, v.v
+         FROM g JOIN kept k ON g.lang = k.lang JOIN v ON v.lang = g.lang
+         LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t LEFT JOIN n ON n.lang = g.lang AND n.source = g.source),
+p AS (SELECT *, 1 + (1000000000::HUGEINT * (c + 5)) // (n + 5 * v) AS p FROM cell),
+q AS (SELECT lang, t, 1 + (1000000000::HUGEINT * (sum(c) + 5)) // (any_value(m) + 5 * any_value(v)) AS q
+      FROM (SELECT *, sum(c) OVER (PARTITION BY lang) AS m FROM cell) GROUP BY lang, t),
+pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+         LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.t = x.t GROUP BY ALL),
+term AS (SELECT p.lang, p.source, p.t AS item, (p.p - q.q)::BIGINT AS value
+         FROM p JOIN q ON q.lang = p.lang AND q.t = p.t WHERE p.c > 0 AND p.p > q.q),
+part AS (SELECT lang, source, 'pair' AS part, item, value FROM pair
+         UNION ALL SELECT lang, source, 'term', item, value FROM term)
+SELECT lang, source, part, item, value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM part QUALIFY part = 'pair' OR rank <= 50
+"""
+
 OP13 = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents),
@@ -92,4 +121,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 ORACLE = {"op1_substring_dedup": OP1, "op4_source_mix": OP4, "op8_warc_archive": OP8, "op9_topk_search": OP9,
-          "op10_ngram_jaccard": OP10, "op13_exact_dedup": OP13}
+          "op10_ngram_jaccard": OP10, "op12_source_audit": OP12, "op13_exact_dedup": OP13}

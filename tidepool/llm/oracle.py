@@ -83,6 +83,30 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON m.a = d.doc_id
 """
 
+OP11 = r"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\x0A-\x0D]')) AS s FROM documents),
+w AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM piece),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+spot AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS p FROM w),
+g AS (SELECT lang, w[p:p + k - 1] AS g, k FROM spot, range(1, 6) r(k) WHERE p + k - 1 <= len(w)),
+f AS (SELECT lang, g, any_value(k) AS k, count(*) AS f FROM g GROUP BY lang, g HAVING count(*) >= 100),
+c AS (SELECT * FROM f WHERE k >= 2),
+cut AS (SELECT c.lang, c.g, c.f AS a, l.f AS l, r.f AS r, n.n, j,
+               (1000::HUGEINT * c.f * n.n) // (l.f::HUGEINT * r.f) AS score
+        FROM c JOIN range(1, 5) t(j) ON j < c.k JOIN n ON n.lang = c.lang
+        JOIN f l ON l.lang = c.lang AND l.g = c.g[1:j] JOIN f r ON r.lang = c.lang AND r.g = c.g[j + 1:c.k]),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+inside AS (SELECT c.lang, c.g[s:s + m - 1] AS g, max(c.f) AS longer
+           FROM c JOIN range(2, 5) a(m) ON m < c.k JOIN range(1, 5) b(s) ON s + m - 1 <= c.k GROUP BY ALL),
+alone AS (SELECT best.*, array_to_string(best.g, ' ') AS phrase FROM best LEFT JOIN inside i ON i.lang = best.lang AND i.g = best.g
+          WHERE i.longer IS NULL OR 100 * i.longer < 100 * best.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       score::BIGINT AS score
+FROM alone QUALIFY rank <= 2000
+"""
+
 OP12 = r"""
 WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -121,4 +145,5 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 ORACLE = {"op1_substring_dedup": OP1, "op4_source_mix": OP4, "op8_warc_archive": OP8, "op9_topk_search": OP9,
-          "op10_ngram_jaccard": OP10, "op12_source_audit": OP12, "op13_exact_dedup": OP13}
+          "op10_ngram_jaccard": OP10, "op11_collocations": OP11,
+          "op12_source_audit": OP12, "op13_exact_dedup": OP13}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (divergence, exact_dedup, html_wrappers, kdtree, mixing, ngram_join, packing, quality_rules, sharding, substring_dedup,
+from . import (collocations, divergence, exact_dedup, html_wrappers, kdtree, mixing, ngram_join, packing, quality_rules, sharding, substring_dedup,
                subword_classifier, warc)
 from .common import table
 
@@ -55,6 +55,10 @@ def op10_ngram_jaccard(spark, sf):
     return ngram_join.join(table(spark, sf, "documents"))
 
 
+def op11_collocations(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 def op12_source_audit(spark, sf):
     return divergence.audit(table(spark, sf, "documents"))
 
@@ -65,4 +69,4 @@ def op13_exact_dedup(spark, sf):
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_classifier, op3_sharding, op4_source_mix, op5_packing, op6_html_extract,
                                    op7_quality_rules, op8_warc_archive, op9_topk_search, op10_ngram_jaccard,
-                                   op12_source_audit, op13_exact_dedup)}
+                                   op11_collocations, op12_source_audit, op13_exact_dedup)}

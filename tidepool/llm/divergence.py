@@ -99,19 +99,19 @@ def _loads(lexicon: DataFrame, limit: int) -> list[list]:
     return [spark.createDataFrame(lot, "lang string, shard int") for lot in lots]
 
 
-def recount(documents: DataFrame, lexicon: DataFrame, limit: int = LEXICON_BYTES) -> DataFrame:
+def recount(documents: DataFrame, lexicon: DataFrame, limit: int = LEXICON_BYTES, held: int = DENSE_SLOTS) -> DataFrame:
     """``lang, source, slot, count`` of all kept terms that occur."""
     spark = documents.sparkSession
     out = None
     for lot in _loads(lexicon, limit):
         rows = lexicon if lot is None else lexicon.join(F.broadcast(lot), ["lang", "shard"])
         shared = spark.sparkContext.broadcast(perfect_hash.load(rows.collect()))
-        part = documents.mapInArrow(_counter(shared), "lang string, source string, slot int, count long")
+        part = documents.mapInArrow(_counter(shared, held), "lang string, source string, slot int, count long")
         out = part if out is None else out.unionByName(part)
     return out.groupBy("lang", "source", "slot").agg(F.sum("count").alias("count"))
 
 
-def _counter(shared):
+def _counter(shared, limit: int):
     def run(batches):
         lexicons = shared.value
         dense: dict[tuple, np.ndarray] = {}
@@ -145,7 +145,7 @@ def _counter(shared):
                     for i, j in zip(cut, np.append(cut[1:], len(key))):
                         name = (lang, names[group[i]])
                         if name not in dense:
-                            if held + width > DENSE_SLOTS:
+                            if held + width > limit:
                                 yield from flush()
                                 held = 0
                             dense[name] = np.zeros(width, dtype=np.int64)
@@ -184,21 +184,21 @@ def _terms(lexicon: DataFrame) -> DataFrame:
     return lexicon.select("lang", "base", "keys", "lengths").mapInArrow(run, "lang string, slot int, term string")
 
 
-def _distances(groups: DataFrame, shares: DataFrame) -> DataFrame:
+def _distances(groups: DataFrame, shares: DataFrame, size: int = TILE, span: int = BLOCK_SLOTS) -> DataFrame:
     """``lang, source, item, value`` of all ordered pairs of sources of a lang:
     the sum over slots of the absolute difference of shares.
 
     ``groups``: lang, source, place (0, 1, ... in its lang), sources, terms,
     zero (the share of a term that does not occur); ``shares``: lang, place,
     slot, p of those that occur."""
-    tiles = F.call_function("div", F.col("sources") - 1, F.lit(TILE)).cast("int")
-    tile = F.call_function("div", F.col("place"), F.lit(TILE)).cast("int")
+    tiles = F.call_function("div", F.col("sources") - 1, F.lit(size)).cast("int")
+    tile = F.call_function("div", F.col("place"), F.lit(size)).cast("int")
     each = groups.select("lang", "place", "zero", "terms", tiles.alias("tiles"), tile.alias("tile"))
-    blocks = F.greatest(F.lit(0), F.call_function("div", F.col("terms") - 1, F.lit(BLOCK_SLOTS))).cast("int")
+    blocks = F.greatest(F.lit(0), F.call_function("div", F.col("terms") - 1, F.lit(span))).cast("int")
     marks = each.withColumn("block", F.explode(F.sequence(F.lit(0), blocks))) \
         .withColumn("slot", F.lit(-1)).withColumn("p", F.col("zero"))
     cells = small_join(shares, each, ["lang", "place"]) \
-        .withColumn("block", F.call_function("div", F.col("slot"), F.lit(BLOCK_SLOTS)).cast("int"))
+        .withColumn("block", F.call_function("div", F.col("slot"), F.lit(span)).cast("int"))
     cols = ["lang", "place", "tile", "tiles", "terms", "block", "slot", "p"]
     rows = marks.select(cols).unionByName(cells.select(cols))
     partner = F.explode(F.sequence(F.lit(0), F.col("tiles"))).alias("other")
@@ -209,15 +209,15 @@ def _distances(groups: DataFrame, shares: DataFrame) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         col = {c: np.asarray(table[c].combine_chunks()) for c in ("low", "high", "block", "place", "terms", "slot", "p")}
         low, high, block = int(col["low"][0]), int(col["high"][0]), int(col["block"][0])
-        width = int(min(BLOCK_SLOTS, max(0, col["terms"][0] - block * BLOCK_SLOTS)))
+        width = int(min(span, max(0, col["terms"][0] - block * span)))
         place, line = np.unique(col["place"], return_inverse=True)
         mark = col["slot"] < 0
         zero = np.zeros(len(place), dtype=np.int64)
         zero[line[mark]] = col["p"][mark]
         matrix = np.repeat(zero[:, None], width, axis=1)
-        matrix[line[~mark], col["slot"][~mark] - block * BLOCK_SLOTS] = col["p"][~mark]
-        first = np.flatnonzero(place // TILE == low)
-        second = np.flatnonzero(place // TILE == high)
+        matrix[line[~mark], col["slot"][~mark] - block * span] = col["p"][~mark]
+        first = np.flatnonzero(place // size == low)
+        second = np.flatnonzero(place // size == high)
         a, b, value = [], [], []
         for i in first:
             js = second[second > i]

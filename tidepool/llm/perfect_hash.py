@@ -112,6 +112,16 @@ def _hash_column(column: pa.Array) -> list[Words]:
     return [Words(data, offsets) for _, _, data, offsets in text_blocks(column)]
 
 
+def shard_row(lang: str, shard: int, shards: int, column: pa.Array) -> dict:
+    """The line of one shard's distinct words."""
+    sizes, bits, order = build_tables(np.concatenate([p.hash for p in _hash_column(column)]))
+    column = column.take(pa.array(order)).cast(pa.large_string())
+    lengths = np.diff(np.frombuffer(column.buffers()[1], np.int64)[:len(column) + 1])
+    keys = column.buffers()[2].to_pybytes()[:int(lengths.sum())]
+    return {"lang": lang, "shard": shard, "shards": shards, "n": len(column), "sizes": sizes, "bits": bits.tobytes(),
+            "keys": keys, "lengths": lengths.astype(np.int32).tobytes()}
+
+
 def build(words: DataFrame, name: str) -> DataFrame:
     """A table with a line per shard of the distinct ``(lang, word)`` of
     ``words``; words are not empty and hold no white space.  Every lang has
@@ -126,16 +136,9 @@ def build(words: DataFrame, name: str) -> DataFrame:
                                   names=["lang", "word", "shard"])
 
     def tables(key, group):
-        parts = _hash_column(group["word"].combine_chunks())
-        hashes = np.concatenate([p.hash for p in parts])
-        sizes, bits, order = build_tables(hashes)
-        column = group["word"].combine_chunks().take(pa.array(order)).cast(pa.large_string())
-        keys = column.buffers()[2].to_pybytes()
-        lengths = np.diff(np.frombuffer(column.buffers()[1], np.int64)[:len(column) + 1])
-        row = [key[0].as_py(), key[1].as_py(), shards, len(hashes), sizes, bits.tobytes(), keys[:int(lengths.sum())],
-               lengths.astype(np.int32).tobytes()]
+        row = shard_row(key[0].as_py(), key[1].as_py(), shards, group["word"].combine_chunks())
         kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32())] + [pa.binary()] * 3
-        return pa.table([pa.array([v], k) for v, k in zip(row, kinds)], names=[c.split()[0] for c in BUILT.split(", ")])
+        return pa.table([pa.array([v], k) for v, k in zip(row.values(), kinds)], names=list(row))
 
     built = materialize(words.select("lang", "word").mapInArrow(place, "lang string, word string, shard int")
                         .groupBy("lang", "shard").applyInArrow(tables, BUILT), f"{name}-tables")

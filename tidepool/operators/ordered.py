@@ -11,10 +11,9 @@ Here the keys above ``chunk_rows`` records, and only these, are cut into
 *chunks* along the order:
 
 1. ``boundaries`` counts the rows per key (one aggregate, combined on the map
-   side).  For the keys above the limit it keeps a table with ``QUANTILES``
-   quantiles of the first order column and the number of equal steps that each
-   range between two quantiles is cut into, so a chunk stays about
-   ``chunk_rows`` rows whatever the key's size.
+   side).  A key above the limit is cut into as many chunks as its rows ask
+   for, between quantiles of the first order column; beyond ``QUANTILES`` chunks
+   each range between two quantiles is cut into equal steps.
 2. ``_chunk`` is a function of the row and its key's line in that table.  The
    other keys have one chunk each; their plain window is the answer.
 3. Each (key, chunk) is scanned locally with a window function.
@@ -104,7 +103,9 @@ class Bounds:
             j = df.withColumn("_bounds", F.array(*[F.lit(float(x)) for x in line["_bounds"]]).cast("array<double>")) \
                   .withColumn("_steps", F.lit(line["_steps"]))
         o = _number(df, self.order[0])
-        at = F.size(F.filter("_bounds", lambda b: b <= o))
+        # number of bounds up to o, by halving
+        halves = F.array(*[F.lit(1 << i) for i in reversed(range(QUANTILES.bit_length()))])
+        at = F.aggregate(halves, F.lit(0), lambda a, h: F.when(F.get("_bounds", a + h - 1) <= o, a + h).otherwise(a))
         lo, hi = F.get("_bounds", at - 1), F.get("_bounds", at)
         step = F.when(hi > lo, F.least(F.floor((o - lo) / (hi - lo) * F.col("_steps")), F.col("_steps") - 1))
         split = at * F.col("_steps") + F.coalesce(step, F.lit(0))
@@ -140,11 +141,17 @@ def boundaries(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
             cond = cond & sub[k].eqNullSafe(renamed[f"_hk{i}"])
         sub = sub.join(renamed, cond, "left_semi")
     at = F.array(*[F.lit(i / QUANTILES) for i in range(QUANTILES + 1)])
-    steps = F.ceil(F.count(F.lit(1)) / F.lit(float(rows) * QUANTILES)).cast("long")
-    hot = sub.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_o", at, F.lit(10000))).alias("_bounds"),
-                                 steps.alias("_steps"))
-    hot = materialize(hot.withColumn("_bounds", F.coalesce("_bounds", F.array().cast("array<double>"))), "hot-bounds")
-    chunks = hot.agg(F.sum(F.col("_steps") * (QUANTILES + 2))).first()[0]
+    hot = sub.groupBy(*keys).agg(F.percentile_approx("_o", at, F.lit(10000)).alias("_all"),
+                                 F.ceil(F.count(F.lit(1)) / F.lit(float(rows))).cast("long").alias("_parts"))
+    # fewer chunks than quantiles: every so many of them, without the two ends
+    some = F.transform(F.sequence(F.lit(1), F.greatest(F.least(F.col("_parts"), F.lit(QUANTILES + 1)) - 1, F.lit(1))),
+                       lambda i: F.get("_all", F.round(i * F.lit(QUANTILES) / F.col("_parts")).cast("int")))
+    few = F.col("_parts") <= QUANTILES
+    hot = hot.select(*keys, F.array_distinct(F.coalesce(F.when(few, some).otherwise(F.col("_all")),
+                                                        F.array().cast("array<double>"))).alias("_bounds"),
+                     F.when(few, F.lit(1)).otherwise(F.ceil(F.col("_parts") / F.lit(QUANTILES))).cast("long").alias("_steps"))
+    hot = materialize(hot, "hot-bounds")
+    chunks = hot.agg(F.sum(F.col("_steps") * (F.size("_bounds") + 1))).first()[0]
     return Bounds(keys, order, hot, number, chunks, longest)
 
 

@@ -199,6 +199,34 @@ SELECT event_type, time_bucket(INTERVAL 30 MINUTE, ts) - i * INTERVAL '30 minute
        count(*) AS count, CAST(sum(cents) AS BIGINT) AS cents
 FROM ev, range(4) t(i) GROUP BY 1, 2, 3""",
 
+    "sliding_distinct": """
+SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) - i * INTERVAL '5 minutes' AS window_start,
+       time_bucket(INTERVAL 5 MINUTE, ts) - i * INTERVAL '5 minutes' + INTERVAL 1 HOUR AS window_end,
+       count(DISTINCT user_id) AS uv, count(*) AS count
+FROM events, range(12) t(i) GROUP BY 1, 2, 3""",
+
+    "sliding_extrema": f"""
+WITH {EV},
+w AS (SELECT event_type, time_bucket(INTERVAL 5 SECOND, ts) - i * INTERVAL '5 seconds' AS ws,
+             max(cents) AS high, min(cents) AS low, sum(cents) AS cents
+      FROM ev, range(120) t(i) GROUP BY 1, 2)
+SELECT event_type, date_trunc('hour', ws) AS hour, count(*) AS windows, CAST(sum(high) AS BIGINT) AS high,
+       CAST(sum(low) AS BIGINT) AS low, CAST(sum(cents) AS BIGINT) AS cents
+FROM w GROUP BY 1, 2""",
+
+    "rolling_fold": f"""
+WITH {EV},
+s AS (SELECT user_id, event_id, ts, sum(CASE event_type WHEN 'purchase' THEN cents WHEN 'error' THEN -cents ELSE 0 END)
+             OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM ev)
+SELECT user_id, event_id, CAST(s - least(0, min(s) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
+       AS BIGINT) AS balance FROM s""",
+
+    "window_reduce": f"""
+WITH {EV}
+SELECT user_id, time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+       string_agg(event_type[1], '' ORDER BY ts, event_id) AS kinds, last(cents ORDER BY ts, event_id) AS cents, count(*) AS count
+FROM ev GROUP BY 1, 2""",
+
     "session": f"""
 WITH {EV},
 g AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM ev),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (alerts, eventtime, joins, patterns, rolling, transforms, windows)
-from ..functions import aggregator
+from ..functions import aggregator, fold
 from ..sources import files
 from ..sources.tables import table
 from ..streaming import harness
@@ -264,6 +264,21 @@ def q_sliding(spark, sf):
                            {"count": ("count", F.lit(1)), "cents": ("sum", "cents")})
 
 
+def q_sliding_distinct(spark, sf):
+    return windows.sliding(events(spark, sf), "ts", "1 hour", "5 minutes", ["event_type"],
+                           {"uv": ("count_distinct", "user_id"), "count": ("count", F.lit(1))})
+
+
+def q_sliding_extrema(spark, sf):
+    """Largest, smallest and summed cents of every 10 min / 5 s window of each
+    kind, as totals per kind and hour in which the windows begin."""
+    w = windows.sliding(events(spark, sf), "ts", "10 minutes", "5 seconds", ["event_type"],
+                        {"high": ("max", "cents"), "low": ("min", "cents"), "cents": ("sum", "cents")})
+    return w.groupBy("event_type", F.date_trunc("hour", "window_start").alias("hour")).agg(
+        F.count(F.lit(1)).alias("windows"), F.sum("high").alias("high"), F.sum("low").alias("low"),
+        F.sum("cents").alias("cents"))
+
+
 def q_session(spark, sf):
     return windows.session(events(spark, sf), "ts", "6 hours", ["user_id"], "event_id",
                            {"count": ("count", F.lit(1)), "cents": ("sum", "cents")})
@@ -479,6 +494,45 @@ def q_order_timeout(spark, sf):
     return _order_pay(spark, sf, True).select("user_id", "view_event_id")
 
 
+# --------------------------------------------------------------------------- user folds
+
+class Balance(fold.Fold):
+    """A balance that never falls below zero: every record maps a balance x to
+    max(x + total, floor); maps follow one another."""
+
+    state_schema, columns = "total bigint, floor bigint", ["amount"]
+
+    def lift(self, row):
+        return row[0], 0
+
+    def combine(self, earlier, later):
+        return earlier[0] + later[0], max(earlier[1] + later[0], later[1])
+
+
+class LastWriter(fold.Fold):
+    """Kinds in order, the newest value and the number of records."""
+
+    state_schema, columns = "kinds string, cents bigint, count bigint", ["event_type", "cents"]
+
+    def lift(self, row):
+        return row[0][:1], row[1], 1
+
+    def combine(self, earlier, later):
+        return earlier[0] + later[0], later[1], earlier[2] + later[2]
+
+
+def q_rolling_fold(spark, sf):
+    """Purchases add to a user's balance, errors take away; never below zero."""
+    amount = F.when(F.col("event_type") == "purchase", F.col("cents")).when(F.col("event_type") == "error", -F.col("cents"))
+    e = events(spark, sf).select("user_id", "ts", "event_id", F.coalesce(amount, F.lit(0)).cast("bigint").alias("amount"))
+    r = fold.rolling_fold(e, ["user_id"], EV_ORDER, Balance())
+    return r.select("user_id", "event_id", F.greatest("total", "floor").alias("balance"))
+
+
+def q_window_reduce(spark, sf):
+    return fold.window_reduce(events(spark, sf), "ts", "1 day", ["user_id"], EV_ORDER, LastWriter())
+
+
 # --------------------------------------------------------------------------- streaming twins
 # The table is replayed as a stream (tidepool.streaming.harness): files in
 # event order, one micro-batch each, then a far-future sentinel record that

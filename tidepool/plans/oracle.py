@@ -487,6 +487,39 @@ FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 })
 
 # streaming twins compute the batch twin's result
+# micro-batches of five days of arrivals; "before" is what a batch knows of the
+# stream's newest event, "cut" the watermark that its late records meet
+_LATE = f"""{EV},
+arr AS (SELECT event_id, ts, event_type, cents, time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+               CAST(floor((epoch(ts) + CASE WHEN (event_id * 7919) % 17 = 0 THEN (event_id * 37) % 15 ELSE 0 END * 86400)
+                          / 432000) AS BIGINT) AS b FROM ev),
+mx AS (SELECT b, max(ts) AS mx FROM arr GROUP BY b),
+mark AS (SELECT b, max(mx) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
+                max(mx) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - INTERVAL 6 DAY AS cut FROM mx)"""
+
+ORACLE["stream_allowed_lateness"] = f"""
+WITH {_LATE},
+hit AS (SELECT event_type, window_start, b, before, sum(n) OVER w AS count, sum(cents) OVER w AS cents
+        FROM (SELECT event_type, window_start, b, any_value(before) AS before, count(*) AS n, sum(cents) AS cents
+              FROM arr JOIN mark USING (b) WHERE cut IS NULL OR window_start + INTERVAL 1 DAY > cut GROUP BY 1, 2, 3)
+        WINDOW w AS (PARTITION BY event_type, window_start ORDER BY b ROWS UNBOUNDED PRECEDING)),
+st AS (SELECT *, before IS NULL OR before - INTERVAL 1 DAY < window_start + INTERVAL 1 DAY AS open FROM hit),
+num AS (SELECT *, row_number() OVER (PARTITION BY event_type, window_start, open ORDER BY b DESC) AS back,
+               row_number() OVER (PARTITION BY event_type, window_start, open ORDER BY b) AS nth FROM st)
+SELECT event_type, window_start, window_start + INTERVAL 1 DAY AS window_end,
+       CASE WHEN open THEN 0 ELSE nth END AS revision, CAST(count AS BIGINT) AS count, CAST(cents AS BIGINT) AS cents
+FROM num WHERE NOT open OR back = 1"""
+
+ORACLE["stream_late_split"] = f"""
+WITH {_LATE}
+SELECT event_id FROM arr JOIN mark USING (b) WHERE window_start + INTERVAL 7 DAY <= before"""
+
+ORACLE["stream_keyed_state"] = """
+SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS times_seen,
+       row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS records FROM events"""
+
+ORACLE["stream_processing_time"] = "SELECT event_type, count(*) AS count FROM events GROUP BY event_type"
+
 for _s, _b in {"stream_tumbling": "tumbling", "stream_session": "session",
                "stream_unique_visitors_hourly": "unique_visitors_hourly",
                "stream_hot_items": "hot_items", "stream_word_count": "word_count",
@@ -494,5 +527,8 @@ for _s, _b in {"stream_tumbling": "tumbling", "stream_session": "session",
                "stream_interval_join": "interval_join", "stream_previous_value": "previous_value",
                "stream_order_pay": "order_pay", "stream_order_timeout": "order_timeout",
                "stream_one_shot_timer": "one_shot_timer", "stream_hot_pages": "hot_pages",
+               "stream_pattern_times": "pattern_times",
+               "stream_pattern_followed_by_any": "pattern_followed_by_any", "stream_timer_each": "timer_each",
+               "stream_unique_visitors": "unique_visitors_rolling",
                "stream_login_fail_alert": "login_fail_alert", "stream_count_window": "count_window"}.items():
     ORACLE[_s] = ORACLE[_b]

@@ -23,7 +23,7 @@ from ..operators import (alerts, eventtime, joins, patterns, rolling, transforms
 from ..functions import aggregator, fold
 from ..sources import files
 from ..sources.tables import table
-from ..streaming import harness
+from ..streaming import harness, processors
 from ..streaming import ops as stream_ops
 from ..streaming import rules as stream_rules
 from . import analyses
@@ -741,4 +741,127 @@ def q_stream_one_shot_timer(spark, sf):
     return r.where(F.col("user_id") >= 0).select("user_id", fire.alias("fire_time"))
 
 
+LATE_BATCH_S = 5 * 86400          # a micro-batch holds five days of arrivals
+
+
+def late_arrivals(spark, sf) -> DataFrame:
+    """Events of which some arrive up to 14 days late, with the micro-batch
+    that their day of arrival puts them in."""
+    e = _ev_stream_input(spark, sf)
+    late = F.when((F.col("event_id") * 7919) % 17 == 0, (F.col("event_id") * 37) % 15).otherwise(0)
+    return e.withColumn("batch", F.call_function("div", F.unix_seconds("ts_e") + late * 86400, F.lit(LATE_BATCH_S)).cast("int")) \
+        .select("event_id", "ts", "ts_e", "event_type", "cents", "batch")
+
+
+def q_stream_allowed_lateness(spark, sf):
+    """Daily windows per kind with a day of disorder and five days of allowed
+    lateness: the result in time (revision 0) and every one after a late record."""
+    def t(s):
+        return stream_ops.windows_with_lateness(
+            harness.drop_sentinel(s), "ts_e", "1 day", ["event_type"],
+            {"count": F.count(F.lit(1)), "cents": F.sum("cents")}, "1 day", "5 days")
+    log = harness.run(late_arrivals(spark, sf), EV_ORDER, t, batch="batch", mode="log", tag="lateness")
+    r = stream_ops.revisions(log, ["event_type"], ["count", "cents"], "1 day")
+    return r.select("event_type", _ntz("window_start"), _ntz("window_end"), F.col("revision").cast("bigint").alias("revision"),
+                    "count", "cents")
+
+
+def q_stream_unique_visitors(spark, sf):
+    """Unique visitors after every page view of an unbounded stream: the first
+    view of each user from a map state per bucket of users, then a running
+    total over the micro-batches."""
+    v = _ev_stream_input(spark, sf).where(F.col("event_type") == "view").select("event_id", "ts", "ts_e", "user_id")
+
+    def t(s):
+        return processors.first_seen(harness.drop_sentinel(s), "ts_e", "event_id", "user_id", 16)
+    with processors.rocksdb(spark):
+        r = harness.run(v, EV_ORDER, t, tag="visitors", writer=stream_ops.running_total(["us", "seq"], "first", "uv"))
+    return r.select(F.col("seq").alias("event_id"), "uv")
+
+
+def _with_disorder(spark, sf):
+    """The stream in order of arrival, up to an hour after the event."""
+    e = events_arrival(spark, sf).withColumn("ts_e", F.col("ts").cast("timestamp"))
+    far = {c: v for c, v in {**_sentinel_row(), "arrival": _sentinel_row()["ts"]}.items() if c in e.columns}
+    return e, far
+
+
+def q_stream_pattern_times(spark, sf):
+    e, far = _with_disorder(spark, sf)
+
+    def t(s):
+        s = harness.drop_sentinel(s.withWatermark("ts_e", "2 hours")).withColumn("hit", F.col("event_type") == "error")
+        rule = processors.TimesProcessor("ts_e", "event_id", "hit", "hit", 1, 3, "12 hours")
+        return processors.stateful_rule(s.select("user_id", "ts_e", "event_id", "hit"), ["user_id"], rule, processors.TIMES_SCHEMA)
+    with processors.rocksdb(spark):
+        r = harness.run(e, ARRIVAL, t, sentinel=far, tag="times")
+    return r.select(F.col("key").alias("user_id"), F.col("first_id").alias("first_event_id"),
+                    F.col("k").cast("bigint").alias("k"), F.element_at("ids", -1).alias("last_event_id"))
+
+
+def q_stream_pattern_followed_by_any(spark, sf):
+    e, far = _with_disorder(spark, sf)
+
+    def t(s):
+        s = harness.drop_sentinel(s.withWatermark("ts_e", "2 hours"))
+        return stream_ops.followed_by_any(s, "user_id", "ts_e", "event_id", F.col("event_type") == "click",
+                                          F.col("event_type") == "purchase", "6 hours")
+    r = harness.run(e, ARRIVAL, t, sentinel=far, tag="any")
+    return r.select("user_id", F.col("first_id").alias("first_event_id"), F.col("second_id").alias("second_event_id"))
+
+
+def q_stream_processing_time(spark, sf):
+    """Two-second windows of the arrival clock per kind of event.  Which window
+    a record meets depends on the clock; that all windows of a kind together
+    hold each of its records once does not."""
+    import os
+    e = events(spark, sf).select("event_id", "ts", "event_type")
+    root = harness._run_dir(spark, "arrival")
+    src, out, ckpt = (os.path.join(root, x) for x in ("source", "sink", "checkpoint"))
+    harness.stage(e, EV_ORDER, harness._files(e), src)
+    with processors.rocksdb(spark):
+        s = harness.drop_sentinel(harness.read(spark, src, spark.read.parquet(src).schema))
+        w = processors.arrival_windows(s, "event_type", "2 seconds")
+        q = (w.writeStream.outputMode("append").format("parquet").option("checkpointLocation", ckpt)
+             .trigger(processingTime="1 second").start(out))
+        processors.run_until_idle(q, e.count(), 2.0)
+    harness._clean(spark, out, src, ckpt)
+    return spark.read.schema(w.schema).parquet(out).groupBy(F.col("key").alias("event_type")).agg(F.sum("count").alias("count"))
+
+
+def q_stream_timer_each(spark, sf):
+    def t(s):
+        s = harness.drop_sentinel(s.withWatermark("ts_e", "0 seconds"))
+        return processors.stateful_rule(s.select("user_id", "ts_e"), ["user_id"], processors.TimerEachProcessor("ts_e", "5 seconds"),
+                                        processors.TIMER_SCHEMA)
+    with processors.rocksdb(spark):
+        r = harness.run(_ev_stream_input(spark, sf), EV_ORDER, t, sentinel=_sentinel_row(), tag="each")
+    return r.where("key <> '-1'").select(F.col("key").cast("bigint").alias("user_id"), _ntz("fire_time"))
+
+
+def q_stream_keyed_state(spark, sf):
+    """Value, list and map state per user: how often the record's kind was seen
+    and how many records the user has."""
+    e = events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+
+    def t(s):
+        return processors.stateful_rule(s.select("user_id", "event_id", "event_type"), ["user_id"],
+                                        processors.SeenItemsProcessor("event_id", "event_type"), processors.SEEN_SCHEMA,
+                                        time_mode="None")
+    with processors.rocksdb(spark):
+        r = harness.run(e, EV_ORDER, t, tag="seen")
+    return r.select(F.col("key").cast("bigint").alias("user_id"), F.col("seq").alias("event_id"), "times_seen", "records")
+
+
+def q_stream_late_split(spark, sf):
+    """Records whose daily window is over, one day of disorder and five of
+    lateness allowed, go to a side output."""
+    e = late_arrivals(spark, sf).withColumn("w", F.window("ts_e", "1 day"))
+    late = harness._run_dir(spark, "late")
+    harness.run(e, EV_ORDER, harness.drop_sentinel, batch="batch", tag="split",
+                writer=lambda out: stream_ops.late_split(out, late, "ts_e", "w", "5 days", "1 day"))
+    harness._clean(spark, late)
+    return spark.read.parquet(late).select("event_id")
+
+
 QUERIES = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

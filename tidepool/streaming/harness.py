@@ -23,9 +23,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import (chunk_rows, data_files, delete, delete_on_exit, ensure_checkpoint_dir, set_times)
+from ..session import (chunk_rows, data_files, delete, delete_on_exit, ensure_checkpoint_dir, folders, set_times)
 
 SENTINEL = "_sentinel"
+REPLAY = "_replay"
 START_MS = 1_000_000_000_000       # modification time of the first file
 
 
@@ -61,6 +62,17 @@ def stage(df: DataFrame, order: Sequence[str], n_files: int, path: str,
             done += new
 
 
+def stage_batches(df: DataFrame, batch: str, order: Sequence[str], path: str) -> None:
+    """Write ``df`` as one file per value of its whole-number column ``batch``,
+    to be taken in that order: the table itself says which records a
+    micro-batch holds."""
+    spark = df.sparkSession
+    rows = df.withColumn(SENTINEL, F.lit(False)).withColumn(REPLAY, F.col(batch))
+    rows.repartition(REPLAY).sortWithinPartitions(REPLAY, *order).write.partitionBy(REPLAY).parquet(path)
+    found = sorted(folders(spark, path), key=lambda f: int(f.rpartition("=")[2]))
+    set_times(spark, [f for folder in found for f in data_files(spark, folder)], START_MS)
+
+
 def read(spark: SparkSession, path: str, schema) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path))
 
@@ -68,23 +80,36 @@ def read(spark: SparkSession, path: str, schema) -> DataFrame:
 def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], DataFrame],
         n_files: int | None = None, sentinel: dict | None = None, mode: str = "append",
         keys: Sequence[str] | None = None, tag: str = "q",
-        each_batch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        each_batch: Callable[[DataFrame], DataFrame] | None = None, batch: str | None = None,
+        writer: Callable[[str], Callable[[DataFrame, int], None]] | None = None) -> DataFrame:
     """Stream ``df`` through ``transform`` and return what the sink holds.
     ``each_batch`` is applied to every micro-batch's result before it is
-    written (append mode).
+    written (append mode).  ``batch`` names a column that deals the records to
+    micro-batches (``stage_batches``); ``writer`` makes the ``foreachBatch``
+    function for a folder, in which it writes one ``batch_id=`` folder each.
 
     ``mode='append'`` uses the parquet file sink.  ``mode='update'`` writes
     every micro-batch's changed rows with its batch id through
     ``foreachBatch``; the result is the latest row per ``keys`` (the
-    "current state" table).
+    "current state" table), or with ``mode='log'`` all of them with their
+    ``_batch``.
     """
     spark = df.sparkSession
     root = _run_dir(spark, tag)
     src, out, ckpt = (os.path.join(root, x) for x in ("source", "sink", "checkpoint"))
     n_files = n_files or _files(df)
-    stage(df, order, n_files, src, sentinel)
+    if batch is None:
+        stage(df, order, n_files, src, sentinel)
+    else:
+        stage_batches(df, batch, order, src)
     schema = spark.read.parquet(src).schema
-    stream = transform(read(spark, src, schema))
+    stream = transform(read(spark, src, schema).drop(REPLAY))
+    if writer is not None:
+        q = (stream.writeStream.outputMode(mode).foreachBatch(writer(out))
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+        _clean(spark, out, src, ckpt)
+        return spark.read.option("basePath", out).parquet(f"{out}/batch_id=*").drop("batch_id")
     if mode == "append" and each_batch is not None:
         def put(batch: DataFrame, batch_id: int) -> None:
             each_batch(batch).write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
@@ -100,8 +125,8 @@ def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], Da
         q.awaitTermination()
         _clean(spark, out, src, ckpt)
         return spark.read.schema(stream.schema).parquet(out)
-    if mode == "update":
-        if not keys:
+    if mode in ("update", "log"):
+        if mode == "update" and not keys:
             raise ValueError("update mode needs the result keys")
 
         def write(batch: DataFrame, batch_id: int) -> None:
@@ -113,6 +138,8 @@ def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], Da
         q.awaitTermination()
         _clean(spark, out, src, ckpt)
         res = spark.read.option("basePath", out).parquet(f"{out}/_batch=*")
+        if mode == "log":
+            return res
         latest = res.groupBy(*keys).agg(F.max("_batch").alias("_last"))
         latest = latest.select(*[F.col(k).alias(f"_lk{i}") for i, k in enumerate(keys)], "_last")
         cond = [res[k].eqNullSafe(latest[f"_lk{i}"]) for i, k in enumerate(keys)]

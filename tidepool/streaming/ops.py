@@ -12,6 +12,10 @@ a TIMESTAMP event-time column (``withWatermark`` rejects TIMESTAMP_NTZ).
                         each micro-batch of closed windows
 * ``interval_join``     stream-stream join with a time range and watermarks
 * ``late_split``        foreachBatch writer that separates late records
+* ``windows_with_lateness`` / ``revisions``  windows that stay open for late
+                        records, their result in time and every later one
+* ``running_total``     foreachBatch writer: a running sum over all micro-batches
+* ``followed_by_any``   every later match within a time, as a self-join
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import duration
+from ..operators import ordered
 from ..session import path_exists
 
 
@@ -124,3 +129,88 @@ def late_split(main_path: str, late_path: str, time_col: str, window_col: str, l
         b.agg(F.max(time_col).alias("max_ts")).write.mode("overwrite").parquet(f"{marks}/{part}")
         b.unpersist()
     return write
+
+
+NEWEST = "_newest"
+
+
+def windows_with_lateness(stream: DataFrame, time_col: str, size, keys: Sequence[str], aggs: Mapping[str, Column],
+                          disorder, lateness) -> DataFrame:
+    """Fixed windows that take late records, for ``update`` mode: a window is
+    kept for ``disorder + lateness`` after its end, and every micro-batch emits
+    the windows that it changed.  ``_newest`` is a window's newest event time;
+    ``revisions`` reads the progress of the stream from it."""
+    wait = f"{int(round((duration(disorder) + duration(lateness)) * 1000))} milliseconds"
+    late = stream.withWatermark(time_col, wait)
+    return windowed_counts(late, time_col, size, None, keys, {**aggs, NEWEST: F.max(time_col)})
+
+
+def revisions(log: DataFrame, keys: Sequence[str], values: Sequence[str], disorder, batch: str = "_batch") -> DataFrame:
+    """What the windows of ``windows_with_lateness`` said, and when.
+
+    ``log`` holds the rows of every micro-batch with its id, one folder per
+    batch, so a retried batch replaces its own.  A window closes when the
+    newest event time of earlier batches is ``disorder`` past its end.  Its last
+    result before that is revision 0; each later one, brought by late records,
+    is numbered 1, 2, ...  Windows that the log leaves open have revision 0.
+    """
+    wait = F.make_dt_interval(secs=F.lit(duration(disorder)))
+    # one row per micro-batch: the newest event time before it
+    marks = log.groupBy(batch).agg(F.max(NEWEST).alias(NEWEST)).select(F.col(batch).alias("_b"), F.max(NEWEST).over(
+        Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    rows = log.join(F.broadcast(marks), log[batch] == marks["_b"])
+    rows = rows.withColumn("_open", F.col("_before").isNull() | (F.col("_before") - wait < F.col("window_end")))
+    each = Window.partitionBy(*keys, "window_start", "_open")
+    rows = rows.select("*", F.row_number().over(each.orderBy(F.desc(batch))).alias("_last"),
+                       F.row_number().over(each.orderBy(batch)).alias("_nth"))
+    return rows.where(~F.col("_open") | (F.col("_last") == 1)).select(
+        *keys, "window_start", "window_end", F.when(F.col("_open"), 0).otherwise(F.col("_nth")).alias("revision"), *values)
+
+
+def newest(log: DataFrame, keys: Sequence[str], values: Sequence[str], batch: str = "_batch") -> DataFrame:
+    """The newest result of every window of such a log."""
+    best = F.max(F.struct(batch, *values)).alias("_m")
+    return log.groupBy(*keys, "window_start", "window_end").agg(best) \
+        .select(*keys, "window_start", "window_end", *[F.col(f"_m.{v}").alias(v) for v in values])
+
+
+def running_total(order: Sequence[str], column: str, out: str):
+    """``writer`` of a running sum over the whole stream: for a folder, a
+    ``foreachBatch`` function that adds ``out``, the sum of ``column`` over all
+    earlier micro-batches and, in ``order``, the records of this one up to each.
+    Nothing is kept but a line per batch with its sum; a batch that comes again
+    replaces its folder and its line."""
+    def writer(path: str):
+        sums = path.rstrip("/") + "_sums"
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            spark = batch.sparkSession
+            before = 0
+            if path_exists(spark, sums):
+                done = spark.read.parquet(sums).where(F.col("batch_id") < batch_id)
+                before = done.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+            rows = batch.persist()
+            run = ordered.running(rows, [], order, {out: ("sum", column)})
+            run.withColumn(out, (F.col(out) + F.lit(before)).cast("long")) \
+               .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            rows.agg(F.coalesce(F.sum(column), F.lit(0)).cast("long").alias("total")) \
+                .write.mode("overwrite").parquet(f"{sums}/batch_id={batch_id}")
+            rows.unpersist()
+        return write
+    return writer
+
+
+def followed_by_any(stream: DataFrame, key: str, time_col: str, seq: str, first: Column, second: Column,
+                    within) -> DataFrame:
+    """``begin(first).followedByAny(second).within(t)``: every ``second`` record
+    of a key less than ``within`` after each ``first`` one.  A self-join of the
+    stream (with its watermark) on the key and the range of time, so a start
+    stays open for all its matches and leaves the state when the watermark is
+    ``within`` past it."""
+    a = stream.where(first).select(F.col(key).alias("_k"), F.col(time_col).alias("first_time"), F.col(seq).alias("first_id"))
+    b = stream.where(second).select(F.col(key), F.col(time_col).alias("second_time"), F.col(seq).alias("second_id"))
+    bound = F.make_dt_interval(secs=F.lit(duration(within)))
+    later = (F.col("second_time") > F.col("first_time")) | (F.col("second_id") > F.col("first_id"))
+    cond = ((F.col("_k") == F.col(key)) & (F.col("second_time") >= F.col("first_time"))
+            & (F.col("second_time") < F.col("first_time") + bound) & later)
+    return a.join(b, cond).select(key, "first_id", "second_id", "first_time", "second_time")

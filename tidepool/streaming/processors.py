@@ -7,6 +7,11 @@ timers (state lives in the RocksDB state store on the executors).
 * ``RisingAlertProcessor`` — the rising-value alert: value state for the
   previous value, the due time and the last value; an event-time timer per
   running alert.
+* ``FirstSeenProcessor``   — map state with a time to live: a value's first
+  record, in buckets of values (unique visitors of an unbounded stream).
+* ``TimesProcessor``       — list states: records that wait for the watermark
+  and the open repetitions of ``begin(a).next(b).times(lo, hi)``.
+* ``ArrivalWindowProcessor`` — processing-time windows: a timer per window.
 * ``SeenItemsProcessor``   — list state (the key's values in arrival order)
   and map state (value -> count): emits, per record, how many times its
   value was seen for the key and how many records the key has.
@@ -14,10 +19,13 @@ timers (state lives in the RocksDB state store on the executors).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -25,6 +33,22 @@ from ..functions.timecols import duration
 from .rules import _in_order
 
 
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """The state store that ``transformWithState`` needs, for queries started
+    inside; the session's own setting comes back after that."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def stateful_rule(stream: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
                   schema: T.StructType, output_mode: str = "append",
                   time_mode: str = "EventTime") -> DataFrame:
@@ -167,3 +191,216 @@ class TimerEachProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+FIRST_SCHEMA = T.StructType([T.StructField("us", T.LongType()), T.StructField("seq", T.LongType()),
+                             T.StructField("first", T.IntegerType())])
+
+
+class FirstSeenProcessor(StatefulProcessor):
+    """Marks the first record of every value (``first`` 1, else 0).  The values
+    of a bucket are the entries of a map state; each leaves the state a
+    ``ttl`` after it was last written, without one it stays."""
+
+    def __init__(self, time_col: str, seq: str, value: str, ttl=None):
+        self.time_col, self.seq, self.value = time_col, seq, value
+        self.ttl_ms = None if ttl is None else int(round(duration(ttl) * 1000))
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        value = T.StructType([T.StructField("value", T.StringType())])
+        self.seen = handle.getMapState("seen", value, T.StructType([T.StructField("seq", T.LongType())]),
+                                       ttlDurationMs=self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        us, seq, value = _in_order(rows, self.time_col, self.seq, self.value)
+        first, new = [], set()
+        for v, s in zip(value, seq):
+            v = str(v)
+            fresh = v not in new and not self.seen.containsKey((v,))
+            if fresh:
+                self.seen.updateValue((v,), (int(s),))
+            new.add(v)
+            first.append(int(fresh))
+        yield pd.DataFrame({"us": us, "seq": seq.astype("int64"), "first": pd.Series(first, dtype="int32")})
+
+    def close(self) -> None:
+        pass
+
+
+def first_seen(stream: DataFrame, time_col: str, seq: str, value: str, buckets: int, ttl=None) -> DataFrame:
+    """``us, seq, first`` of every record: whether its ``value`` comes for the
+    first time.  Values are dealt to ``buckets`` groups, so no group holds them
+    all; more buckets, more parallel state."""
+    bucket = F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
+    rows = stream.select(bucket.alias("bucket"), time_col, seq, value)
+    return stateful_rule(rows, ["bucket"], FirstSeenProcessor(time_col, seq, value, ttl), FIRST_SCHEMA,
+                         time_mode="None" if ttl is None else "ProcessingTime")
+
+
+TIMES_SCHEMA = T.StructType([T.StructField("key", T.LongType()), T.StructField("first_id", T.LongType()),
+                             T.StructField("k", T.IntegerType()), T.StructField("ids", T.ArrayType(T.LongType()))])
+
+
+class TimesProcessor(StatefulProcessor):
+    """``begin(a).next(b).times(lo, hi).within(t)``: a ``b`` record right after
+    an ``a`` record begins a repetition, later ``b`` records go on with it (others
+    are skipped).  One row per length from ``lo`` to ``hi`` reached less than
+    ``within`` after the start.
+
+    The order inside a key is (time, seq): records wait in a list state until
+    the watermark passes them, so a record that comes late but accepted takes
+    its place.  Each open repetition is an entry of a second list state and
+    closes at its own length or bound."""
+
+    def __init__(self, time_col: str, seq: str, first: str, repeated: str, lo: int, hi: int, within):
+        self.time_col, self.seq, self.first, self.repeated = time_col, seq, first, repeated
+        self.lo, self.hi, self.within_us = lo, hi, int(round(duration(within) * 1e6))
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        record = T.StructType([T.StructField("us", T.LongType()), T.StructField("id", T.LongType()),
+                               T.StructField("a", T.BooleanType()), T.StructField("b", T.BooleanType())])
+        run = T.StructType([T.StructField("id", T.LongType()), T.StructField("us", T.LongType()),
+                            T.StructField("ids", T.ArrayType(T.LongType()))])
+        self.waiting = handle.getListState("waiting", record)
+        self.open = handle.getListState("open", run)
+        self.last = handle.getValueState("last", record)
+        self.due = handle.getValueState("due", T.StructType([T.StructField("ms", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = []
+        for p in rows:
+            us = p[self.time_col].astype("datetime64[us]").astype("int64")
+            new += zip(us.tolist(), p[self.seq].tolist(), p[self.first].tolist(), p[self.repeated].tolist())
+        if new:
+            self.waiting.appendList([(int(u), int(i), bool(a), bool(b)) for u, i, a, b in new])
+        yield from self._pass(key, timerValues, min((r[0] for r in new), default=None))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.due.clear()
+        yield from self._pass(key, timerValues, None)
+
+    def _pass(self, key, timerValues, earliest) -> Iterator[pd.DataFrame]:
+        """Takes the records that the watermark has passed, in order."""
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        due = int(self.due.get()[0]) if self.due.exists() else None
+        if earliest is not None and earliest > mark and due is not None and due <= earliest // 1000 + 1:
+            return                                    # nothing to take, and the timer is early enough
+        waiting = sorted(tuple(r) for r in self.waiting.get())
+        ready = [r for r in waiting if r[0] <= mark]
+        if ready:
+            rest = waiting[len(ready):]
+            if rest:
+                self.waiting.put(rest)
+            else:
+                self.waiting.clear()
+            waiting = rest
+            yield from self._walk(key, ready, mark)
+        if waiting:
+            ms = waiting[0][0] // 1000 + 1
+            if due != ms:
+                if due is not None:
+                    self.handle.deleteTimer(due)
+                self.handle.registerTimer(ms)
+                self.due.update((ms,))
+
+    def _walk(self, key, ready, mark) -> Iterator[pd.DataFrame]:
+        last = tuple(self.last.get()) if self.last.exists() else None
+        runs = [(int(r[0]), int(r[1]), list(r[2])) for r in self.open.get()]
+        out = []
+        for us, rid, a, b in ready:
+            if b:
+                kept = []
+                if last is not None and last[2]:
+                    runs.append((int(last[1]), int(last[0]), []))
+                for start, since, ids in runs:
+                    if us - since < self.within_us:
+                        ids = [*ids, rid]
+                        if len(ids) >= self.lo:
+                            out.append((int(key[0]), start, len(ids), ids))
+                        if len(ids) < self.hi:
+                            kept.append((start, since, ids))
+                runs = kept
+            last = (us, rid, a, b)
+        self.last.update(last)
+        runs = [r for r in runs if mark - r[1] < self.within_us]
+        if runs:
+            self.open.put(runs)
+        else:
+            self.open.clear()
+        if out:
+            frame = pd.DataFrame(out, columns=["key", "first_id", "k", "ids"])
+            yield frame.astype({"k": "int32"})
+
+    def close(self) -> None:
+        pass
+
+
+ARRIVAL_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("window_start", T.TimestampType()),
+                               T.StructField("count", T.LongType())])
+
+
+class ArrivalWindowProcessor(StatefulProcessor):
+    """Counts per key and fixed window of the arrival clock.  A window is an
+    entry of a map state with a processing-time timer at its end, which emits
+    and removes it."""
+
+    def __init__(self, size):
+        self.size_ms = int(round(duration(size) * 1000))
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        start = T.StructType([T.StructField("ms", T.LongType())])
+        self.windows = handle.getMapState("windows", start, T.StructType([T.StructField("n", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n = sum(len(p) for p in rows)
+        now = timerValues.getCurrentProcessingTimeInMs()
+        start = now - now % self.size_ms
+        if self.windows.containsKey((start,)):
+            n += int(self.windows.getValue((start,))[0])
+        else:
+            self.handle.registerTimer(start + self.size_ms)
+        self.windows.updateValue((start,), (n,))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        start = expiredTimerInfo.getExpiryTimeInMs() - self.size_ms
+        if self.windows.containsKey((start,)):
+            n = int(self.windows.getValue((start,))[0])
+            self.windows.removeKey((start,))
+            yield pd.DataFrame([(str(key[0]), pd.Timestamp(start, unit="ms"), n)], columns=["key", "window_start", "count"])
+
+    def close(self) -> None:
+        pass
+
+
+def arrival_windows(stream: DataFrame, key: str, size) -> DataFrame:
+    """Processing-time windows: ``key, window_start, count`` once a window of
+    the arrival clock is over."""
+    return stateful_rule(stream, [key], ArrivalWindowProcessor(size), ARRIVAL_SCHEMA, time_mode="ProcessingTime")
+
+
+def run_until_idle(query, rows: int, seconds: float, limit: float = 300.0) -> None:
+    """Lets a query with processing-time timers run until it has read ``rows``
+    records and its timers of the next ``seconds`` have had their time; then
+    stops it.  Raises after ``limit`` seconds, or with the query's own error."""
+    end = time.monotonic() + limit
+    batches: dict[int, int] = {}
+    idle_since = None
+    while time.monotonic() < end:
+        if query.exception() is not None:
+            raise query.exception()
+        for p in query.recentProgress:
+            batches[p["batchId"]] = max(batches.get(p["batchId"], 0), p["numInputRows"])
+        if sum(batches.values()) >= rows:
+            newest = max(batches)
+            idle_since = idle_since or (time.monotonic(), newest)
+            # every timer has expired, and a whole micro-batch has run after that
+            if time.monotonic() - idle_since[0] > seconds + 1:
+                if idle_since[1] < newest - 2:
+                    query.stop()
+                    return
+        time.sleep(0.2)
+    query.stop()
+    raise TimeoutError(f"the query was not idle after {limit} seconds")

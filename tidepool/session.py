@@ -117,6 +117,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small text file (over an earlier one)."""
+    fs, p = _file_system(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def rename_over(spark: SparkSession, source: str, target: str) -> None:
+    """Puts a file in the place of another in one step of the file system."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(dst.getFileSystem(conf).getUri(), conf)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.valueOf("OVERWRITE")
+    files.rename(src, dst, options)
+
+
 def set_times(spark: SparkSession, files: list[str], first_ms: int) -> None:
     """Gives files rising modification times, one second apart."""
     for i, f in enumerate(files):

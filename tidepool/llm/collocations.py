@@ -29,6 +29,8 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -45,6 +47,7 @@ TOP = 2000
 
 SHARD_WORDS = 6_000_000
 BROADCAST_BYTES = 64 << 20
+SLOTS = 1 << 14                  # candidates in a block of counts: 16-bit positions
 
 # fixed value: characters that end a piece
 PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
@@ -234,20 +237,37 @@ class Trie:
         return out
 
 
-def _recount(documents: DataFrame, shared, trie) -> DataFrame:
+def _recount(documents: DataFrame, shared, trie, min_count: int) -> DataFrame:
+    """``k, place, count`` of the candidates with ``min_count`` occurrences or
+    more.  A task counts in dense slots and sends them in blocks, as positions
+    and counts side by side; a block's lines are added up one batch at a time."""
     def run(batches):
         vocabulary, tree = shared.value, trie.value
         counts = {k: np.zeros(len(keys), dtype=np.int64) for k, keys in tree.keys.items()}
         for _, _, numbers in vocabulary.stream(batches):
             tree.count(numbers, counts)
         for k, c in counts.items():
-            at = np.flatnonzero(c)
-            for a in range(0, len(at), 50_000):
-                part = at[a:a + 50_000]
-                yield pa.record_batch([pa.array(np.full(len(part), k, np.int32)), pa.array(part), pa.array(c[part])],
-                                      names=["k", "place", "count"])
+            for block in range(-(-len(c) // SLOTS)):
+                part = c[block * SLOTS:(block + 1) * SLOTS]
+                at = np.flatnonzero(part)
+                if len(at):
+                    row = [[k], [block], [at.astype(np.uint16).tobytes()], [part[at].tobytes()]]
+                    yield pa.record_batch([pa.array(v, t) for v, t in zip(row, kinds)], names=["k", "block", "at", "n"])
+
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, k, block = np.zeros(SLOTS, dtype=np.int64), 0, 0
+        for batch in batches:
+            for r in batch.to_pylist():
+                k, block = r["k"], r["block"]
+                total[np.frombuffer(r["at"], np.uint16)] += np.frombuffer(r["n"], np.int64)
+        at = np.flatnonzero(total >= min_count)
+        yield pa.record_batch([pa.array(np.full(len(at), k, np.int32)), pa.array(block * np.int64(SLOTS) + at),
+                               pa.array(total[at])], names=["k", "place", "count"])
 
-    return documents.mapInArrow(run, "k int, place long, count long").groupBy("k", "place").agg(F.sum("count").alias("count"))
+    return documents.mapInArrow(run, "k int, block int, at binary, n binary") \
+        .groupBy("k", "block").applyInArrow(add, "k int, place long, count long")
 
 
 def _named(counted: DataFrame, shared, trie) -> DataFrame:
@@ -306,7 +326,7 @@ def phrase_counts(documents: DataFrame, min_count: int = MIN_COUNT, longest: int
     if size > limit:
         return materialize(plain_counts(docs, min_count, longest), "phrases-plain"), totals
     trie = spark.sparkContext.broadcast(Trie(found.toArrow()["phrase"].to_pylist(), longest))
-    counted = _recount(docs, shared, trie).filter(F.col("count") >= min_count)
+    counted = _recount(docs, shared, trie, min_count)
     return materialize(singles.unionByName(_named(counted, shared, trie)), "phrases-counts"), totals
 
 

@@ -230,7 +230,9 @@ class FirstSeenProcessor(StatefulProcessor):
 def first_seen(stream: DataFrame, time_col: str, seq: str, value: str, buckets: int, ttl=None) -> DataFrame:
     """``us, seq, first`` of every record: whether its ``value`` comes for the
     first time.  Values are dealt to ``buckets`` groups, so no group holds them
-    all; more buckets, more parallel state."""
+    all; more buckets, more parallel state.  With a ``ttl`` the query needs a
+    ``processingTime`` trigger: the state's clock goes on without input, so
+    ``availableNow`` would not end."""
     bucket = F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
     rows = stream.select(bucket.alias("bucket"), time_col, seq, value)
     return stateful_rule(rows, ["bucket"], FirstSeenProcessor(time_col, seq, value, ttl), FIRST_SCHEMA,

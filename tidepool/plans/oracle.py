@@ -214,6 +214,24 @@ SELECT event_type, date_trunc('hour', ws) AS hour, count(*) AS windows, CAST(sum
        CAST(sum(low) AS BIGINT) AS low, CAST(sum(cents) AS BIGINT) AS cents
 FROM w GROUP BY 1, 2""",
 
+    "read_lines": """
+SELECT concat_ws(',', event_id, user_id, event_type) AS value FROM events""",
+
+    "read_records": f"""
+WITH {EV} SELECT 'user_' || user_id AS id, CAST(floor(epoch(ts)) AS BIGINT) AS ts, CAST(k AS INTEGER) AS vc FROM ev""",
+
+    "upsert_hash": f"""
+WITH {EV} SELECT CAST(user_id AS VARCHAR) AS field, last(cents ORDER BY ts, event_id) AS cents FROM ev GROUP BY user_id""",
+
+    "index_docs": """
+SELECT concat_ws(',', o_orderkey, o_custkey) AS data FROM orders""",
+
+    "fan_out": f"""
+WITH {EV}
+SELECT 'errors' AS output, event_id FROM ev WHERE event_type = 'error'
+UNION ALL SELECT 'large', event_id FROM ev WHERE cents >= 5000
+UNION ALL SELECT 'all', event_id FROM ev""",
+
     "rolling_fold": f"""
 WITH {EV},
 s AS (SELECT user_id, event_id, ts, sum(CASE event_type WHEN 'purchase' THEN cents WHEN 'error' THEN -cents ELSE 0 END)

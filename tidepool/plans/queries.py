@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 from ..operators import (alerts, eventtime, joins, patterns, rolling, transforms, windows)
 from ..functions import aggregator, fold
+from ..schemas import WATER_SENSOR
+from ..session import delete_on_exit
+from ..sinks import writers
 from ..sources import files
 from ..sources.tables import table
 from ..streaming import harness, processors
@@ -494,6 +497,66 @@ def q_order_timeout(spark, sf):
     return _order_pay(spark, sf, True).select("user_id", "view_event_id")
 
 
+# --------------------------------------------------------------------------- sources and sinks
+
+def _scratch(spark, tag: str) -> str:
+    """A fresh folder in the shared one, deleted at the end of the session."""
+    path = harness._run_dir(spark, tag)
+    delete_on_exit(spark, path)
+    return path
+
+
+def q_read_lines(spark, sf):
+    path = _scratch(spark, "lines")
+    events(spark, sf).select(F.concat_ws(",", "event_id", "user_id", "event_type")).write.text(path)
+    return files.read_lines(spark, path)
+
+
+def q_read_records(spark, sf):
+    """Sensor records (id, seconds, value) from comma-delimited lines."""
+    path = _scratch(spark, "records")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    events(spark, sf).select(F.concat(F.lit("user_"), F.col("user_id")), seconds, "k").write.csv(path)
+    return files.read_records(spark, path, WATER_SENSOR)
+
+
+def q_upsert_hash(spark, sf):
+    """The newest cents per user, written in four batches of which one comes
+    again, with a compaction between them."""
+    path = _scratch(spark, "hash")
+    e = events(spark, sf).select(F.col("user_id").cast("string").alias("field"), "cents", "ts", "event_id",
+                                 F.least(F.call_function("div", F.dayofmonth("ts"), F.lit(8)), F.lit(3)).alias("batch"))
+    for version in (0, 1, 1, 2, 3):
+        writers.upsert_hash(e.where(F.col("batch") == version), path, "field", "cents", EV_ORDER, version=version)
+        if version == 2:
+            writers.compact_hash(spark, path)
+    return writers.read_hash(spark, path)
+
+
+def q_index_docs(spark, sf):
+    """A document per order, in two batches of which the second comes again."""
+    path = _scratch(spark, "docs")
+    o = table(spark, sf, "orders").select(F.concat_ws(",", "o_orderkey", "o_custkey").alias("line"),
+                                          (F.col("o_orderkey") % 2).alias("batch"))
+    for batch in (0, 1, 1):
+        writers.index_docs(o.where(F.col("batch") == batch).drop("batch"), path, "line", batch_id=batch)
+    return spark.read.schema("data string, batch_id int").json(path).select("data")
+
+
+def q_fan_out(spark, sf):
+    """Events to three outputs by kind and value; the batch comes twice."""
+    path = _scratch(spark, "fan")
+    e = events(spark, sf).select("event_id", "event_type", "cents")
+    outputs = {"errors": F.col("event_type") == "error", "large": F.col("cents") >= 5000, "all": F.lit(True)}
+    for _ in range(2):
+        writers.fan_out(e, {f"{path}/{n}": p for n, p in outputs.items()}, batch_id=0)
+    out = None
+    for n in outputs:
+        part = spark.read.parquet(f"{path}/{n}").select(F.lit(n).alias("output"), "event_id")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # --------------------------------------------------------------------------- user folds
 
 class Balance(fold.Fold):

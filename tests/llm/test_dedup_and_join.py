@@ -1,11 +1,12 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidepool.llm import ngram_join, substring_dedup
 
-from .conftest import DOCS, words
+from .conftest import DOCS, passage, words
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -72,6 +73,21 @@ def test_equal_hashes_of_other_words_are_found(spark):
     assert checks.groupBy("src_doc", "src_pos", "len").agg(F.countDistinct("digest").alias("n")).first()["n"] == 2
 
 
+@pytest.mark.parametrize("bits", [0, 4, 9, 20])
+def test_copies_are_kept_when_hashes_collide(spark, documents, odd_docs, bits):
+    """With hashes cut to a few bits most windows collide; every digest of
+    words still finds its own smallest document."""
+    extra = [(500 + i, passage(20 + i % 7, 13 + i) + " " + passage(30 + i % 3, 20), "en", "a", 1) for i in range(25)]
+    docs = documents.unionByName(spark.createDataFrame(extra, DOCS)).select(F.col("doc_id").alias("rid"), "text")
+    out, _ = substring_dedup.dedup(docs, bits=bits)
+    want = brute_dedup(odd_docs + extra)
+    got = {r["rid"]: r for r in out.collect()}
+    assert len(got) == out.count() == len(want)
+    for doc, (n, gone, kept) in want.items():
+        assert (got[doc]["n_words"], got[doc]["n_removed"]) == (n, gone), doc
+        assert got[doc]["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
+
+
 def test_remove_keeps_columns_and_rows(spark, odd_docs):
     docs = spark.createDataFrame(odd_docs, DOCS).withColumn("rid2", F.lit(1)).withColumn("kept", F.lit("x"))
     out = substring_dedup.remove(docs)

@@ -15,9 +15,10 @@ its source coordinate: the smallest document and position where it starts.
    the joint does not branch (the next source coordinate follows on), they
    become one path; the paths so compacted are the repeated spans.
 3. *Verification.*  The text of each span and of its source coordinates is
-   digested; spans whose digest is not that of their source (equal hashes of
-   different words) are split into single windows and verified again, and
-   single windows that still differ are dropped.
+   digested.  Where a digest is not that of its source (equal hashes of
+   different words), all windows with the hashes of that stretch are read from
+   all texts and grouped by the digest of their words: each digest gets its own
+   smallest source.  Only documents with such spans are written again.
 4. *Removal.*  A word goes when a span of its document covers it whose source
    document is smaller.
 
@@ -43,6 +44,9 @@ K = 13
 MINI = 5
 RUN = 128                        # windows of a packed run at most
 BUCKET = 1 << 17                 # windows per bucket, about
+SHORT = 6                        # bytes of a window's hash that travel
+HASH_BITS = 64                   # bits of a window's hash that count (fewer in tests)
+KEYS = 1 << 20                   # colliding hashes looked for in one pass over the texts
 
 PACKED = "bucket long, doc binary, pos binary, len binary, mini binary, win binary, src_doc binary, src_pos binary"
 NAMES = [c.split()[0] for c in PACKED.split(", ")]
@@ -96,11 +100,21 @@ def _sources(key: np.ndarray, doc: np.ndarray, pos: np.ndarray):
     return at[shared], source[shared]
 
 
-def pack_block(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, buckets: int):
+def _windows(words: Words, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a block's windows and whether they lie in one text."""
+    win, inside = words.grams(K)
+    return win & np.uint64((1 << bits) - 1), inside
+
+
+def _short(win: np.ndarray) -> np.ndarray:
+    return win & np.uint64((1 << 8 * SHORT) - 1)
+
+
+def pack_block(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, buckets: int, bits: int = HASH_BITS):
     """A block's windows as packed runs per bucket, and the pieces settled in
     the block."""
     words = Words(data, offsets)
-    win, inside = words.grams(K)
+    win, inside = _windows(words, bits)
     if not inside.any():
         return
     parts, _ = words.grams(MINI)
@@ -136,7 +150,7 @@ def pack_block(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, buckets:
     begin, size, bucket = begin[order], size[order], bucket[order]
     cut = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets)))
     inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    short = win[np.repeat(begin, size) + inner].astype(np.uint32)
+    short = win[np.repeat(begin, size) + inner].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SHORT]
     ends = np.cumsum(size)
     for a, b in zip(cut, np.append(cut[1:], len(begin))):
         r = begin[a:b]
@@ -163,12 +177,15 @@ def _bucket(table: pa.Table) -> pa.Table:
                         get(r, "src_doc", np.int64), get(r, "src_pos", np.uint32)))
         else:
             runs.append((get(r, "doc", np.int64), get(r, "pos", np.uint32), get(r, "len", np.uint8),
-                         get(r, "mini", np.uint32), get(r, "win", np.uint32)))
+                         get(r, "mini", np.uint32), get(r, "win", np.uint8)))
     if runs:
         doc, pos, size, mini, win = (np.concatenate(c) for c in zip(*runs))
         size = size.astype(np.int64)
         inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        key = (np.repeat(mini, size).astype(np.uint64) << np.uint64(32)) | win
+        key = np.zeros((len(inner), 8), dtype=np.uint8)
+        key[:, :SHORT] = win.reshape(-1, SHORT)
+        # the bucket holds high bits of the mixed minimizer, its own low bits fill the key
+        key = key.view("<u8").ravel() | (np.repeat(mini, size).astype(np.uint64) << np.uint64(8 * SHORT))
         doc, pos = np.repeat(doc, size), np.repeat(pos.astype(np.int64), size) + inner
         hit, source = _sources(key, doc, pos)
         copy = doc[hit] != doc[source]
@@ -177,7 +194,7 @@ def _bucket(table: pa.Table) -> pa.Table:
     return _piece_table(out)
 
 
-def pieces(rows: DataFrame, buckets: int) -> DataFrame:
+def pieces(rows: DataFrame, buckets: int, bits: int = HASH_BITS) -> DataFrame:
     """Pieces ``(doc, pos, len, src_doc, src_pos)`` of ``(rid, text)`` rows:
     windows that a smaller document holds too, by their source."""
 
@@ -185,7 +202,7 @@ def pieces(rows: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for a, b, data, offsets in text_blocks(batch["text"]):
                 ids = batch["rid"].slice(a, b - a).to_numpy(zero_copy_only=False)
-                packed = list(pack_block(ids, data, offsets, buckets))
+                packed = list(pack_block(ids, data, offsets, buckets, bits))
                 for i in range(0, len(packed), 512):
                     yield _batch(packed[i:i + 512])
 
@@ -252,29 +269,81 @@ def _strip(rows: DataFrame, spans: DataFrame, with_text: bool) -> DataFrame:
     return materialize(full.mapInArrow(lambda b: _apply(b, with_text), OUT), "dedup-out")
 
 
-def dedup(rows: DataFrame, with_text: bool = False) -> tuple[DataFrame, DataFrame]:
+def _hashes(rows: DataFrame, stretches: DataFrame, bits: int) -> DataFrame:
+    """``key``: the hashes of all windows in stretches (src_doc, src_pos, len)."""
+    asked = stretches.groupBy("src_doc").agg(F.collect_list(F.struct("src_pos", "len")).alias("at"))
+    texts = rows.join(asked, rows["rid"] == asked["src_doc"]).select("text", "at")
+
+    def run(batches):
+        for batch in batches:
+            for a, b, data, offsets in text_blocks(batch["text"]):
+                words = Words(data, offsets)
+                win, _ = _windows(words, bits)
+                found = [_short(win[words.first[i] + s["src_pos"]:words.first[i] + s["src_pos"] + s["len"]])
+                         for i, at in enumerate(batch["at"].slice(a, b - a).to_pylist()) for s in at]
+                yield pa.record_batch([pa.array(np.unique(np.concatenate(found)).view(np.int64))], names=["key"])
+
+    return texts.mapInArrow(run, "key long").distinct()
+
+
+def _by_words(rows: DataFrame, keys: DataFrame, bits: int) -> DataFrame:
+    """Repeated windows with one of the hashes ``keys``, told apart by the
+    digest of their words, as pieces of one window with their smallest source."""
+    passes = max(1, -(-keys.count() // KEYS))
+    found = None
+    for i in range(passes):
+        some = [r["key"] for r in keys.where(F.pmod("key", F.lit(passes)) == i).collect()]
+        wanted = rows.sparkSession.sparkContext.broadcast(np.sort(np.array(some, dtype=np.int64).view(np.uint64)))
+
+        def run(batches, wanted=wanted):
+            for batch in batches:
+                for a, b, data, offsets in text_blocks(batch["text"]):
+                    words = Words(data, offsets)
+                    win, inside = _windows(words, bits)
+                    at = np.flatnonzero(inside)
+                    at = at[np.isin(_short(win[at]), wanted.value)]
+                    if not len(at):
+                        continue
+                    raw = data.tobytes()
+                    digests = [hashlib.blake2b(b" ".join(raw[words.start[j]:words.end[j]] for j in range(p, p + K)),
+                                               digest_size=16).digest() for p in at.tolist()]
+                    ids = batch["rid"].slice(a, b - a).to_numpy(zero_copy_only=False)
+                    yield pa.record_batch([pa.array(digests, pa.binary()), pa.array(ids[words.doc[at]]), pa.array(words.pos[at])],
+                                          names=["digest", "doc", "pos"])
+
+        part = rows.select("rid", "text").mapInArrow(run, "digest binary, doc long, pos long")
+        found = part if found is None else found.unionByName(part)
+    found = materialize(found, "dedup-windows")
+    source = found.groupBy("digest").agg(F.min(F.struct("doc", "pos")).alias("src"), F.max("doc").alias("last")) \
+        .filter("last > src.doc").drop("last")
+    return found.join(source, "digest").filter("doc > src.doc").select(
+        "doc", "pos", F.lit(1).cast("long").alias("len"), F.col("src.doc").alias("src_doc"), F.col("src.pos").alias("src_pos"))
+
+
+def dedup(rows: DataFrame, with_text: bool = False, bits: int = HASH_BITS) -> tuple[DataFrame, DataFrame]:
     """``(result, spans)`` of ``(rid, text)`` rows; both are written tables.
     ``result``: rid, n_words, n_removed, kept_sha256 and, if asked for, the
     kept text where words were removed; ``spans``: the verified repeated spans (``PIECES``, positions
     and lengths in windows)."""
     buckets = max(1, -(-total_bytes(rows, "text") // (6 * BUCKET)))
-    found = materialize(pieces(rows, buckets), "dedup-pieces")
+    found = materialize(pieces(rows, buckets, bits), "dedup-pieces")
     spans = materialize(compact(found), "dedup-spans")
-    while True:
-        out = _strip(rows, spans, with_text)
-        place = ["src_doc", "src_pos", "len"]
-        wrong = out.select(F.explode("checks").alias("c")).select("c.*").groupBy(*place) \
-            .agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo <> hi").select(*place)
-        wrong = materialize(wrong, "dedup-wrong")
-        if wrong.isEmpty():
-            return out, spans
-        # equal hashes of different words: look at the windows one by one
-        good = spans.join(wrong, place, "left_anti")
-        bad = spans.join(wrong, place, "left_semi").filter("len > 1").select(
-            "doc", "pos", "len", "src_doc", "src_pos", F.explode(F.sequence(F.lit(0), F.col("len") - 1)).alias("i"))
-        single = bad.select("doc", (F.col("pos") + F.col("i")).alias("pos"), F.lit(1).cast("long").alias("len"), "src_doc",
-                            (F.col("src_pos") + F.col("i")).alias("src_pos"))
-        spans = materialize(good.unionByName(single), "dedup-spans")
+    out = _strip(rows, spans, with_text)
+    place = ["src_doc", "src_pos", "len"]
+    wrong = out.select(F.explode("checks").alias("c")).select("c.*").groupBy(*place) \
+        .agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo <> hi").select(*place)
+    wrong = materialize(wrong, "dedup-wrong")
+    if wrong.isEmpty():
+        return out, spans
+    # equal hashes of different words
+    keys = materialize(_hashes(rows, wrong, bits), "dedup-keys")
+    single = materialize(_by_words(rows, keys, bits), "dedup-single")
+    touched = materialize(spans.join(wrong, place, "left_semi").select("doc").union(single.select("doc")).distinct()
+                          .select(F.col("doc").alias("rid")), "dedup-touched")
+    spans = materialize(spans.join(wrong, place, "left_anti").unionByName(single), "dedup-spans")
+    again = _strip(rows.join(touched, "rid", "left_semi"),
+                   spans.join(touched, spans["doc"] == touched["rid"], "left_semi"), with_text)
+    return materialize(out.join(touched, "rid", "left_anti").unionByName(again), "dedup-out"), spans
 
 
 def report(documents: DataFrame) -> DataFrame:

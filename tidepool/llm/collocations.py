@@ -21,7 +21,7 @@ Everything is per lang; null is ``und``.
 Words and trie are broadcast up to ``BROADCAST_BYTES`` each.  Beyond that
 ``plain_counts`` counts all phrases with a shuffle: the same rows, dearer.
 With more than ``min_count`` shards to a lang the local support is 1, so all
-phrases of frequent words travel once.
+phrases of frequent words travel once, thousands to a line.
 
 Defined cases: null and empty texts have no words; repeated rows count each;
 an empty table gives no rows; other columns are ignored.
@@ -39,14 +39,18 @@ from pyspark.sql import functions as F
 from . import perfect_hash
 from .common import materialize, small_join
 from .divergence import by_value
-from .words import Words, text_blocks
+from .words import Words, mix, text_blocks
 
 MIN_COUNT = 100
 LONGEST = 5
 TOP = 2000
 
 SHARD_WORDS = 6_000_000
+BLOCK_BYTES = 1 << 20            # text that is cut into words at once
+PART = 1 << 19                   # places of a shard that are sorted at once
 BROADCAST_BYTES = 64 << 20
+BUCKET_WORDS = 1 << 21           # words of the corpus per bucket of phrases, about
+FEWEST_BUCKETS, MOST_BUCKETS = 64, 1 << 20
 SLOTS = 1 << 14                  # candidates in a block of counts: 16-bit positions
 
 # fixed value: characters that end a piece
@@ -100,17 +104,22 @@ class Vocabulary:
                 at = place.get(lang, -1)
                 if at < 0:
                     continue
-                for _, _, data, offsets in text_blocks(rows["text"]):
-                    words = Words(BYTES[data], offsets)
-                    n = len(words.hash)
-                    if not n:
-                        continue
-                    ends = np.concatenate([[0], np.cumsum(ENDS[data])])[words.start] + words.doc
-                    shift = np.cumsum(np.diff(ends, prepend=ends[0] - 1) > 0)
-                    out = np.full(n + int(shift[-1]) + 1, -1, dtype=np.int64)
-                    slot = self.lexicons[lang].lookup(words)
-                    out[np.arange(n) + shift] = np.where(slot >= 0, slot + self.first[at], -1)
-                    yield at, n, out
+                for _, _, data, offsets in text_blocks(rows["text"], BLOCK_BYTES):
+                    n, out = self._numbers(at, data, offsets)
+                    if n:
+                        yield at, n, out
+
+    def _numbers(self, at: int, data: np.ndarray, offsets: np.ndarray) -> tuple[int, np.ndarray | None]:
+        words = Words(BYTES[data], offsets)
+        n = len(words.hash)
+        if not n:
+            return 0, None
+        ends = np.concatenate([[0], np.cumsum(ENDS[data])])[words.start] + words.doc
+        shift = np.cumsum(np.diff(ends, prepend=ends[0] - 1) > 0)
+        out = np.full(n + int(shift[-1]) + 1, -1, dtype=np.int32)
+        slot = self.lexicons[self.langs[at]].lookup(words)
+        out[np.arange(n) + shift] = np.where(slot >= 0, slot + self.first[at], -1)
+        return n, out
 
     def lang_of(self, ids: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, ids, side="right") - 1
@@ -125,57 +134,85 @@ class Vocabulary:
         return out
 
 
-def _next(node: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places where both parts of ``k - 1`` words are alive, and their keys:
-    the number of the first part and the last word."""
+def _alive(node: np.ndarray, k: int) -> np.ndarray:
+    """Places where both parts of ``k - 1`` words are alive."""
     pos = np.flatnonzero((node[:-1] >= 0) & (node[1:] >= 0))
-    pos = pos[pos + k <= len(x)]
-    return pos, (node[pos] << np.int64(32)) | x[pos + k - 1]
+    return pos[pos + k <= len(node)]
+
+
+def _key(node: np.ndarray, x: np.ndarray, pos: np.ndarray, k: int) -> np.ndarray:
+    """The number of the first ``k - 1`` words and the last word."""
+    return (node[pos].astype(np.int64) << np.int64(32)) | x[pos + k - 1]
 
 
 def mine(x: np.ndarray, need: np.ndarray, lang_of, longest: int):
-    """``(words of the phrases, counts, local support)`` per length: phrases of
-    the stream ``x`` with at least ``need[lang]`` occurrences."""
+    """``(words of the phrases, counts, local support)``, part by part: phrases
+    of the stream ``x`` with at least ``need[lang]`` occurrences."""
     node = x
     for k in range(2, longest + 1):
-        pos, key = _next(node, x, k)
-        if not len(pos):
+        places = _alive(node, k)
+        parts = max(1, len(places) // PART)
+        after, found = np.full(len(x), -1, dtype=np.int32), 0
+        for part in range(parts):
+            pos = places if parts == 1 else places[node[places] % parts == part]
+            if not len(pos):
+                continue
+            _, first, number, count = np.unique(_key(node, x, pos, k), return_index=True, return_inverse=True, return_counts=True)
+            support = need[lang_of(x[pos[first]])]
+            alive = count >= support
+            rep = pos[first[alive]]
+            yield np.stack([x[rep + j] for j in range(k)], axis=1), count[alive], support[alive]
+            stay = alive[number]
+            after[pos[stay]] = found + (np.cumsum(alive) - 1)[number[stay]]
+            found += len(rep)
+        if not found:
             return
-        _, first, number, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        support = need[lang_of(x[pos[first]])]
-        alive = count >= support
-        rep = pos[first[alive]]
-        yield np.stack([x[rep + j] for j in range(k)], axis=1), count[alive], support[alive]
-        stay = alive[number]
-        node = np.full(len(x), -1, dtype=np.int64)
-        node[pos[stay]] = (np.cumsum(alive) - 1)[number[stay]]
+        node = after
+
 
+def _pack(ids: np.ndarray, gain: np.ndarray, buckets: int) -> Iterator[tuple]:
+    """``(bucket, phrases, gains)`` of phrases of one length as bytes: their
+    words' numbers, four big-endian bytes each, and eight per gain."""
+    h = np.zeros(len(ids), dtype=np.uint64)
+    for j in range(ids.shape[1]):
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + ids[:, j].astype(np.uint64))
+    bucket = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    order = np.argsort(bucket, kind="stable")
+    bucket, ids, gain = bucket[order], ids[order].astype(">u4"), gain[order].astype("<i8")
+    cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    for i, j in zip(cut, np.append(cut[1:], len(ids))):
+        yield int(bucket[i]), ids[i:j].tobytes(), gain[i:j].tobytes()
 
-def _phrases(ids: np.ndarray) -> pa.Array:
-    """Phrases as binary: their words' numbers, four bytes each."""
-    width = 4 * ids.shape[1]
-    offsets = np.arange(len(ids) + 1, dtype=np.int32) * width
-    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype(">u4").tobytes())])
 
+PACKED = "bucket int, k int, lang int, phrases binary, gains binary"
+PACKED_KINDS = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
-def candidates(documents: DataFrame, shared, min_count: int, longest: int, shard_words: int) -> DataFrame:
-    """``phrase``: what may occur ``min_count`` times, from the shards."""
+
+def candidates(documents: DataFrame, shared, min_count: int, longest: int, shard_words: int, buckets: int) -> DataFrame:
+    """``phrase``: what may occur ``min_count`` times, from the shards.  A
+    line of a shard holds its frequent phrases of one length and bucket."""
 
     def run(batches):
         vocabulary = shared.value
         total = np.array([vocabulary.totals[lang] for lang in vocabulary.langs], dtype=object)
 
+        def batch(rows):
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), PACKED_KINDS)],
+                                   names=[c.split()[0] for c in PACKED.split(", ")])
+
         def shard(parts, held):
             need = np.array([max(1, -(-min_count * int(h) // t)) for h, t in zip(held, total)], dtype=np.int64)
             used = np.flatnonzero(held)
-            yield pa.record_batch([pa.nulls(len(used), pa.binary()), pa.array(used.astype(np.int32)),
-                                   pa.array(need[used] - 1)], names=["phrase", "lang", "gain"])
-            for ids, count, support in mine(np.concatenate(parts), need, vocabulary.lang_of, longest):
-                lang = vocabulary.lang_of(ids[:, 0]).astype(np.int32)
-                for a in range(0, len(ids), 50_000):
-                    b = a + 50_000
-                    yield pa.record_batch([_phrases(ids[a:b]), pa.array(lang[a:b]), pa.array((count - support + 1)[a:b])],
-                                          names=["phrase", "lang", "gain"])
+            # where a shard does not send a phrase, it occurs so often at most
+            yield batch([(0, 1, int(i), None, int(need[i] - 1).to_bytes(8, "little")) for i in used])
+            x = np.concatenate(parts)
+            parts.clear()
+            for ids, count, support in mine(x, need, vocabulary.lang_of, longest):
+                if len(ids):
+                    k = ids.shape[1]
+                    rows = [(b, k, None, p, g) for b, p, g in _pack(ids, count - support + 1, buckets)]
+                    for a in range(0, len(rows), 256):
+                        yield batch(rows[a:a + 256])
 
         parts, held = [], np.zeros(len(vocabulary.langs), dtype=np.int64)
         for lang, n, numbers in vocabulary.stream(batches):
@@ -187,12 +224,29 @@ def candidates(documents: DataFrame, shared, min_count: int, longest: int, shard
         if parts:
             yield from shard(parts, held)
 
-    # phrase null: below the local support of a shard, a phrase occurs so often at most
-    mined = materialize(documents.mapInArrow(run, "phrase binary, lang int, gain long")
-                        .groupBy("lang", "phrase").agg(F.sum("gain").alias("gain")), "phrases-mined")
-    below = mined.filter("phrase is null").select("lang", F.col("gain").alias("below"))
-    return small_join(mined.filter("phrase is not null"), below, ["lang"]) \
-        .filter(F.col("gain") + F.col("below") >= min_count).select("phrase")
+    mined = materialize(documents.mapInArrow(run, PACKED), "phrases-mined")
+    below = mined.filter("k = 1").groupBy("lang").agg(F.sum(F.conv(F.hex(F.reverse("gains")), 16, 10).cast("long")).alias("below"))
+    remainder = {r["lang"]: r["below"] for r in below.collect()}        # a line per lang of the vocabulary
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        phrases, gains, k = [], [], 2
+        for b in batches:
+            k = b["k"][0].as_py()
+            phrases += b["phrases"].to_pylist()
+            gains += b["gains"].to_pylist()
+        packed = np.frombuffer(b"".join(phrases), dtype=f"V{4 * k}")
+        gain = np.frombuffer(b"".join(gains), dtype="<i8")
+        ids = packed.view(">u4").reshape(-1, k)
+        order = np.lexsort(ids.T[::-1])
+        packed, ids = packed[order], ids[order]
+        first = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]).any(axis=1)]))
+        most = np.add.reduceat(gain[order], first)
+        lang = vocabulary.lang_of(ids[first, 0].astype(np.int64))
+        keep = most + np.array([remainder[i] for i in lang.tolist()], dtype=np.int64) >= min_count
+        yield pa.record_batch([pa.array(packed[first[keep]].tolist(), pa.binary())], names=["phrase"])
+
+    return mined.filter("k > 1").groupBy("bucket", "k").applyInArrow(add, "phrase binary")
 
 
 class Trie:
@@ -217,15 +271,18 @@ class Trie:
         """Adds the occurrences of candidates in a stream to ``counts``."""
         node = x
         for k, keys in self.keys.items():
-            pos, key = _next(node, x, k)
-            if not len(pos) or not len(keys):
+            places = _alive(node, k)
+            if not len(places) or not len(keys):
                 return
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            hit = keys[at] == key
-            pos, at = pos[hit], at[hit]
-            counts[k] += np.bincount(at, minlength=len(keys))
-            node = np.full(len(x), -1, dtype=np.int64)
-            node[pos] = at
+            after = np.full(len(x), -1, dtype=np.int32)
+            for a in range(0, len(places), PART):
+                pos = places[a:a + PART]
+                key = _key(node, x, pos, k)
+                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                hit = keys[at] == key
+                after[pos[hit]] = at[hit]
+            node = after
+            counts[k] += np.bincount(node[node >= 0], minlength=len(keys))
 
     def ids(self, k: int, place: np.ndarray) -> np.ndarray:
         """The words of candidates of ``k`` words by place."""
@@ -321,12 +378,15 @@ def phrase_counts(documents: DataFrame, min_count: int = MIN_COUNT, longest: int
     frequent = F.broadcast(lexicon.select("lang").distinct())
     shared = spark.sparkContext.broadcast(Vocabulary(
         lexicon.collect(), {r["lang"]: r["n"] for r in totals.join(frequent, "lang").collect()}))
-    found = materialize(candidates(docs, shared, min_count, longest, shard_words), "phrases-candidates")
+    number = sum(shared.value.totals.values())
+    buckets = int(min(MOST_BUCKETS, max(FEWEST_BUCKETS, number // BUCKET_WORDS)))
+    found = materialize(candidates(docs, shared, min_count, longest, shard_words, buckets), "phrases-candidates")
     size = found.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
     if size > limit:
         return materialize(plain_counts(docs, min_count, longest), "phrases-plain"), totals
     trie = spark.sparkContext.broadcast(Trie(found.toArrow()["phrase"].to_pylist(), longest))
-    counted = _recount(docs, shared, trie, min_count)
+    # written: one kind of Python worker at a time in an executor
+    counted = materialize(_recount(docs, shared, trie, min_count), "phrases-recounted")
     return materialize(singles.unionByName(_named(counted, shared, trie)), "phrases-counts"), totals
 
 

@@ -28,18 +28,20 @@ SPREAD = 2                       # places per word of a level's table
 BUILT = ("lang string, shard int, shards int, n int, sizes array<int>, bits binary, keys binary, lengths binary")
 
 
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every byte on, as whole numbers."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded.data, strides=(1,))
+
+
 def same_bytes(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Whether ``length`` bytes from ``at`` in ``a`` and from ``bt`` in ``b``
-    are the same, for many places at once."""
-    views = []
-    for x in (a, b):
-        padded = np.concatenate([x, np.zeros(8, np.uint8)])
-        views.append(np.ndarray(len(x) + 1, dtype="<u8", buffer=padded.data, strides=(1,)))
+    (both as ``eights``) are the same, for many places at once."""
     same = np.ones(len(at), dtype=bool)
     idx = np.flatnonzero(length > 0)
     at, bt, left = at[idx], bt[idx], length[idx]
     while len(idx):
-        diff = views[0][at] ^ views[1][bt]
+        diff = a[at] ^ b[bt]
         part = left < 8
         diff[part] &= (np.uint64(1) << (left[part].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
         same[idx[diff != 0]] = False
@@ -56,7 +58,8 @@ def numbered(words: Words) -> tuple[np.ndarray, np.ndarray]:
     rep = first[number]
     wrong = length != length[rep]
     ok = np.flatnonzero(~wrong)
-    wrong[ok] = ~same_bytes(words.data, words.start[ok], words.data, words.start[rep[ok]], length[ok])
+    data = eights(words.data)
+    wrong[ok] = ~same_bytes(data, words.start[ok], data, words.start[rep[ok]], length[ok])
     if wrong.any():                                    # different words of one hash
         seen: dict[bytes, int] = {}
         more = []
@@ -157,6 +160,7 @@ class Lexicon:
     def __init__(self, rows: list):
         rows = sorted(rows, key=lambda r: r["shard"])
         self.shards = rows[0]["shards"]
+        self.stored = None
         self.size = np.zeros((self.shards, LEVELS), dtype=np.int64)
         self.start = np.zeros((self.shards, LEVELS), dtype=np.int64)
         bits, lengths, keys, number, self.rest = [], [], [], [], {}
@@ -213,7 +217,9 @@ class Lexicon:
             length = words.end[at] - words.start[at]
             like = length == self.length[slot]
             at, slot, length = at[like], slot[like], length[like]
-            ok = same_bytes(words.data, words.start[at], self.keys, self.key_at[slot], length)
+            if self.stored is None:                    # once per worker, not in what is broadcast
+                self.stored = eights(self.keys)
+            ok = same_bytes(eights(words.data), words.start[at], self.stored, self.key_at[slot], length)
             out[at[ok]] = self.number[slot[ok]]
         if self.rest:
             longest = max(map(len, self.rest))

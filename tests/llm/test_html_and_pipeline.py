@@ -1,6 +1,8 @@
 import hashlib
 import html as html_lib
+import json
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -63,6 +65,82 @@ def test_template_text_of_a_host_is_left_out(spark):
     assert H.extract(pages.limit(0)).count() == 0
 
 
+def test_names_inside_an_article_take_only_whole_containers():
+    html = ('<article><h2 id="discussion">D</h2><section id="related-work">RW</section><section id="discussion"><p>z</p></section>'
+            '<p class="reply">R</p><div class="social-policy">S</div><div class="share-price">P</div><div class="ad-box">Buy</div>'
+            '<div id="sidebar-2">x</div><div class="cookie-notice">c</div><ul class="share-buttons"><li>s</li></ul></article>')
+    assert H.main_text(html).split("\n") == ["D", "RW", "z", "R", "S", "P"]
+
+
+def test_formulas_and_fallback_text_stay():
+    html = "<article><p>a <math><mi>x</mi><mo>=</mo></math> b</p><svg><text>S</text></svg><object>O</object><canvas>C</canvas></article>"
+    assert H.main_text(html) == "a x= b\nSOC"
+    assert H.main_text("<article>t<svg><text>un<p>rest</article>") == "tun\nrest"
+    assert H.main_text('<a b="x>y">k</a>') == "k"
+
+
+def test_hostile_pages_take_linear_time():
+    assert H.main_text("<div>" * 10_000 + "text" + "</div>" * 10_000) == "text"
+    assert json.dumps(H.wrapper_of(H.parse("<div>" * 10_000 + "text")))
+    began = time.time()
+    for html in ("<a " * 350_000, '<a ">" ' * 150_000, "<a \'" * 250_000, "<!" * 500_000, "</script" * 125_000,
+                 "<blockquote>" * 10_000 + "<li></li></x>" * 10_000, "<p class=a>" * 90_000, "&" * 1_000_000):
+        H.main_text(html)
+    assert time.time() - began < 60
+
+
+def test_the_wrapper_decides_what_is_main_text(spark):
+    """No page here can be read alike without its host's wrapper: an article
+    that is the same everywhere, a main part without article or main tags, and
+    ``main`` with template texts."""
+    def story(i):
+        return " ".join(f"w{i}x{k}" for k in range(30))
+    rows = [(i, f"http://a.example/{i}", f"<article class=about><p>About this site</p></article><div class=x><div class=y><p>{story(i)}</p>"
+                                         f"<p>{story(i + 50)}</p></div><p>Imprint</p></div>") for i in range(5)]
+    rows += [(10 + i, f"http://b.example/{i}", f"<main><p>{story(i)}</p><div class=back>Back to start</div></main><p>z{i}</p>") for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in H.extract(pages).collect()}
+    assert got == {i: f"{story(i)}\n{story(i + 50)}" for i in range(5)} | {10 + i: story(i) for i in range(5)}
+    alone = {i: H.main_text(html) for i, _, html in rows}
+    assert all(alone[i] != got[i] for i in got)
+
+
+def test_near_copies_on_a_host_are_no_template(spark):
+    rows = [(i, f"http://c.example/{i}", f"<div><p>{'same words ' * 20}</p><p>only {i} differs</p></div>") for i in range(6)]
+    got = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r["text"] == f"{('same words ' * 20).strip()}\nonly {r['page_id']} differs" for r in got)
+
+
+def test_copies_of_a_page_with_other_repeated_parts_keep_their_article(spark):
+    """The list varies within a page, not from page to page."""
+    html = "<div><i>x</i><dl><dt>a<dd>b<dt>c<dd>d</dl></div><article><p>The only paragraph</p></article>"
+    rows = [(i, "http://g.example/", html) for i in range(1, 6)] + [(9, "http://alone.example/", html)]
+    got = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert [r["text"] for r in got] == ["The only paragraph"] * 6
+
+
+def test_long_sequences_align_like_short_ones():
+    a = [[["h%d" % (k % 7), 1, 0, 0, []], False, False] for k in range(500)]
+    b = a[:200] + [[["x", 1, 0, 0, []], False, False]] + a[200:]
+    w = H._merge_kids([list(k) for k in a], [list(k) for k in b])
+    assert len(w) == 501 and [k[0][0] for k in w if k[1]] == ["x"]
+    assert H._aligned(a, b) == [(i, i + (i >= 200)) for i in range(500)]
+
+
+def test_hosts_with_many_wrappers_merge_in_a_tree(spark):
+    rows = [(i, "http://d.example/", f"<div><p>page {i} {'w' * (i % 9)}</p></div>", "u") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+    got = H.extract(pages.repartition(40)).collect()
+    assert all(r["text"] == rows[r["page_id"]][2][8:-10].strip() for r in got) and len(got) == 60
+    assert H.infer(pages.repartition(40)).count() == 1
+
+
+def test_clashing_columns_do_not_matter(spark):
+    rows = [(1, "http://e.example/", "<p>a</p>", "h", "f", "p", 3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string, rules string, part string, width long")
+    assert [r["text"] for r in H.extract(pages).collect()] == ["a"]
+
+
 def test_driver_pages_equal_a_plain_reading(spark):
     """The tables' pages have one article each; read it with a few patterns."""
     pages = table(spark, SF, "pages")

@@ -176,14 +176,41 @@ def test_fast_encoder_equals_tokenizers():
 
 def test_term_counts():
     for ids in ([], [5], [3, 3, 1, 70000, 1], [2, 2, 9]):
-        terms, counts = packing.term_counts(np.array(ids, np.uint32))
+        terms, counts = packing.term_counts([np.array(ids, np.uint32)])[0]
         assert dict(zip(terms.tolist(), counts.tolist())) == dict(Counter(ids)) and sorted(terms) == terms.tolist()
 
 
+def test_scores_equal_a_plain_bm25():
+    """All terms of the seed count, frequent or rare, however many documents
+    are used already; neighbours come in order of score."""
+    rng = np.random.default_rng(5)
+    texts = [rng.zipf(1.4, rng.integers(0, 300)).clip(1, 499).astype(np.uint32) for _ in range(300)]
+    found = packing.term_counts(texts[:200]) + packing.term_counts(texts[200:])
+    assert all(dict(zip(*np.unique(t, return_counts=True))) == dict(zip(*f)) for t, f in zip(texts, found))
+    df = np.bincount(np.concatenate([t for t, _ in found]), minlength=500)
+    docs, mean = 5000, 140.0
+    index = packing.Index([t for t, _ in found], [c for _, c in found], df, docs, mean)
+    assert 0 < len(index.dense) < len(np.flatnonzero(df))
+    unused = np.ones(300, bool)
+    for seed in range(0, 300, 7):
+        want = np.zeros(300)
+        mine = set(found[seed][0].tolist())
+        for d, (terms, counts) in enumerate(found):
+            for t, n in zip(terms.tolist(), counts.tolist()):
+                if t in mine and d != seed and unused[d]:
+                    idf = np.log(1 + (docs - df[t] + 0.5) / (df[t] + 0.5))
+                    want[d] += idf * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * counts.sum() / mean))
+        got = index.scores(seed, unused)
+        assert np.allclose(got, want, rtol=1e-4, atol=1e-5)
+        order = list(index.neighbours(seed, unused))
+        assert sorted(order) == np.flatnonzero(want).tolist() and (np.diff(got[order]) <= 0).all()
+        unused[rng.choice(300, 12)] = False
+
+
 def test_neighbours_share_terms():
     terms = [np.array([1, 2], np.uint32), np.array([2, 3], np.uint32), np.array([4], np.uint32), np.array([1, 2], np.uint32)]
     index = packing.Index(terms, [np.ones(len(t), np.uint32) for t in terms], np.bincount([1, 2, 2, 3, 4, 1, 2]), 4, 2.0)
-    found = index.neighbours(0, np.ones(4, bool)).tolist()
+    found = [int(d) for d in index.neighbours(0, np.ones(4, bool))]
     assert found == [3, 1]
 
 
@@ -194,7 +221,7 @@ def test_neighbours_by_any_shared_term():
     df = np.full(61, 2)
     df[39] = 900
     index = packing.Index(terms, [np.ones(len(t), np.uint32) for t in terms], df, 1000, 20.0)
-    assert index.neighbours(0, np.ones(4, bool)).tolist() == [1, 2]
+    assert list(index.neighbours(0, np.ones(4, bool))) == [1, 2]
 
 
 def planted_pairs(n, pairs, seed=11):

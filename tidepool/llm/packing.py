@@ -42,6 +42,7 @@ from .words import mix
 LENGTH = 1024
 END_ID = 0
 SHARD_ROWS = 4096
+DENSE = 16                       # a term in more than one of so many documents of a shard is frequent there
 RARE = 6                         # rarest terms that place a document
 SAMPLE = 100                     # places per shard that its bounds are taken from, about
 K1, B = 1.2, 0.75
@@ -110,12 +111,20 @@ class Encoder:
         return np.frombuffer(encoding._core_bpe.encode_to_tiktoken_buffer(text, set()), dtype=np.uint32)
 
 
-def term_counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ids, rising, and how often each occurs."""
-    small = ids.astype(np.uint16) if not len(ids) or ids.max() < 1 << 16 else ids.copy()
-    small.sort(kind="stable")                        # radix sort for 16 bits
-    ends = np.append(np.flatnonzero(small[1:] != small[:-1]) + 1, len(small)) if len(small) else np.zeros(0, np.int64)
-    return small[ends - 1].astype(np.uint32), np.diff(ends, prepend=0).astype(np.uint32)
+def term_counts(texts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The distinct ids of each text, rising, and how often each occurs; all
+    texts are sorted at once by (text, id)."""
+    n = np.array([len(t) for t in texts])
+    ids = np.concatenate(texts) if len(texts) else np.zeros(0, np.uint32)
+    kind = np.uint32 if len(texts) <= 256 and (not len(ids) or ids.max() < 1 << 24) else np.uint64
+    shift = kind(24 if kind is np.uint32 else 32)
+    key = np.repeat(np.arange(len(texts), dtype=kind) << shift, n) | ids.astype(kind)
+    key.sort()
+    ends = np.flatnonzero(np.append(key[1:] != key[:-1], True)) + 1 if len(key) else np.zeros(0, np.int64)
+    key, counts = key[ends - 1], np.diff(ends, prepend=0).astype(np.uint32)
+    cut = np.searchsorted(key >> shift, np.arange(len(texts) + 1, dtype=kind))
+    terms = (key & ((kind(1) << shift) - kind(1))).astype(np.uint32)
+    return [(terms[a:b], counts[a:b]) for a, b in zip(cut, cut[1:])]
 
 
 def crc(ids: np.ndarray) -> int:
@@ -136,11 +145,11 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int = LENGTH, with_i
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 out = []
-                for text in part["text"].to_pylist():
-                    ids = np.append(encode(text or ""), np.uint32(END_ID))
+                texts = [encode(text or "") for text in part["text"].to_pylist()]
+                for ids, (terms, counts) in zip(texts, term_counts(texts)):
+                    ids = np.append(ids, np.uint32(END_ID))
                     full = len(ids) // length
                     windows = [ids[i * length:(i + 1) * length] for i in range(full)]
-                    terms, counts = term_counts(ids[:-1])
                     out.append((len(ids), [crc(w) for w in windows],
                                 [w.tobytes() for w in windows] if with_ids else None,
                                 ids[full * length:].tobytes(), terms.tobytes(), counts.tobytes()))
@@ -222,7 +231,10 @@ def dealt(rows: DataFrame, df: np.ndarray, docs: int, shard_rows: int) -> DataFr
 
 
 class Index:
-    """BM25 inverted index of one shard: postings sorted by term."""
+    """BM25 inverted index of one shard.  Rare terms keep postings; the weights
+    of a term that ``1 / DENSE`` of the shard's documents have stand in a full
+    row, so a query adds rows instead of long postings.  Rows lose the columns
+    of used documents whenever a quarter of them are used."""
 
     def __init__(self, terms: list[np.ndarray], counts: list[np.ndarray], df: np.ndarray, docs: int, mean: float):
         n = np.array([len(t) for t in terms])
@@ -233,25 +245,54 @@ class Index:
         idf = np.log1p((docs - df + 0.5) / (df + 0.5)).astype(np.float32)
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[doc] / np.float32(mean)))
         order = np.argsort(term, kind="stable")
-        self.doc, self.weight = doc[order].astype(np.int32), weight[order]
+        self.rows = len(terms)
+        here = np.bincount(term, minlength=len(df)) if len(term) else np.zeros(len(df), np.int64)
+        frequent = np.flatnonzero(here * DENSE > self.rows)
+        place = np.full(len(df), -1, dtype=np.int32)
+        place[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), self.rows), dtype=np.float32)
+        at = place[term]
+        self.dense[at[at >= 0], doc[at >= 0]] = weight[at >= 0]
+        self.columns = np.arange(self.rows)
+        order = order[at[order] < 0]
+        self.doc, self.weight = doc[order], weight[order].astype(np.float64)
         self.first = np.searchsorted(term[order], np.arange(len(df) + 1))
-        self.rows, self.query = len(terms), []
+        self.frequent, self.rare = [], []
         ends = np.cumsum(n)
-        shared = np.diff(self.first)[term] > 1 if len(term) else np.zeros(0, bool)
         for a, b in zip(ends - n, ends):
-            self.query.append(term[a:b][shared[a:b]])
-
-    def neighbours(self, doc: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a term, best score first."""
-        spans = [(self.first[t], self.first[t + 1]) for t in self.query[doc]]
-        if not spans:
-            return np.zeros(0, np.int64)
-        docs = np.concatenate([self.doc[a:b] for a, b in spans])
-        score = np.bincount(docs, np.concatenate([self.weight[a:b] for a, b in spans]), self.rows)
+            t, p = term[a:b], at[a:b]
+            self.frequent.append(p[p >= 0])
+            self.rare.append(t[(p < 0) & (here[t] > 1)])
+        self.taken = np.empty((max(map(len, self.frequent), default=0), self.rows), dtype=np.float32)   # rows of a query
+
+    def scores(self, doc: int, unused: np.ndarray) -> np.ndarray:
+        """BM25 scores of the unused documents for all terms of ``doc``, itself
+        left out; 0 for the others."""
+        if 4 * np.count_nonzero(unused) < 3 * len(self.columns):
+            left = unused[self.columns]
+            self.dense, self.columns = np.ascontiguousarray(self.dense[:, left]), self.columns[left]
+            self.taken = np.empty((self.taken.shape[0], len(self.columns)), dtype=np.float32)
+        spans = list(zip(self.first[self.rare[doc]], self.first[self.rare[doc] + 1]))
+        score = (np.bincount(np.concatenate([self.doc[a:b] for a, b in spans]),
+                             np.concatenate([self.weight[a:b] for a, b in spans]), self.rows)
+                 if spans else np.zeros(self.rows))
+        score[self.columns] += np.add.reduce(
+            self.dense.take(self.frequent[doc], axis=0, out=self.taken[:len(self.frequent[doc])], mode="clip"), axis=0)
         score[~unused] = 0
         score[doc] = 0
-        found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")]
+        return score
+
+    def neighbours(self, doc: int, unused: np.ndarray):
+        """Unused documents that share a term, best score first, then in order
+        of place; found a few at a time."""
+        score = self.scores(doc, unused)
+        some = 16
+        while score.any():
+            bound = np.partition(score, -some)[-some] if some < len(score) else 0
+            found = np.flatnonzero(score >= bound) if bound > 0 else np.flatnonzero(score)
+            yield from found[np.argsort(-score[found], kind="stable")]
+            score[found] = 0
+            some *= 8
 
 
 PIECES = ("doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "

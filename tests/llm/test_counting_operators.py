@@ -137,6 +137,20 @@ def test_even_shards_and_oversized_groups():
     assert load[0] == 50 and sorted(load.values())[:3] == [40, 40, 40]
 
 
+def test_sharding_of_odd_tables(spark):
+    """Repeated rows and rows without a doc_id are put once each; an empty
+    table gives no rows."""
+    rows = [(1, "same text"), (1, "same text"), (None, "same text"), (None, None), (2, ""), (None, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.shard_documents(docs).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((d, len(t or "") + 8) for d, t in rows)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and all(0 <= k < 24 for k in slots)
+    assert sharding.shard_documents(docs.limit(0)).count() == 0
+
+
 # ---------------------------------------------------------------- packing
 
 def test_packing_round_trip(documents, odd_docs):

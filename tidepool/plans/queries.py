@@ -650,16 +650,12 @@ def q_stream_unique_visitors_hourly(spark, sf):
 
 
 def _stream_top(spark, sf, item_col, item, size, slide, count_col, where=None, tag="hot"):
-    found = {}
-
     def t(s):
-        s = harness.drop_sentinel(s.withWatermark("ts_e", "1 minute"))
+        s = harness.drop_sentinel(s)
         s = s if where is None else s.where(where)
-        counts, found["top"] = stream_ops.top_n_windows(s.select(item.alias(item_col), "ts_e"), "ts_e", item_col, size,
-                                                        slide, 3, count_col)
-        return counts
+        return s.select(item.alias(item_col), "ts_e")
     r = harness.run(_ev_stream_input(spark, sf), EV_ORDER, t, sentinel=_sentinel_row(), tag=tag,
-                    each_batch=lambda b: found["top"](b))
+                    writer=stream_ops.top_n_windows("ts_e", item_col, size, slide, 3, "1 minute", count_col))
     return r.select(_ntz("window_end"), item_col, count_col, "rank")
 
 
@@ -671,17 +667,13 @@ def q_stream_hot_items(spark, sf):
 def q_stream_hot_pages(spark, sf):
     """Hot pages from access-log lines: parse, 10 min / 5 s windows with one
     minute of disorder, top 3 per window as it closes."""
-    found = {}
     lines = access_lines(spark, sf).withColumn("ts_e", F.col("ts").cast("timestamp"))
     far = {**_sentinel_row(), "value": "10.0.0.0 -1 - 01/01/2100:00:00:00 +0000 GET /view/0"}
 
     def t(s):
-        log = files.parse_access_log(s.select("value"))
-        counts, found["top"] = stream_ops.top_n_windows(log.withWatermark("event_time", "1 minute"), "event_time", "url",
-                                                        "10 minutes", "5 seconds", 3, "view_count")
-        return counts
+        return files.parse_access_log(s.select("value")).select("url", "event_time")
     r = harness.run(lines, EV_ORDER, t, sentinel={c: far[c] for c in lines.columns}, tag="pages",
-                    each_batch=lambda b: found["top"](b))
+                    writer=stream_ops.top_n_windows("event_time", "url", "10 minutes", "5 seconds", 3, "1 minute", "view_count"))
     return r.select(_ntz("window_end"), "url", "view_count", "rank")
 
 

@@ -6,9 +6,14 @@ takes files in that order) plus, optionally, sentinel files holding one
 far-future record that moves the watermark past every real window: a bounded
 input's final flush (its own window never closes, so it never reaches an
 append-mode result).  ``run`` reads the folder with ``maxFilesPerTrigger=1``
-(one micro-batch per file), applies the streaming transform, runs it with
+(one micro-batch per file of a small table), applies the streaming transform, runs it with
 ``availableNow`` and returns the sink's content as a batch DataFrame.
 
+A micro-batch of a larger table is several files (``maxFilesPerTrigger``), so
+that all cores read it; there are at most ``BATCHES`` micro-batches, so what
+each of them costs besides its records (tasks, commits of state) does not grow
+with the table.
+
 Folders live under the session's ``spark.checkpoint.dir``, one fresh
 sub-folder per run; the staged input and the stream's checkpoint are deleted
 after the run, the sink at the end of the session.
@@ -28,6 +33,8 @@ from ..session import (chunk_rows, data_files, delete, delete_on_exit, ensure_ch
 SENTINEL = "_sentinel"
 REPLAY = "_replay"
 START_MS = 1_000_000_000_000       # modification time of the first file
+BATCHES = 16                       # most micro-batches of a replay
+FILE_BYTES = 64 << 20              # most bytes of records in a staged file, about
 
 
 def _run_dir(spark: SparkSession, tag: str) -> str:
@@ -41,25 +48,42 @@ def _files(df: DataFrame) -> int:
     return max(4, -(-df.count() // chunk_rows(df.sparkSession)))
 
 
+def _split(df: DataFrame) -> tuple[int, int]:
+    """Micro-batches of a replay, and files of each: a chunk of rows makes a
+    micro-batch, up to ``BATCHES`` of them; files hold a quarter of a chunk and
+    ``FILE_BYTES`` at most."""
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields
+            if f.dataType.typeName() in ("string", "binary")]
+    width = F.lit(8 * len(df.columns)).cast("long")
+    for c in text:
+        width = width + c
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    chunk = chunk_rows(df.sparkSession)
+    batches = max(4, min(BATCHES, -(-rows // chunk)))
+    files = max(-(-rows // max(1, chunk // 4)), -(-size // FILE_BYTES))
+    return batches, max(1, -(-files // batches))
+
+
 def stage(df: DataFrame, order: Sequence[str], n_files: int, path: str,
-          sentinel: dict | None = None) -> None:
-    """Write ``df`` as ``n_files`` files in ``order`` (plus sentinel files)."""
+          sentinel: dict | None = None, per_batch: int = 1) -> None:
+    """Write ``df`` as ``n_files`` files in ``order`` (plus sentinel files for
+    two micro-batches of ``per_batch`` files)."""
     spark = df.sparkSession
     b = df.withColumn(SENTINEL, F.lit(False))
     b.repartitionByRange(n_files, *order).sortWithinPartitions(*order).write.parquet(path)
     done = data_files(spark, path)
     set_times(spark, done, START_MS)
     if sentinel is not None:
-        # two files: the first moves the watermark, the second runs one more
-        # micro-batch in which the closed windows are emitted
+        # files of two micro-batches: the first moves the watermark, the second
+        # runs one more micro-batch in which the closed windows are emitted
         row = {c: None for c in df.columns}
         row.update(sentinel)
-        s = spark.createDataFrame([tuple(row[c] for c in df.columns)], df.schema)
-        for _ in range(2):
-            s.withColumn(SENTINEL, F.lit(True)).coalesce(1).write.mode("append").parquet(path)
-            new = [f for f in data_files(spark, path) if f not in set(done)]
-            set_times(spark, new, START_MS + 1000 * len(done))
-            done += new
+        n = 2 * per_batch
+        copies = spark.sparkContext.parallelize([tuple(row[c] for c in df.columns)] * n, n)
+        s = spark.createDataFrame(copies, df.schema)
+        s.withColumn(SENTINEL, F.lit(True)).write.mode("append").parquet(path)
+        before = set(done)
+        set_times(spark, [f for f in data_files(spark, path) if f not in before], START_MS + 1000 * len(done))
 
 
 def stage_batches(df: DataFrame, batch: str, order: Sequence[str], path: str) -> None:
@@ -73,8 +97,8 @@ def stage_batches(df: DataFrame, batch: str, order: Sequence[str], path: str) ->
     set_times(spark, [f for folder in found for f in data_files(spark, folder)], START_MS)
 
 
-def read(spark: SparkSession, path: str, schema) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path))
+def read(spark: SparkSession, path: str, schema, per_batch: int = 1) -> DataFrame:
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path))
 
 
 def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], DataFrame],
@@ -97,13 +121,16 @@ def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], Da
     spark = df.sparkSession
     root = _run_dir(spark, tag)
     src, out, ckpt = (os.path.join(root, x) for x in ("source", "sink", "checkpoint"))
-    n_files = n_files or _files(df)
+    per = 1
     if batch is None:
-        stage(df, order, n_files, src, sentinel)
+        if n_files is None:
+            batches, per = _split(df)
+            n_files = batches * per
+        stage(df, order, n_files, src, sentinel, per)
     else:
         stage_batches(df, batch, order, src)
     schema = spark.read.parquet(src).schema
-    stream = transform(read(spark, src, schema).drop(REPLAY))
+    stream = transform(read(spark, src, schema, per).drop(REPLAY))
     if writer is not None:
         q = (stream.writeStream.outputMode(mode).foreachBatch(writer(out))
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
@@ -151,17 +178,21 @@ def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], Da
 def run_join(left: DataFrame, left_order: Sequence[str], right: DataFrame,
              right_order: Sequence[str], transform: Callable[[DataFrame, DataFrame], DataFrame],
              n_files: int | None = None, tag: str = "join") -> DataFrame:
-    """Replay two tables as two streams (micro-batch i reads file i of each,
+    """Replay two tables as two streams (micro-batch i reads the i-th files of each,
     so both advance through time together), run a two-input streaming
     transform in append mode and return the sink's content."""
     spark = left.sparkSession
     root = _run_dir(spark, tag)
     lsrc, rsrc, out, ckpt = (os.path.join(root, x) for x in ("left", "right", "sink", "checkpoint"))
-    n_files = n_files or max(_files(left), _files(right))
-    stage(left, left_order, n_files, lsrc)
-    stage(right, right_order, n_files, rsrc)
-    ls = drop_sentinel(read(spark, lsrc, spark.read.parquet(lsrc).schema))
-    rs = drop_sentinel(read(spark, rsrc, spark.read.parquet(rsrc).schema))
+    lper = rper = 1
+    if n_files is None:
+        (lbatches, lper), (rbatches, rper) = _split(left), _split(right)
+        n_files = max(lbatches, rbatches)
+        lper, rper = -(-lbatches * lper // n_files), -(-rbatches * rper // n_files)
+    stage(left, left_order, n_files * lper, lsrc, per_batch=lper)
+    stage(right, right_order, n_files * rper, rsrc, per_batch=rper)
+    ls = drop_sentinel(read(spark, lsrc, spark.read.parquet(lsrc).schema, lper))
+    rs = drop_sentinel(read(spark, rsrc, spark.read.parquet(rsrc).schema, rper))
     stream = transform(ls, rs)
     q = (stream.writeStream.outputMode("append").format("parquet")
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))

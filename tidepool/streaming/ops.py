@@ -8,8 +8,8 @@ a TIMESTAMP event-time column (``withWatermark`` rejects TIMESTAMP_NTZ).
 * ``rolling_latest``    keyed rolling aggregate, update mode (latest value per
                         key per micro-batch)
 * ``distinct_per_window`` exact distinct users per window (dedup + count)
-* ``top_n_windows``     counts per (window, item), then the top N per window in
-                        each micro-batch of closed windows
+* ``top_n_windows``     foreachBatch writer: counts per (pane, item), then the
+                        top N of each window that the watermark has closed
 * ``interval_join``     stream-stream join with a time range and watermarks
 * ``late_split``        foreachBatch writer that separates late records
 * ``windows_with_lateness`` / ``revisions``  windows that stay open for late
@@ -22,12 +22,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import duration
-from ..operators import ordered
-from ..session import path_exists
+from ..operators import ordered, windows
+from ..session import delete, delete_on_exit, path_exists
 
 
 def _spec(x) -> str:
@@ -72,21 +72,59 @@ def distinct_per_window(stream: DataFrame, time_col: str, size, user_col: str,
                       out)
 
 
-def top_n_windows(stream: DataFrame, time_col: str, item_col: str, size, slide, n: int,
-                  count_col: str = "item_count"):
-    """Top ``n`` items per sliding window end, as ``(counts, top)``: the stream
-    of closed windows' counts (append mode) and the function for each
-    micro-batch of it.  A window closes with all its items in one micro-batch,
-    so the batch's ``row_number() <= n`` is its final ranking; Catalyst keeps
-    only ``n`` rows per window and task before the shuffle."""
-    counts = windowed_counts(stream, time_col, size, slide, [item_col], {count_col: F.count(F.lit(1))})
+def top_n_windows(time_col: str, item_col: str, size, slide, n: int, disorder, count_col: str = "item_count"):
+    """``writer`` of the top ``n`` items per sliding window end, for a stream of
+    ``time_col`` and ``item_col``: for a folder, a ``foreachBatch`` function.
 
-    def top(batch: DataFrame) -> DataFrame:
-        order = Window.partitionBy("window_end").orderBy(F.col(count_col).desc(), item_col)
-        return batch.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n) \
-                    .select("window_end", item_col, count_col, F.col("rank").cast("bigint").alias("rank"))
+    A record lies in ``size / slide`` windows, so counts per window would be so
+    many rows of state.  What is kept are counts per pane (one slide) and item,
+    of the panes that a window still open reaches.  Each micro-batch adds its
+    records to them; windows whose end the watermark (newest event time of
+    earlier batches less ``disorder``) has newly passed are summed from the panes
+    (``windows.sliding``), ranked and written, once.  A late record counts in
+    those of its windows that are still open.  A batch that comes again reads the
+    panes of the batch before and replaces its own.
+    """
+    size_us, slide_us = int(round(duration(size) * 1e6)), int(round(duration(slide) * 1e6))
+    wait_ms = int(round(duration(disorder) * 1000))
+
+    def writer(path: str):
+        panes, marks = (path.rstrip("/") + x for x in ("_panes", "_watermarks"))
 
-    return counts, top
+        def watermark(spark: SparkSession, batch_id: int) -> int:
+            """The watermark in a micro-batch, in microseconds."""
+            if not path_exists(spark, marks):
+                return 0
+            top = spark.read.parquet(marks).where(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+            return 0 if top is None else max(0, (top // 1000 - wait_ms) * 1000)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            spark = batch.sparkSession
+            before, now = watermark(spark, batch_id - 1), watermark(spark, batch_id)
+            us = F.unix_micros(F.col(time_col).cast("timestamp"))
+            rows = batch.where(F.col(time_col).isNotNull()).select(
+                (us - F.pmod(us, F.lit(slide_us))).alias("pane"), F.col(item_col), us.alias("us"))
+            rows = rows.groupBy("pane", item_col).agg(F.count(F.lit(1)).alias("n"), F.max("us").alias("newest"))
+            earlier = f"{panes}/batch_id={batch_id - 1}"
+            if path_exists(spark, earlier):
+                kept = spark.read.parquet(earlier).where(F.col("pane") + F.lit(size_us) > F.lit(before))
+                rows = rows.unionByName(kept).groupBy("pane", item_col).agg(F.sum("n").alias("n"), F.max("newest").alias("newest"))
+            here = f"{panes}/batch_id={batch_id}"
+            rows.write.mode("overwrite").parquet(here)
+            rows = spark.read.parquet(here)
+            rows.agg(F.max("newest").alias("newest")).write.mode("overwrite").parquet(f"{marks}/batch_id={batch_id}")
+            counts = windows.sliding(rows.select(F.timestamp_micros("pane").alias("pane"), item_col, "n"), "pane",
+                                     size, slide, [item_col], {count_col: ("sum", "n")})
+            end = F.unix_micros("window_end")
+            closed = counts.where((end > F.lit(before)) & (end <= F.lit(now)))
+            top = windows.top_n_per_window(closed, "window_end", count_col, n, [item_col])
+            top.select("window_end", item_col, count_col, F.col("rank").cast("bigint").alias("rank")) \
+               .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            delete(spark, f"{panes}/batch_id={batch_id - 2}")
+            for kept in (panes, marks):
+                delete_on_exit(spark, kept)
+        return write
+    return writer
 
 
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_time: str,

@@ -1,8 +1,11 @@
 """Keyed state and timers through ``transformWithStateInPandas``.
 
 ``stateful_rule(stream, keys, processor, schema)`` runs a
-``StatefulProcessor`` per key with value, list and map state and event-time
-timers (state lives in the RocksDB state store on the executors).
+``StatefulProcessor`` with value, list and map state and event-time timers
+(state lives in the RocksDB state store on the executors).  Every access to
+state is a round trip between Python and the store, so a
+``BucketProcessor`` is run per bucket of keys and keeps the entries of a
+bucket's keys together; others are run per key.
 
 * ``RisingAlertProcessor`` — the rising-value alert: value state for the
   previous value, the due time and the last value; an event-time timer per
@@ -12,17 +15,19 @@ timers (state lives in the RocksDB state store on the executors).
 * ``TimesProcessor``       — list states: records that wait for the watermark
   and the open repetitions of ``begin(a).next(b).times(lo, hi)``.
 * ``ArrivalWindowProcessor`` — processing-time windows: a timer per window.
-* ``SeenItemsProcessor``   — list state (the key's values in arrival order)
+* ``SeenItemsProcessor``   — list state (the keys' values in arrival order)
   and map state (value -> count): emits, per record, how many times its
   value was seen for the key and how many records the key has.
 """
 
 from __future__ import annotations
 
+import pickle
 import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.timecols import duration
-from .rules import _in_order
+from .rules import BUCKET, _in_order, factorize, split_keys, with_buckets
 
 
 @contextmanager
@@ -52,12 +57,49 @@ def rocksdb(spark: SparkSession):
 def stateful_rule(stream: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
                   schema: T.StructType, output_mode: str = "append",
                   time_mode: str = "EventTime") -> DataFrame:
-    """Run ``processor`` per key (``transformWithStateInPandas``)."""
+    """Run ``processor`` per key, a ``BucketProcessor`` per bucket of keys
+    (``transformWithStateInPandas``)."""
+    if isinstance(processor, BucketProcessor):
+        if len(keys) != 1:
+            raise ValueError("a BucketProcessor takes one key column")
+        processor.key_col = PACKED_KEY
+        stream = with_buckets(stream, keys).withColumn(PACKED_KEY, F.col(keys[0]).cast("string"))
+        keys = [BUCKET]
     return stream.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode=output_mode,
         timeMode=time_mode)
 
 
+PACKED_KEY = "packed_key"          # pandas rows rename columns that begin with _
+
+
+class BucketProcessor(StatefulProcessor):
+    """A processor whose group is a bucket of keys.  The key of a record is the
+    string in ``key_col`` ("None" for a null)."""
+
+    key_col = PACKED_KEY
+
+    def keys_of(self, pdf: pd.DataFrame) -> pd.Series:
+        return pdf[self.key_col].fillna("None")
+
+    def close(self) -> None:
+        pass
+
+
+PACKED = T.StructType([T.StructField("packed", T.BinaryType())])
+
+
+def _load(state, default):
+    return pickle.loads(state.get()[0]) if state.exists() else default
+
+
+def _store(state, value) -> None:
+    if value:
+        state.update((pickle.dumps(value, pickle.HIGHEST_PROTOCOL),))
+    else:
+        state.clear()
+
+
 ALERT_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
                              T.StructField("fire_time", T.TimestampType()),
                              T.StructField("last_value", T.DoubleType())])
@@ -122,43 +164,52 @@ SEEN_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField(
                             T.StructField("records", T.LongType())])
 
 
-class SeenItemsProcessor(StatefulProcessor):
-    """List state of the key's values and a map value -> count."""
+class SeenItemsProcessor(BucketProcessor):
+    """List state of the keys' values and a map value -> count per key: the
+    records of the keys of a bucket are a value state, a value's counts per key
+    an entry of the map state."""
 
     def __init__(self, seq: str, value: str):
         self.seq, self.value = seq, value
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", T.StructType([T.StructField("n", T.LongType())]))
-        self.items = handle.getListState("items", T.StructType([T.StructField("v", T.StringType())]))
-        self.counts = handle.getMapState("counts", T.StructType([T.StructField("v", T.StringType())]),
-                                         T.StructType([T.StructField("n", T.LongType())]))
+        self.total = handle.getValueState("total", PACKED)
+        self.items = handle.getListState("items", T.StructType([T.StructField("k", T.StringType()),
+                                                                T.StructField("v", T.StringType())]))
+        self.counts = handle.getMapState("counts", T.StructType([T.StructField("v", T.StringType())]), PACKED)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.seq)
-        n_records = int(self.total.get()[0]) if self.total.exists() else 0
-        out = []
-        for s, v in zip(pdf[self.seq], pdf[self.value].astype(str)):
-            seen = self.counts.getValue((v,))[0] + 1 if self.counts.containsKey((v,)) else 1
-            self.counts.updateValue((v,), (seen,))
-            self.items.appendValue((v,))
-            n_records += 1
-            out.append((str(key[0]), int(s), v, seen, n_records))
-        self.total.update((n_records,))
-        yield pd.DataFrame(out, columns=["key", "seq", "value", "times_seen", "records"])
-
-    def close(self) -> None:
-        pass
+        pdf = pd.concat([p.assign(**{self.key_col: self.keys_of(p)}) for p in rows], ignore_index=True)
+        pdf = pdf.sort_values([self.key_col, self.seq])
+        names, values = pdf[self.key_col].tolist(), pdf[self.value].astype(str).tolist()
+        total = _load(self.total, {})
+        counts = {}
+        for v in set(values):
+            counts[v] = pickle.loads(self.counts.getValue((v,))[0]) if self.counts.containsKey((v,)) else {}
+        seen, records = [], []
+        for k, v in zip(names, values):
+            of = counts[v]
+            of[k] = of.get(k, 0) + 1
+            total[k] = total.get(k, 0) + 1
+            seen.append(of[k])
+            records.append(total[k])
+        for v, of in counts.items():
+            self.counts.updateValue((v,), (pickle.dumps(of, pickle.HIGHEST_PROTOCOL),))
+        self.items.appendList(list(zip(names, values)))
+        _store(self.total, total)
+        yield pd.DataFrame({"key": names, "seq": pdf[self.seq].astype("int64").to_numpy(), "value": values,
+                            "times_seen": seen, "records": records})
 
 
 TIMER_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
                              T.StructField("fire_time", T.TimestampType())])
 
 
-class TimerEachProcessor(StatefulProcessor):
+class TimerEachProcessor(BucketProcessor):
     """A timer at every record's event time + delay; timers of one key at the
-    same time are one timer.  The engine's timers count milliseconds, so a map
-    state holds the exact microseconds due in each of them."""
+    same time are one timer.  A bucket's pending timers, keys and exact
+    microseconds, are a value state in order of time; the engine's timer, which
+    counts milliseconds, is set to the earliest of them."""
 
     def __init__(self, time_col: str, delay):
         self.time_col = time_col
@@ -166,31 +217,41 @@ class TimerEachProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        ms = T.StructType([T.StructField("ms", T.LongType())])
-        self.due = handle.getMapState("due", ms, T.StructType([T.StructField("us", T.ArrayType(T.LongType()))]))
+        self.due = handle.getValueState("due", PACKED)
+        self.next = handle.getValueState("next", T.StructType([T.StructField("ms", T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            us = pdf[self.time_col].astype("datetime64[us]").astype("int64") + self.delay_us
-            by_ms: dict[int, set[int]] = {}
-            for t in us:
-                by_ms.setdefault(-(-int(t) // 1000), set()).add(int(t))
-            for ms, times in by_ms.items():
-                if self.due.containsKey((ms,)):
-                    times |= set(self.due.getValue((ms,))[0])
-                else:
-                    self.handle.registerTimer(ms)
-                self.due.updateValue((ms,), (sorted(times),))
-        return iter([])
+        new = [pd.DataFrame({"us": p[self.time_col].astype("datetime64[us]").astype("int64") + self.delay_us,
+                             "key": self.keys_of(p)}) for p in rows]
+        yield from self._fire(timerValues, new)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        ms = expiredTimerInfo.getExpiryTimeInMs()
-        times = list(self.due.getValue((ms,))[0]) if self.due.containsKey((ms,)) else [ms * 1000]
-        self.due.removeKey((ms,))
-        yield pd.DataFrame([(str(key[0]), pd.Timestamp(t, unit="us")) for t in times], columns=["key", "fire_time"])
-
-    def close(self) -> None:
-        pass
+        self.next.clear()
+        yield from self._fire(timerValues, [])
+
+    def _fire(self, timerValues, new: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Emits what the watermark has passed and sets the timer for the rest."""
+        us, names = _load(self.due, (np.empty(0, dtype="int64"), []))
+        due = pd.concat([pd.DataFrame({"us": us, "key": names}), *new]) if len(us) else pd.concat(new) if new else None
+        if due is None:
+            return
+        due = due.drop_duplicates().sort_values("us", kind="stable")
+        us, names = due["us"].to_numpy(dtype="int64"), due["key"].tolist()
+        # a timer's millisecond is the first at or after its time
+        n = int(np.searchsorted(us, timerValues.getCurrentWatermarkInMs() * 1000, side="right"))
+        _store(self.due, (us[n:], names[n:]) if n < len(us) else None)
+        before = int(self.next.get()[0]) if self.next.exists() else None
+        ms = -(-int(us[n]) // 1000) if n < len(us) else None
+        if before != ms:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            if ms is None:
+                self.next.clear()
+            else:
+                self.handle.registerTimer(ms)
+                self.next.update((ms,))
+        if n:
+            yield pd.DataFrame({"key": names[:n], "fire_time": us[:n].astype("datetime64[us]")})
 
 
 FIRST_SCHEMA = T.StructType([T.StructField("us", T.LongType()), T.StructField("seq", T.LongType()),
@@ -243,7 +304,7 @@ TIMES_SCHEMA = T.StructType([T.StructField("key", T.LongType()), T.StructField("
                              T.StructField("k", T.IntegerType()), T.StructField("ids", T.ArrayType(T.LongType()))])
 
 
-class TimesProcessor(StatefulProcessor):
+class TimesProcessor(BucketProcessor):
     """``begin(a).next(b).times(lo, hi).within(t)``: a ``b`` record right after
     an ``a`` record begins a repetition, later ``b`` records go on with it (others
     are skipped).  One row per length from ``lo`` to ``hi`` reached less than
@@ -251,8 +312,9 @@ class TimesProcessor(StatefulProcessor):
 
     The order inside a key is (time, seq): records wait in a list state until
     the watermark passes them, so a record that comes late but accepted takes
-    its place.  Each open repetition is an entry of a second list state and
-    closes at its own length or bound."""
+    its place.  A list entry holds the records of one micro-batch and bucket.
+    The open repetitions and the last record of every key are a value state;
+    each repetition closes at its own length or bound."""
 
     def __init__(self, time_col: str, seq: str, first: str, repeated: str, lo: int, hi: int, within):
         self.time_col, self.seq, self.first, self.repeated = time_col, seq, first, repeated
@@ -260,44 +322,39 @@ class TimesProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        record = T.StructType([T.StructField("us", T.LongType()), T.StructField("id", T.LongType()),
-                               T.StructField("a", T.BooleanType()), T.StructField("b", T.BooleanType())])
-        run = T.StructType([T.StructField("id", T.LongType()), T.StructField("us", T.LongType()),
-                            T.StructField("ids", T.ArrayType(T.LongType()))])
-        self.waiting = handle.getListState("waiting", record)
-        self.open = handle.getListState("open", run)
-        self.last = handle.getValueState("last", record)
+        self.waiting = handle.getListState("waiting", PACKED)
+        self.open = handle.getValueState("open", PACKED)
         self.due = handle.getValueState("due", T.StructType([T.StructField("ms", T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = []
         for p in rows:
             us = p[self.time_col].astype("datetime64[us]").astype("int64")
-            new += zip(us.tolist(), p[self.seq].tolist(), p[self.first].tolist(), p[self.repeated].tolist())
+            new += zip(us.tolist(), map(int, p[self.seq].tolist()), map(bool, p[self.first].tolist()),
+                       map(bool, p[self.repeated].tolist()), self.keys_of(p).tolist())
         if new:
-            self.waiting.appendList([(int(u), int(i), bool(a), bool(b)) for u, i, a, b in new])
-        yield from self._pass(key, timerValues, min((r[0] for r in new), default=None))
+            self.waiting.appendValue((pickle.dumps(new, pickle.HIGHEST_PROTOCOL),))
+        yield from self._pass(timerValues, min((r[0] for r in new), default=None))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.due.clear()
-        yield from self._pass(key, timerValues, None)
+        yield from self._pass(timerValues, None)
 
-    def _pass(self, key, timerValues, earliest) -> Iterator[pd.DataFrame]:
+    def _pass(self, timerValues, earliest) -> Iterator[pd.DataFrame]:
         """Takes the records that the watermark has passed, in order."""
         mark = timerValues.getCurrentWatermarkInMs() * 1000
         due = int(self.due.get()[0]) if self.due.exists() else None
         if earliest is not None and earliest > mark and due is not None and due <= earliest // 1000 + 1:
             return                                    # nothing to take, and the timer is early enough
-        waiting = sorted(tuple(r) for r in self.waiting.get())
+        waiting = sorted(r for entry in self.waiting.get() for r in pickle.loads(entry[0]))
         ready = [r for r in waiting if r[0] <= mark]
         if ready:
-            rest = waiting[len(ready):]
-            if rest:
-                self.waiting.put(rest)
+            waiting = waiting[len(ready):]
+            if waiting:
+                self.waiting.put([(pickle.dumps(waiting, pickle.HIGHEST_PROTOCOL),)])
             else:
                 self.waiting.clear()
-            waiting = rest
-            yield from self._walk(key, ready, mark)
+            yield from self._walk(ready, mark)
         if waiting:
             ms = waiting[0][0] // 1000 + 1
             if due != ms:
@@ -306,36 +363,32 @@ class TimesProcessor(StatefulProcessor):
                 self.handle.registerTimer(ms)
                 self.due.update((ms,))
 
-    def _walk(self, key, ready, mark) -> Iterator[pd.DataFrame]:
-        last = tuple(self.last.get()) if self.last.exists() else None
-        runs = [(int(r[0]), int(r[1]), list(r[2])) for r in self.open.get()]
+    def _walk(self, ready, mark) -> Iterator[pd.DataFrame]:
+        # key -> (last record was an ``a``: its id and time, open repetitions)
+        state = _load(self.open, {})
         out = []
-        for us, rid, a, b in ready:
+        for us, rid, a, b, k in ready:
+            start, runs = state.get(k, (None, ()))
             if b:
                 kept = []
-                if last is not None and last[2]:
-                    runs.append((int(last[1]), int(last[0]), []))
-                for start, since, ids in runs:
+                for begun, since, ids in ([*runs, (*start, [])] if start is not None else runs):
                     if us - since < self.within_us:
                         ids = [*ids, rid]
                         if len(ids) >= self.lo:
-                            out.append((int(key[0]), start, len(ids), ids))
+                            out.append((None if k == "None" else int(k), begun, len(ids), ids))
                         if len(ids) < self.hi:
-                            kept.append((start, since, ids))
+                            kept.append((begun, since, ids))
                 runs = kept
-            last = (us, rid, a, b)
-        self.last.update(last)
-        runs = [r for r in runs if mark - r[1] < self.within_us]
-        if runs:
-            self.open.put(runs)
-        else:
-            self.open.clear()
+            state[k] = ((rid, us) if a else None, runs)
+        left = {}
+        for k, (start, runs) in state.items():
+            runs = [r for r in runs if mark - r[1] < self.within_us]
+            if start is not None or runs:
+                left[k] = (start, runs)
+        _store(self.open, left)
         if out:
             frame = pd.DataFrame(out, columns=["key", "first_id", "k", "ids"])
-            yield frame.astype({"k": "int32"})
-
-    def close(self) -> None:
-        pass
+            yield frame.astype({"key": "Int64", "k": "int32"})
 
 
 ARRIVAL_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("window_start", T.TimestampType()),

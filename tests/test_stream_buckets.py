@@ -161,8 +161,8 @@ def test_micro_batches_do_not_grow_in_number(spark, monkeypatch):
 
 def test_join_with_several_files_a_batch(spark, monkeypatch):
     monkeypatch.setattr(harness, "FILE_BYTES", 500)
-    left = spark.range(200).select("id", F.timestamp_seconds(F.col("id") * 60).alias("lt"))
-    right = spark.range(200).select(F.col("id").alias("rid"), F.timestamp_seconds(F.col("id") * 60 + 30).alias("rt"))
+    left = spark.range(200).select("id", F.timestamp_seconds(F.col("id") * 60 + 10 ** 9).alias("lt"))
+    right = spark.range(200).select(F.col("id").alias("rid"), F.timestamp_seconds(F.col("id") * 60 + 10 ** 9 + 30).alias("rt"))
     out = harness.run_join(left, ["lt"], right, ["rt"], lambda a, b: ops.interval_join(
         a.withWatermark("lt", "1 hour"), b.withWatermark("rt", "1 hour"), "id", "rid", "lt", "rt", "-1 minutes", "1 minutes"))
     assert sorted(r["rid"] for r in out.collect()) == list(range(200))

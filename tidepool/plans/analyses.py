@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import joins, patterns, rolling, transforms, windows
+from ..operators import joins, patterns, rolling, texts, transforms, windows
 
 
 def word_count(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -27,16 +27,10 @@ def word_count_rolling(docs: DataFrame, id_col: str, text_col: str) -> DataFrame
     """Bounded-stream word count: after every token, the running count of its
     word, tokens in (document, line, position) order (1-based positions).
 
-    The per-word running count is a chunked scan, so a very common word is
-    split across tasks instead of landing in one."""
-    lines = docs.select(id_col, F.posexplode(F.split(text_col, "\n")).alias("line_no", "value"))
-    only_sep = (F.length("value") > 0) & (F.length(F.rtrim("value")) == 0)
-    toks = lines.where(~only_sep).select(
-        id_col, (F.col("line_no") + 1).cast("bigint").alias("line_no"),
-        F.posexplode(transforms.split_tokens(F.col("value"))).alias("token_pos", "word"))
-    toks = toks.withColumn("token_pos", (F.col("token_pos") + 1).cast("bigint"))
-    r = rolling.rolling_count(toks, ["word"], [id_col, "line_no", "token_pos"])
-    return r.select(id_col, "line_no", "token_pos", "word", F.col("count").cast("bigint").alias("count"))
+    Words are counted per block of documents and each block is read in order
+    from what the blocks before have, so no token is shuffled and a very
+    common word is split across tasks (``operators.texts``)."""
+    return texts.running_word_count(docs, id_col, text_col)
 
 
 def page_views(events: DataFrame, behavior_col: str, pv_value: str = "pv",

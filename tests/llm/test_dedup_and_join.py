@@ -1,6 +1,9 @@
 import hashlib
+import tracemalloc
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +132,59 @@ def test_join_chain_without_hub(spark):
     assert got == want and len(set(want.values())) == 1
 
 
+def _traced(f, *args):
+    """The result, and the most bytes that numpy and Python held on the way."""
+    tracemalloc.start()
+    try:
+        return f(*args), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_join_holds_the_words_of_a_piece_only(spark, monkeypatch):
+    class Docs:                                          # hands out the function that runs in the workers
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    class Context:
+        get = classmethod(lambda cls: cls)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(ngram_join, "TaskContext", Context)
+    texts = [None, "", *[" ".join(f"w{i}x{j}" for j in range(400)) for i in range(1100)], "a B c", None]
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
+    total = sum(len(t or "") for t in texts)
+    assert 6 * ngram_join.BLOCK < total < 4 << 20        # one block, several pieces
+    run = ngram_join._from_texts(Docs(), 5, 7)
+    out, most = _traced(lambda: list(run([batch])))
+    assert most < 16 * total, (most, total)
+    table = pa.Table.from_batches(out)
+    assert len(table) == 8
+    found = {(i, int(g)) for r in table.to_pylist() if r["gram"] for i, g in
+             zip(ngram_join._rows(r["row"], len(r["gram"]) // ngram_join.SHORT), ngram_join._grams(r["gram"], 0))}
+    data = "".join(t or "" for t in texts).encode()
+    offsets = np.cumsum([0, *[len(t or "") for t in texts]])
+    row, gram = ngram_join.shingles(np.frombuffer(data, np.uint8), offsets, 5)
+    low = gram & np.uint64((1 << 8 * ngram_join.SHORT) - 1)
+    assert found == set(zip(row.tolist(), low.tolist())) and len(found) == 1100 * 396 + 1
+
+
+@pytest.mark.parametrize("piece", [1, 100, 1 << 30])
+def test_join_does_not_depend_on_pieces(piece, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PIECE", piece)
+    texts = ["", "a b c d e f", "", "A b", passage(1, 50), passage(1, 50) + " " + passage(1, 50), "", ""]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *[len(t) for t in texts]])
+    row, gram, n, s1, s2 = ngram_join._block(data, offsets, 4)
+    row0, gram0 = ngram_join.shingles(data, offsets, 4)
+    assert row.tolist() == row0.tolist() and gram.tolist() == gram0.tolist()
+    for a, b in zip((n, s1, s2), ngram_join._signature(row0, gram0, len(texts))):
+        assert a.tolist() == b.tolist()
+
+
 def test_distinct_keeps_one_of_each_group(documents, odd_docs):
     got = sorted(r["doc_id"] for r in ngram_join.distinct(documents).collect())
     want = brute_components(odd_docs)

@@ -43,6 +43,7 @@ N = 4
 THRESHOLD = 85                   # percent
 FRAGMENT = 1 << 18               # n-grams per fragment, about
 BLOCK = 1 << 16                  # rows per block at most: 16-bit row numbers
+PIECE = 1 << 19                  # bytes of a block's texts whose words are held at once
 SHORT = 5                        # bytes of a hash that travel; its fragment gives the rest
 CUTS = 4
 HUBS = (4, 32)
@@ -130,6 +131,26 @@ def _signature(row: np.ndarray, gram: np.ndarray, rows: int):
     return n, s1.view(np.int64), s2.view(np.int64)
 
 
+def _pieces(offsets: np.ndarray):
+    """``(first row, end row)`` of runs with at most ``PIECE`` bytes (one row at least)."""
+    a = 0
+    while a < len(offsets) - 1:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + PIECE, side="right")) - 1)
+        yield a, b
+        a = b
+
+
+def _block(data: np.ndarray, offsets: np.ndarray, n: int):
+    """``row, gram, n, s1, s2`` of a block's texts.  Words and their temporary
+    arrays take some 100 bytes a word, so they are made for one piece at a time;
+    10 bytes an n-gram stay."""
+    parts = []
+    for a, b in _pieces(offsets):
+        row, gram = shingles(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], n)
+        parts.append(((row + a).astype(np.uint16), gram, *_signature(row, gram, b - a)))
+    return [np.concatenate(p) for p in zip(*parts)]
+
+
 def _from_texts(documents: DataFrame, n: int, fragments: int) -> DataFrame:
     def run(batches):
         unit = TaskContext.get().partitionId() << 24
@@ -138,8 +159,7 @@ def _from_texts(documents: DataFrame, n: int, fragments: int) -> DataFrame:
                 for lo in range(a, b, BLOCK):
                     hi = min(b, lo + BLOCK)
                     off = offsets[lo - a:hi - a + 1]
-                    row, gram = shingles(data[off[0]:off[-1]], off - off[0], n)
-                    count, s1, s2 = _signature(row, gram, hi - lo)
+                    row, gram, count, s1, s2 = _block(data[off[0]:off[-1]], off - off[0], n)
                     yield from _pack(unit, batch["id"].slice(lo, hi - lo).to_pylist(), count, s1, s2, row, gram, fragments)
                     unit += 1
 
@@ -177,7 +197,7 @@ def _regroup(table: pa.Table, threshold: int) -> pa.Table:
     parts = [r for r in rows if r["gram"] is not None]
     freqs = [np.frombuffer(r["freq"], np.uint8) for r in parts]
     freq = np.concatenate(freqs or [np.zeros(0, np.uint8)])
-    row = np.concatenate([_rows(r["row"], len(f)) for r, f in zip(parts, freqs)] or [np.zeros(0, np.int64)])
+    row = np.concatenate([_rows(r["row"], len(f)).astype(np.uint16) for r, f in zip(parts, freqs)] or [np.zeros(0, np.uint16)])
     gram = np.concatenate([_grams(r["gram"], r["frag"]) for r in parts] or [np.zeros(0, np.uint64)])
     shared = np.bincount(row, minlength=len(ids))
     alive = (shared * 100 >= threshold * n) & (n > 0)
@@ -185,13 +205,13 @@ def _regroup(table: pa.Table, threshold: int) -> pa.Table:
     row, gram, freq = row[keep], gram[keep], freq[keep]
     order = np.lexsort((gram, freq, row))
     row, gram, freq = row[order], gram[order].view(np.int64), freq[order].astype(np.int32)
-    first = np.searchsorted(row, np.arange(len(ids) + 1))
-    grams = [gram[a:b] if ok else None for a, b, ok in zip(first, first[1:], alive)]
-    freqs = [freq[a:b] if ok else None for a, b, ok in zip(first, first[1:], alive)]
+    first = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(ids)))]).astype(np.int32))
+    few = pa.array(~alive)
+    grams = pa.ListArray.from_arrays(first, pa.array(gram), mask=few)
+    freqs = pa.ListArray.from_arrays(first, pa.array(freq), mask=few)
     return pa.table([pa.array(ids, pa.int64()), pa.array(n, pa.int32()),
                      pa.array(np.frombuffer(head["s1"], np.int64)), pa.array(np.frombuffer(head["s2"], np.int64)),
-                     pa.array((n - shared).astype(np.int32)), pa.array(grams, pa.list_(pa.int64())),
-                     pa.array(freqs, pa.list_(pa.int32()))],
+                     pa.array((n - shared).astype(np.int32)), grams, freqs],
                     names=[c.split()[0] for c in SETS.split(", ")])
 
 

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,6 +272,75 @@ def test_planted_neighbours_are_met_at_any_size(spark):
     assert small > 0.3 and large > 0.3, (small, large)
 
 
+def long_and_short(spark, n=300):
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 900, 900 if i % 5 == 0 else 20))) for i in range(n)]
+    return spark.createDataFrame([*rows, (n, None), (n + 1, "")], "doc_id long, text string").repartition(3)
+
+
+def test_rows_of_the_shuffle_are_small(spark):
+    """Two bytes a token, and terms only of documents with full windows."""
+    path = packing.default_tokenizer()
+    kind = packing.id_type(path)
+    assert kind.itemsize == 2
+    rows = packing.tokenized(long_and_short(spark), path, kind)
+    df, docs, _ = packing.document_frequencies(rows, kind)
+    whole = 0
+    for r in packing.to_shards(packing.dealt(rows, df, docs, 4, kind), 4).collect():
+        full = len(r["full_crc"])
+        assert len(r["tail"]) == 2 * (r["n_tokens"] - 1024 * full)
+        assert (r["terms"] is None) == (r["counts"] is None) == (full == 0)
+        whole += full == 0
+        if full:
+            assert len(r["counts"]) in (len(r["terms"]) // 2, len(r["terms"]))
+    assert 0 < whole < docs
+
+
+def test_partitions_hold_equal_numbers_of_shards(spark):
+    path = packing.default_tokenizer()
+    kind = packing.id_type(path)
+    rows = packing.tokenized(long_and_short(spark), path, kind)
+    df, docs, _ = packing.document_frequencies(rows, kind)
+    held = packing.to_shards(packing.dealt(rows, df, docs, 24, kind), 8).groupBy(F.spark_partition_id()).agg(F.countDistinct("shard"))
+    assert [n for _, n in held.collect()] == [3] * 8
+
+
+def test_ids_of_two_or_four_bytes_give_the_same_pieces(spark, monkeypatch):
+    docs = long_and_short(spark).localCheckpoint()
+    few = packing.pack(docs, length=256, shard_rows=40, with_ids=True).collect()
+    monkeypatch.setattr(packing, "id_type", lambda path: np.dtype("<u4"))
+    many = packing.pack(docs, length=256, shard_rows=40, with_ids=True).collect()
+    assert sorted(map(tuple, few)) == sorted(map(tuple, many)) and len(few) > 302
+
+
+def test_id_type_of_a_large_vocabulary(tmp_path):
+    from tokenizers import Tokenizer, models
+    for n, size in ((1 << 16, 2), ((1 << 16) + 1, 4)):
+        Tokenizer(models.WordLevel({f"w{i}": i for i in range(n)}, unk_token="w0")).save(str(tmp_path / "t.json"))
+        assert packing.id_type(str(tmp_path / "t.json")).itemsize == size
+
+
+def test_narrow_counts():
+    for counts, size in (([], 0), ([1, 255], 1), ([1, 256], 2), ([7, 1 << 16], 4)):
+        kept = packing.narrow(np.array(counts, np.uint32))
+        assert len(kept) == size * len(counts) and packing.wide(kept, len(counts)).tolist() == counts
+
+
+def test_shards_over_batches():
+    batches = [pa.record_batch([pa.array(s, pa.int64()), pa.array(v)], names=["shard", "v"])
+               for s, v in (([1, 1, 4], [0, 1, 2]), ([4, 4], [3, 4]), ([], pa.array([], pa.int64())), ([4, 6, 9], [5, 6, 7]))]
+    assert [(s, t["v"].to_pylist()) for s, t in packing.by_shard(batches)] == [(1, [0, 1]), (4, [2, 3, 4, 5]), (6, [6]), (9, [7])]
+    assert list(packing.by_shard([])) == []
+
+
+def test_tokenizers_is_loaded_when_a_text_needs_it():
+    encode = packing.Encoder(packing.default_tokenizer())
+    encode("a plain text")
+    assert "slow" not in vars(encode)
+    assert len(encode("z" * 25000)) and "slow" in vars(encode)
+    assert packing.encoder(packing.default_tokenizer()) is packing.encoder(packing.default_tokenizer())
+
+
 # ----------------------------------------------------------- quality rules
 
 def test_statistics_and_verdicts(documents, odd_docs):

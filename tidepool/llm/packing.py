@@ -17,7 +17,11 @@ short.
 Ids come from a ``tokenizers`` file.  When its merges are numbered in order
 (checked), texts are encoded by ``tiktoken`` with ranks read from the same
 file, which gives the same ids faster; texts with a very long word go through
-``tokenizers`` itself.  A special token's string in a text is ordinary text.
+``tokenizers`` itself, loaded when the first one comes.  A special token's string
+in a text is ordinary text.  Ids are stored in two bytes when the vocabulary
+allows, counts in as few as they need, and only documents with full windows send
+their terms to the shard: those of the others are counted from the tail there.
+Shards are dealt to partitions by their number, so partitions are about equal.
 
 Defined cases: a null text is an empty one (its only token is the end id);
 repeated rows are documents of their own; an empty table gives no rows; extra
@@ -26,6 +30,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -71,14 +76,19 @@ class Encoder:
     added)."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True          # their strings in a text are ordinary text
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.fast, self.plain = self._ranks(spec)
 
+    @functools.cached_property
+    def slow(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        slow = Tokenizer.from_file(self.path)
+        slow.encode_special_tokens = True               # their strings in a text are ordinary text
+        return slow
+
     @staticmethod
     def _ranks(spec):
         model, pre = spec["model"], spec.get("pre_tokenizer") or {}
@@ -127,6 +137,29 @@ def term_counts(texts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(terms[a:b], counts[a:b]) for a, b in zip(cut, cut[1:])]
 
 
+@functools.lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """The ``Encoder`` of a file, read once per Python worker."""
+    return Encoder(path)
+
+
+def id_type(path: str) -> np.dtype:
+    """The type that ids of a ``tokenizers`` file are stored in."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    return np.dtype("<u2" if max(Tokenizer.from_file(path).get_vocab().values(), default=0) < 1 << 16 else "<u4")
+
+
+def narrow(counts: np.ndarray) -> bytes:
+    """Counts as unsigned integers of as few bytes as the largest needs."""
+    return counts.astype(np.min_scalar_type(counts.max(initial=0)).newbyteorder("<")).tobytes()
+
+
+def wide(counts: bytes, n: int) -> np.ndarray:
+    """The ``n`` counts of ``narrow``."""
+    return np.frombuffer(counts, f"<u{len(counts) // n}").astype(np.uint32) if n else np.zeros(0, np.uint32)
+
+
 def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -135,24 +168,25 @@ TOKENS = ("row long, doc_id long, n_tokens long, full_crc array<long>, full_ids
           "terms binary, counts binary")
 
 
-def tokenized(documents: DataFrame, tokenizer: str, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
+def tokenized(documents: DataFrame, tokenizer: str, kind: np.dtype, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
     """One row per document: checksums (and ids) of its full windows, its tail
-    and its terms with their counts.  Written once; ``row`` is unique."""
+    and its terms (ids as ``kind``) with their counts.  Written once; ``row`` is
+    unique."""
 
     def run(batches):
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 out = []
                 texts = [encode(text or "") for text in part["text"].to_pylist()]
                 for ids, (terms, counts) in zip(texts, term_counts(texts)):
-                    ids = np.append(ids, np.uint32(END_ID))
+                    ids = np.append(ids, np.uint32(END_ID)).astype(kind)
                     full = len(ids) // length
                     windows = [ids[i * length:(i + 1) * length] for i in range(full)]
                     out.append((len(ids), [crc(w) for w in windows],
                                 [w.tobytes() for w in windows] if with_ids else None,
-                                ids[full * length:].tobytes(), terms.tobytes(), counts.tobytes()))
+                                ids[full * length:].tobytes(), terms.astype(kind).tobytes(), narrow(counts)))
                 kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary(), pa.binary(), pa.binary()]
                 cols = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
                 yield pa.record_batch([part["row"], part["doc_id"], *cols],
@@ -162,7 +196,7 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int = LENGTH, with_i
     return materialize(rows.mapInArrow(run, TOKENS), "pack-tokens")
 
 
-def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int, float]:
+def document_frequencies(rows: DataFrame, kind: np.dtype) -> tuple[np.ndarray, int, float]:
     """Documents per term (an array as long as the vocabulary), number of
     documents and their mean length, over all rows."""
 
@@ -170,7 +204,7 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int, float]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             col = batch["terms"]
-            terms = np.frombuffer(b"".join(col.to_pylist()), np.uint32)
+            terms = np.frombuffer(b"".join(col.to_pylist()), kind)
             n = np.bincount(terms, minlength=len(total))
             n[:len(total)] += total
             total = n
@@ -185,22 +219,21 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int, float]:
     return df, docs, mean or 1.0
 
 
-def places(row: np.ndarray, terms: list[bytes], rank: np.ndarray) -> np.ndarray:
+def places(row: np.ndarray, terms: list[bytes], rank: np.ndarray, kind: np.dtype) -> np.ndarray:
     """What documents are ordered by: the ranks of their ``RARE`` rarest terms
     and a hash of the row, which parts equal texts, as bytes that sort alike."""
     out = np.full((len(terms), RARE + 2), NONE, dtype=">u4")
     for i, t in enumerate(terms):
-        r = rank[np.frombuffer(t, np.uint32)]
+        r = rank[np.frombuffer(t, kind)]
         r = np.sort(np.partition(r, RARE)[:RARE] if len(r) > RARE else r)
         out[i, :len(r)] = r
     out[:, RARE:] = mix(row.astype(np.uint64)).astype(">u8").view(">u4").reshape(-1, 2)
     return out.view(f"S{4 * (RARE + 2)}").ravel()
 
 
-def dealt(rows: DataFrame, df: np.ndarray, docs: int, shard_rows: int) -> DataFrame:
+def dealt(rows: DataFrame, df: np.ndarray, docs: int, shards: int, kind: np.dtype) -> DataFrame:
     """``rows`` with ``shard``: the order of ``places`` cut into equal parts.
     The cuts come from a sample by hash, so shards differ a little in size."""
-    shards = max(1, -(-docs // shard_rows))
     if shards == 1:
         return rows.withColumn("shard", F.lit(0).cast("long"))
     spark = rows.sparkSession
@@ -212,7 +245,7 @@ def dealt(rows: DataFrame, df: np.ndarray, docs: int, shard_rows: int) -> DataFr
 
     def sample(batches):
         for b in batches:
-            at = places(b["row"].to_numpy(), b["terms"].to_pylist(), sent.value)
+            at = places(b["row"].to_numpy(), b["terms"].to_pylist(), sent.value, kind)
             yield pa.record_batch([pa.array([x.ljust(4 * (RARE + 2), b"\0") for x in at.tolist()], pa.binary())],
                                   names=["place"])
 
@@ -222,12 +255,12 @@ def dealt(rows: DataFrame, df: np.ndarray, docs: int, shard_rows: int) -> DataFr
                              dtype=f"S{4 * (RARE + 2)}"))
     bounds = spark.sparkContext.broadcast(found[np.arange(1, shards) * len(found) // shards])
 
-    @F.arrow_udf("long")
-    def shard(row: pa.Array, terms: pa.Array) -> pa.Array:
-        at = places(row.to_numpy(zero_copy_only=False), terms.to_pylist(), sent.value)
-        return pa.array(np.searchsorted(bounds.value, at, side="right").astype(np.int64))
+    def shard(batches):
+        for b in batches:
+            at = places(b["row"].to_numpy(), b["terms"].to_pylist(), sent.value, kind)
+            yield b.append_column("shard", pa.array(np.searchsorted(bounds.value, at, side="right").astype(np.int64)))
 
-    return rows.withColumn("shard", shard("row", "terms"))
+    return rows.mapInArrow(shard, f"{TOKENS}, shard long")
 
 
 class Index:
@@ -253,7 +286,7 @@ class Index:
         self.dense = np.zeros((len(frequent), self.rows), dtype=np.float32)
         at = place[term]
         self.dense[at[at >= 0], doc[at >= 0]] = weight[at >= 0]
-        self.columns = np.arange(self.rows)
+        self.dense_rows, self.columns = list(self.dense), np.arange(self.rows)
         order = order[at[order] < 0]
         self.doc, self.weight = doc[order], weight[order].astype(np.float64)
         self.first = np.searchsorted(term[order], np.arange(len(df) + 1))
@@ -263,7 +296,6 @@ class Index:
             t, p = term[a:b], at[a:b]
             self.frequent.append(p[p >= 0])
             self.rare.append(t[(p < 0) & (here[t] > 1)])
-        self.taken = np.empty((max(map(len, self.frequent), default=0), self.rows), dtype=np.float32)   # rows of a query
 
     def scores(self, doc: int, unused: np.ndarray) -> np.ndarray:
         """BM25 scores of the unused documents for all terms of ``doc``, itself
@@ -271,13 +303,15 @@ class Index:
         if 4 * np.count_nonzero(unused) < 3 * len(self.columns):
             left = unused[self.columns]
             self.dense, self.columns = np.ascontiguousarray(self.dense[:, left]), self.columns[left]
-            self.taken = np.empty((self.taken.shape[0], len(self.columns)), dtype=np.float32)
+            self.dense_rows = list(self.dense)
         spans = list(zip(self.first[self.rare[doc]], self.first[self.rare[doc] + 1]))
         score = (np.bincount(np.concatenate([self.doc[a:b] for a, b in spans]),
                              np.concatenate([self.weight[a:b] for a, b in spans]), self.rows)
                  if spans else np.zeros(self.rows))
-        score[self.columns] += np.add.reduce(
-            self.dense.take(self.frequent[doc], axis=0, out=self.taken[:len(self.frequent[doc])], mode="clip"), axis=0)
+        total = np.zeros(len(self.columns), dtype=np.float32)
+        for term in self.frequent[doc].tolist():                # row after row, without a copy of the rows
+            np.add(total, self.dense_rows[term], total)
+        score[self.columns] += total
         score[~unused] = 0
         score[doc] = 0
         return score
@@ -295,27 +329,67 @@ class Index:
             some *= 8
 
 
+def to_shards(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows of ``dealt`` in ``parts`` partitions by the number of their shard, each
+    in order of shards, with terms and counts only where the tail is not the
+    whole document."""
+    sent = {c: F.when(F.size("full_crc") > 0, F.col(c)).alias(c) for c in ("terms", "counts")}
+    return (rows.select([sent.get(c, c) for c in rows.columns])
+            .repartitionById(parts, F.pmod("shard", F.lit(parts)).cast("int")).sortWithinPartitions("shard"))
+
+
+def by_shard(batches):
+    """Batches in order of shards as (shard, table) of whole shards."""
+    held, at = [], None
+    for batch in batches:
+        shard = batch["shard"].to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if held and shard[a] != at:
+                yield at, pa.Table.from_batches(held)
+                held = []
+            at = int(shard[a])
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield at, pa.Table.from_batches(held)
+
+
 PIECES = ("doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, ids binary")
 
 
-def pack_shard(shard: int, table: pa.Table, df: np.ndarray, docs: int, mean: float, length: int, with_ids: bool):
+def shard_terms(table: pa.Table, tails: list[np.ndarray], kind: np.dtype) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Terms and counts of a shard's documents: as sent, or counted from a tail
+    that is the whole document."""
+    out = [None if t is None else (np.frombuffer(t, kind).astype(np.uint32), wide(c, len(t) // kind.itemsize))
+           for t, c in zip(table["terms"].to_pylist(), table["counts"].to_pylist())]
+    left = [d for d, x in enumerate(out) if x is None]
+    for at in range(0, len(left), 256):
+        some = left[at:at + 256]
+        for d, found in zip(some, term_counts([tails[d][:-1].astype(np.uint32) for d in some])):
+            out[d] = found
+    return [t for t, _ in out], [c for _, c in out]
+
+
+def pack_shard(shard: int, table: pa.Table, df: np.ndarray, docs: int, mean: float, length: int, with_ids: bool,
+               kind: np.dtype):
     """The pieces of a shard's documents as rows of ``PIECES``."""
     table = table.sort_by([("doc_id", "ascending"), ("row", "ascending")])
     col = {c: table[c].to_pylist() for c in ("doc_id", "row", "n_tokens", "full_crc", "full_ids", "tail")}
-    tails = [np.frombuffer(t, np.uint32) for t in col["tail"]]
+    tails = [np.frombuffer(t, kind) for t in col["tail"]]
     out, base, seq = [], shard << 32, 0
 
     def piece(d, start, ids, n, check, offset):
         out.append((col["doc_id"][d], col["row"][d], start, n, check, col["n_tokens"][d], base + seq, offset,
-                    ids if with_ids else None))
+                    ids.astype("<u4").tobytes() if with_ids else None))
 
     for d, checks in enumerate(col["full_crc"]):
         for i, c in enumerate(checks):
-            piece(d, i * length, col["full_ids"][d][i] if with_ids else None, length, c, 0)
+            piece(d, i * length, np.frombuffer(col["full_ids"][d][i], kind) if with_ids else None, length, c, 0)
             seq += 1
-    index = Index([np.frombuffer(t, np.uint32) for t in table["terms"].to_pylist()],
-                  [np.frombuffer(t, np.uint32) for t in table["counts"].to_pylist()], df, docs, mean)
+    index = Index(*shard_terms(table, tails, kind), df, docs, mean)
     at = np.zeros(len(tails), dtype=np.int64)                   # tokens of a tail that are placed
     size = np.array([len(t) for t in tails], dtype=np.int64)
     unused = size > 0
@@ -324,7 +398,7 @@ def pack_shard(shard: int, table: pa.Table, df: np.ndarray, docs: int, mean: flo
     def place(d, room, offset):
         n = min(room, size[d] - at[d])
         ids = tails[d][at[d]:at[d] + n]
-        piece(d, col["n_tokens"][d] - size[d] + at[d], ids.tobytes() if with_ids else None, n, crc(ids), offset)
+        piece(d, col["n_tokens"][d] - size[d] + at[d], ids, n, crc(ids), offset)
         at[d] += n
         unused[d] = at[d] < size[d]
         return n
@@ -363,11 +437,17 @@ def pack(documents: DataFrame, tokenizer: str | None = None, length: int = LENGT
          with_ids: bool = False) -> DataFrame:
     """One row per piece (``PIECES``); ``with_ids`` also returns its ids as
     little-endian unsigned 32-bit integers."""
-    rows = tokenized(documents, tokenizer or default_tokenizer(), length, with_ids)
-    df, docs, mean = document_frequencies(rows)
-    sent = documents.sparkSession.sparkContext.broadcast((df, docs, mean))
+    tokenizer = tokenizer or default_tokenizer()
+    kind = id_type(tokenizer)
+    rows = tokenized(documents, tokenizer, kind, length, with_ids)
+    df, docs, mean = document_frequencies(rows, kind)
+    spark = documents.sparkSession
+    sent = spark.sparkContext.broadcast((df, docs, mean))
 
-    def run(key, table):
-        return pack_shard(key[0].as_py(), table, *sent.value, length, with_ids)
+    def run(batches):
+        for shard, table in by_shard(batches):
+            yield from pack_shard(shard, table, *sent.value, length, with_ids, kind).to_batches()
 
-    return dealt(rows, df, docs, shard_rows).groupBy("shard").applyInArrow(run, PIECES)
+    shards = max(1, -(-docs // shard_rows))
+    parts = min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return to_shards(dealt(rows, df, docs, shards, kind), parts).mapInArrow(run, PIECES)

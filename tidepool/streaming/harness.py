@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,6 +176,20 @@ def run(df: DataFrame, order: Sequence[str], transform: Callable[[DataFrame], Da
     raise ValueError(f"unsupported mode {mode!r}")
 
 
+@contextmanager
+def _partitions(spark: SparkSession, per_batch: int):
+    """Streams started in here have a partition of state per file of a
+    micro-batch, two per core at least, and no more than the session's shuffles:
+    each is committed in every micro-batch, whatever its size."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), max(per_batch, 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def run_join(left: DataFrame, left_order: Sequence[str], right: DataFrame,
              right_order: Sequence[str], transform: Callable[[DataFrame, DataFrame], DataFrame],
              n_files: int | None = None, tag: str = "join") -> DataFrame:
@@ -194,8 +209,9 @@ def run_join(left: DataFrame, left_order: Sequence[str], right: DataFrame,
     ls = drop_sentinel(read(spark, lsrc, spark.read.parquet(lsrc).schema, lper))
     rs = drop_sentinel(read(spark, rsrc, spark.read.parquet(rsrc).schema, rper))
     stream = transform(ls, rs)
-    q = (stream.writeStream.outputMode("append").format("parquet")
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
+    with _partitions(spark, lper + rper):
+        q = (stream.writeStream.outputMode("append").format("parquet")
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
     q.awaitTermination()
     _clean(spark, out, lsrc, rsrc, ckpt)
     return spark.read.schema(stream.schema).parquet(out)

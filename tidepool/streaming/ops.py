@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.timecols import duration
 from ..operators import ordered, windows
 from ..session import delete, delete_on_exit, path_exists
+from . import packed_join
 
 
 def _spec(x) -> str:
@@ -128,11 +129,19 @@ def top_n_windows(time_col: str, item_col: str, size, slide, n: int, disorder, c
 
 
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_time: str,
-                  right_time: str, lower, upper, how: str = "inner") -> DataFrame:
+                  right_time: str, lower, upper, how: str = "inner", packed: bool = True) -> DataFrame:
     """Stream-stream join on a key and ``left.t + lower <= right.t <= left.t + upper``.
 
     Both inputs need watermarks; state is dropped once the watermark passes
-    the range, so outer rows are emitted then."""
+    the range, so outer rows are emitted then.
+
+    The inner join keeps its state in ``packed_join``, if that carries the
+    columns (``packed_join.sides``).  Its columns are found by name, in append
+    mode; with ``packed=False`` the result is Spark's join, of whose columns the
+    inputs still know and whose watermarks further stateful operators can use."""
+    sides = packed_join.sides(left, right, left_key, right_key, left_time, right_time) if packed and how == "inner" else None
+    if sides is not None:
+        return packed_join.interval_join(left, right, *sides, lower, upper)
     lo = F.make_dt_interval(secs=F.lit(duration(lower)))
     hi = F.make_dt_interval(secs=F.lit(duration(upper)))
     cond = ((left[left_key] == right[right_key]) & (right[right_time] >= left[left_time] + lo)
